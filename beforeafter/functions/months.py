@@ -22,8 +22,8 @@ def any_date_in_month(month_id: Column) -> Column:
     s = month_id.cast("string")
     return (
         F.when(month_id.isNull(), F.lit(None).cast("date"))
-        .when(s.rlike("^[0-9]{6}$"), F.try_to_date(F.concat(s, F.lit("01")), F.lit("yyyyMMdd")))
-        .when(s.rlike("^[0-9]{8}$"), F.try_to_date(s, F.lit("yyyyMMdd")))
+        .when(s.rlike("^[0-9]{6}$"), F.try_to_date(F.concat(s, F.lit("01")), "yyyyMMdd"))
+        .when(s.rlike("^[0-9]{8}$"), F.try_to_date(s, "yyyyMMdd"))
         .otherwise(F.lit(None).cast("date"))
     )
 
