@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from beforeafter.operators.quantiles import exact_quantiles
 from beforeafter.sources import schemas
 
 
@@ -76,64 +77,9 @@ def attach_date_keys(df: DataFrame, ts_col: str, dates: DataFrame, date_col: str
 
 
 def exact_quantile(df: DataFrame, col: str, p: float, alias: str, accuracy: int = 100_000) -> DataFrame:
-    """One-row frame with the linear-interpolation quantile of ``col`` (as numpy's
-    default and ``percentile_cont``), computed without gathering the column.
-
-    ``percentile_approx`` brackets the two order statistics around rank
-    ``(n-1)p`` within its rank-error guarantee; only the distinct values inside
-    the bracket are counted exactly.  The bracket is checked against the exact
-    counts and the query fails rather than return a wrong threshold.
-    """
-    eps = 3.0 / accuracy
-    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    stats = v.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("v").alias("vmin"),
-        F.max("v").alias("vmax"),
-        F.percentile_approx("v", F.array(F.lit(max(p - eps, 0.0)), F.lit(min(p + eps, 1.0))), accuracy).alias("pa"),
-    )
-    # For small inputs the approximation margin is below one row: use the full range.
-    small = F.col("n") * F.lit(eps) < F.lit(20.0)
-    stats = stats.select(
-        "n",
-        F.when(small, F.col("vmin")).otherwise(F.col("pa")[0]).alias("lo"),
-        F.when(small, F.col("vmax")).otherwise(F.col("pa")[1]).alias("hi"),
-        (F.floor((F.col("n") - 1) * F.lit(p))).cast("long").alias("k"),
-        ((F.col("n") - 1) * F.lit(p) - F.floor((F.col("n") - 1) * F.lit(p))).alias("frac"),
-    )
-    joined = v.crossJoin(F.broadcast(stats))
-    below = joined.agg(F.sum(F.when(F.col("v") < F.col("lo"), 1).otherwise(0)).alias("c_below"))
-    inside = (
-        joined.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-        .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = inside.withColumn("cum_end", F.sum("c").over(w)).withColumn(
-        "cum_start", F.col("cum_end") - F.col("c")
-    )
-    ranked = cum.crossJoin(F.broadcast(stats.crossJoin(below))).withColumn(
-        "r0", F.col("k") - F.coalesce(F.col("c_below"), F.lit(0))
-    )
-    pick = ranked.agg(
-        F.max("n").alias("n"),
-        F.max("frac").alias("frac"),
-        F.max(F.when((F.col("cum_start") <= F.col("r0")) & (F.col("r0") < F.col("cum_end")), F.col("v"))).alias("x0"),
-        F.max(
-            F.when(
-                (F.col("cum_start") <= F.col("r0") + 1) & (F.col("r0") + 1 < F.col("cum_end")), F.col("v")
-            )
-        ).alias("x1"),
-    )
-    x1 = F.when(F.col("n") <= 1, F.col("x0")).otherwise(F.col("x1"))
-    checked = F.when(
-        (F.col("n") > 0) & (F.col("x0").isNull() | x1.isNull()),
-        F.raise_error(F.lit(f"quantile bracket for {col} missed its rank")),
-    )
-    out = pick.select(
-        F.coalesce(checked.cast("double"), F.col("x0") + F.col("frac") * (x1 - F.col("x0"))).alias(alias)
-    )
-    return out
+    """One-row frame with the linear-interpolation quantile of ``col`` (numpy's
+    default), computed without gathering the column (see ``quantiles``)."""
+    return exact_quantiles(df, col, {alias: p}, accuracy=accuracy)
 
 
 def quantile_flags(
