@@ -4,25 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+ROW_SCALE = 6
+
+
+def exact_sum(col: str | Column, scale: int = ROW_SCALE) -> Column:
+    """Sum of the values rounded to ``scale`` decimals, added as decimals.
+
+    A double sum depends on the order of addition in its last bits; a decimal
+    sum does not, so the result is the same on every partitioning (and in any
+    other engine that rounds the rows the same way).
+    """
+    return F.sum(F.round(_c(col), scale).cast(DecimalType(38, scale)))
+
+
 def rsum(col: str | Column, digits: int | None = None) -> Column:
-    """``sum``; rounded to ``digits`` when given."""
-    s = F.sum(_c(col))
-    return s if digits is None else F.round(s, digits)
+    """``sum``; with ``digits`` an exact sum rounded to ``digits`` decimals."""
+    if digits is None:
+        return F.sum(_c(col))
+    return F.round(exact_sum(col), digits).cast("double")
 
 
 def ravg(col: str | Column, digits: int | None = None) -> Column:
-    """``avg``; with ``digits`` it is ``round(sum, digits + 2) / count`` so the
-    result does not depend on the order of summation."""
+    """``avg``; with ``digits`` the exact sum of the rows (6 decimals) over the
+    count, independent of the order of summation."""
     c = _c(col)
     if digits is None:
         return F.avg(c)
-    return F.round(F.sum(c), digits + 2) / F.count(c)
+    return exact_sum(c).cast("double") / F.count(c)
 
 
 def to_number(col: str | Column) -> Column:

@@ -51,6 +51,13 @@ def load_table(
     spark = df.sparkSession
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if not spark.catalog.tableExists(name):
+        # A folder left by a session whose catalog did not keep the table
+        # blocks a managed table of the same name; the load overwrites it.
+        stale = _managed_location(spark, name)
+        if stale and path_exists(spark, stale):
+            fs, p = _fs(spark, stale)
+            fs.delete(p, True)
     w = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -78,6 +85,15 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
+def _managed_location(spark: SparkSession, name: str) -> str | None:
+    if "." in name:
+        return None
+    wh = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not wh:
+        return None
+    return f"{wh.rstrip('/')}/{name.lower()}"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
