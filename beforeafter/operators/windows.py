@@ -101,30 +101,33 @@ def purchase_days(transactions: DataFrame) -> DataFrame:
     return daily.unionByName(repeats)
 
 
-def window_aggregates(
+def bucket_join(
     anchor_df: DataFrame,
     days: DataFrame,
-    windows: dict[str, tuple[int, int]],
+    lo: int,
+    hi: int,
     anchor_col: str = "anchor_exposure_date",
     keys: list[str] | None = None,
 ) -> DataFrame:
-    """For each anchor row and each named window ``(lo, hi)`` (day offsets from
-    the anchor, inclusive) return ``{name}_txn_cnt`` (distinct transaction
-    ids), ``{name}_revenue`` (sum, 0.0 when none) and ``{name}_active_days``
-    (distinct purchase days).  One bucketed join serves all windows.
+    """Left join of anchors to the customer-day stream on
+    ``day BETWEEN anchor + lo AND anchor + hi``.
+
+    Anchors are exploded to the fixed-width (``hi - lo + 1`` days) buckets
+    their window touches (at most two) and joined on
+    ``(customer_id, bucket)``; the date range is a residual.  Output columns:
+    ``keys``, ``__a`` (anchor date), ``day, n_new, n_rows, revenue, prev_day,
+    is_repeat`` (NULL when nothing matched).
     """
     keys = keys or ANCHOR_KEYS
-    lo_all = min(lo for lo, _ in windows.values())
-    hi_all = max(hi for _, hi in windows.values())
-    width = hi_all - lo_all + 1
+    width = hi - lo + 1
     a_day = F.unix_date(F.col(anchor_col))
     a = anchor_df.select(
         *keys,
         F.col(anchor_col).alias("__a"),
         F.explode_outer(
             F.sequence(
-                F.floor((a_day + lo_all) / width).cast("long"),
-                F.floor((a_day + hi_all) / width).cast("long"),
+                F.floor((a_day + lo) / width).cast("long"),
+                F.floor((a_day + hi) / width).cast("long"),
             )
         ).alias("__b"),
     )
@@ -133,6 +136,7 @@ def window_aggregates(
         F.floor(F.unix_date("day") / width).cast("long").alias("__db"),
         "day",
         "n_new",
+        "n_rows",
         "revenue",
         "prev_day",
         "is_repeat",
@@ -140,9 +144,27 @@ def window_aggregates(
     cond = (
         (a["customer_id"] == d["__c"])
         & (a["__b"] == d["__db"])
-        & d["day"].between(F.date_add(a["__a"], lo_all), F.date_add(a["__a"], hi_all))
+        & d["day"].between(F.date_add(a["__a"], lo), F.date_add(a["__a"], hi))
     )
-    j = a.join(d, cond, "left")
+    return a.join(d, cond, "left").drop("__c", "__db", "__b")
+
+
+def window_aggregates(
+    anchor_df: DataFrame,
+    days: DataFrame,
+    windows: dict[str, tuple[int, int]],
+    anchor_col: str = "anchor_exposure_date",
+    keys: list[str] | None = None,
+) -> DataFrame:
+    """For each anchor row and each named window ``(lo, hi)`` (day offsets from
+    the anchor, inclusive) return ``{name}_txn_cnt`` (distinct transaction
+    ids), ``{name}_revenue`` (sum, 0.0 when none) and ``{name}_active_days``
+    (distinct purchase days).  One bucketed join serves all windows.
+    """
+    keys = keys or ANCHOR_KEYS
+    lo_all = min(lo for lo, _ in windows.values())
+    hi_all = max(hi for _, hi in windows.values())
+    j = bucket_join(anchor_df, days, lo_all, hi_all, anchor_col, keys)
     aggs = []
     for name, (lo, hi) in windows.items():
         start = F.date_add(F.col("__a"), lo)

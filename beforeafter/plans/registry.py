@@ -32,4 +32,4 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from beforeafter.plans import queries_core, queries_rfm, queries_sources, queries_text, queries_views  # noqa: F401
+    from beforeafter.plans import queries_checks, queries_core, queries_rfm, queries_sources, queries_text, queries_views  # noqa: F401
