@@ -11,10 +11,69 @@ bracket: if it missed, the query fails instead of returning a wrong value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _pick(v: DataFrame, stats: DataFrame, g: list[str], col: str) -> DataFrame:
+    """Exact order statistics around rank ``__k`` per group of ``g``.
+
+    ``v`` has ``g`` and ``__v``; ``stats`` has ``g`` and ``__n, __lo, __hi,
+    __k, __frac``.  Returns ``g`` and ``__q``.
+    """
+    # One stats row per group: joined on the group keys (broadcast when small).
+    joined = v.join(stats, g, "inner") if g else v.crossJoin(F.broadcast(stats))
+    # Values below the bracket collapse to one NULL key carrying their count;
+    # values inside keep their own key.  A running count then gives every
+    # distinct value its absolute rank range [start, end).
+    keyed = (
+        joined.where(F.col("__v") <= F.col("__hi"))
+        .groupBy(*g, F.when(F.col("__v") >= F.col("__lo"), F.col("__v")).alias("__key"))
+        .agg(
+            F.count(F.lit(1)).alias("__c"),
+            F.max("__n").alias("__n"),
+            F.max("__k").alias("__k"),
+            F.max("__frac").alias("__frac"),
+        )
+    )
+    w = Window.partitionBy(*g).orderBy(F.col("__key").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    cum = keyed.withColumn("__end", F.sum("__c").over(w)).withColumn("__start", F.col("__end") - F.col("__c"))
+
+    def at(r):
+        return F.max(F.when((F.col("__start") <= r) & (r < F.col("__end")), F.col("__key")))
+
+    # A rank that falls on the NULL (below-bracket) key yields NULL: the check fails.
+    pick = cum.groupBy(*g).agg(
+        F.max("__n").alias("__n"),
+        F.max("__frac").alias("__frac"),
+        at(F.col("__k")).alias("__x0"),
+        at(F.col("__k") + 1).alias("__x1"),
+    )
+    x1 = F.when(F.col("__n") <= 1, F.col("__x0")).otherwise(F.col("__x1"))
+    missed = F.when(
+        F.col("__x0").isNull() | x1.isNull(),
+        F.raise_error(F.lit(f"quantile bracket for {col} missed its rank")),
+    )
+    return pick.select(
+        *g,
+        F.coalesce(missed.cast("double"), F.col("__x0") + F.col("__frac") * (x1 - F.col("__x0"))).alias("__q"),
+    )
+
+
+def _stats(n: Column, vmin: Column, vmax: Column, lo: Column, hi: Column, p: Column, eps: float) -> list[Column]:
+    small = n * F.lit(eps) < F.lit(20.0)
+    pos = (n - 1) * p
+    return [
+        n.alias("__n"),
+        F.when(small, vmin).otherwise(lo).alias("__lo"),
+        F.when(small, vmax).otherwise(hi).alias("__hi"),
+        F.floor(pos).cast("long").alias("__k"),
+        (pos - F.floor(pos)).alias("__frac"),
+    ]
+
+
 def exact_quantiles(
     df: DataFrame,
     col: str,
@@ -30,60 +89,44 @@ def exact_quantiles(
     )
     result = None
     for alias, p in probs.items():
-        stats = v.groupBy(*g).agg(
-            F.count(F.lit(1)).alias("__n"),
+        agg = v.groupBy(*g).agg(
+            F.count(F.lit(1)).alias("__cnt"),
             F.min("__v").alias("__vmin"),
             F.max("__v").alias("__vmax"),
             F.percentile_approx(
                 "__v", F.array(F.lit(max(p - eps, 0.0)), F.lit(min(p + eps, 1.0))), accuracy
             ).alias("__pa"),
         )
-        small = F.col("__n") * F.lit(eps) < F.lit(20.0)
-        pos = (F.col("__n") - 1) * F.lit(p)
-        stats = stats.select(
+        stats = agg.select(
             *g,
-            "__n",
-            F.when(small, F.col("__vmin")).otherwise(F.col("__pa")[0]).alias("__lo"),
-            F.when(small, F.col("__vmax")).otherwise(F.col("__pa")[1]).alias("__hi"),
-            F.floor(pos).cast("long").alias("__k"),
-            (pos - F.floor(pos)).alias("__frac"),
-        )
-        # One stats row per group: joined on the group keys (broadcast when small).
-        joined = v.join(stats, g, "inner") if g else v.crossJoin(F.broadcast(stats))
-        below = joined.groupBy(*g).agg(
-            F.sum(F.when(F.col("__v") < F.col("__lo"), 1).otherwise(0)).alias("__below")
-        )
-        inside = (
-            joined.where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
-            .groupBy(*g, "__v")
-            .agg(F.count(F.lit(1)).alias("__c"))
-        )
-        w = Window.partitionBy(*g).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = inside.withColumn("__end", F.sum("__c").over(w)).withColumn(
-            "__start", F.col("__end") - F.col("__c")
-        )
-        st = stats.join(below, g, "inner") if g else stats.crossJoin(below)
-        ranked = (cum.join(st, g, "inner") if g else cum.crossJoin(F.broadcast(st))).withColumn(
-            "__r", F.col("__k") - F.col("__below")
-        )
-
-        def at(r):
-            return F.max(F.when((F.col("__start") <= r) & (r < F.col("__end")), F.col("__v")))
-
-        pick = ranked.groupBy(*g).agg(
-            F.max("__n").alias("__n"),
-            F.max("__frac").alias("__frac"),
-            at(F.col("__r")).alias("__x0"),
-            at(F.col("__r") + 1).alias("__x1"),
-        )
-        x1 = F.when(F.col("__n") <= 1, F.col("__x0")).otherwise(F.col("__x1"))
-        missed = F.when(
-            F.col("__x0").isNull() | x1.isNull(),
-            F.raise_error(F.lit(f"quantile bracket for {col} missed its rank")),
-        )
-        q = pick.select(
-            *g,
-            F.coalesce(missed.cast("double"), F.col("__x0") + F.col("__frac") * (x1 - F.col("__x0"))).alias(alias),
+            *_stats(F.col("__cnt"), F.col("__vmin"), F.col("__vmax"), F.col("__pa")[0], F.col("__pa")[1], F.lit(p), eps),
         )
+        q = _pick(v, stats, g, col).withColumnRenamed("__q", alias)
         result = q if result is None else (result.join(q, g, "inner") if g else result.crossJoin(q))
     return result
+
+
+def exact_quantiles_of(df: DataFrame, specs: list[tuple[str, float, str]], accuracy: int = 100_000) -> DataFrame:
+    """One row with the quantile ``p`` of column ``col`` as ``alias`` for every
+    ``(col, p, alias)``, from one pass over ``df`` (the columns are stacked and
+    treated as groups)."""
+    eps = 3.0 / accuracy
+    parts = [F.struct(F.lit(i).alias("__g"), F.col(c).cast("double").alias("__v")) for i, (c, _, _) in enumerate(specs)]
+    v = df.select(F.explode(F.array(*parts)).alias("__s")).select("__s.*").where(
+        F.col("__v").isNotNull() & ~F.isnan("__v")
+    )
+    pcts = []
+    for _, p, _ in specs:
+        pcts += [max(p - eps, 0.0), min(p + eps, 1.0)]
+    agg = v.groupBy("__g").agg(
+        F.count(F.lit(1)).alias("__cnt"),
+        F.min("__v").alias("__vmin"),
+        F.max("__v").alias("__vmax"),
+        F.percentile_approx("__v", F.array(*[F.lit(x) for x in pcts]), accuracy).alias("__pa"),
+    )
+    p_of_g = F.element_at(F.array(*[F.lit(float(p)) for _, p, _ in specs]), F.col("__g") + 1)
+    lo = F.element_at(F.col("__pa"), F.col("__g") * 2 + 1)
+    hi = F.element_at(F.col("__pa"), F.col("__g") * 2 + 2)
+    stats = agg.select("__g", *_stats(F.col("__cnt"), F.col("__vmin"), F.col("__vmax"), lo, hi, p_of_g, eps))
+    q = _pick(v, stats, ["__g"], ",".join(c for c, _, _ in specs))
+    return q.agg(*[F.max(F.when(F.col("__g") == i, F.col("__q"))).alias(a) for i, (_, _, a) in enumerate(specs)])

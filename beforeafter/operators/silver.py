@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beforeafter.operators.quantiles import exact_quantiles
+from beforeafter.operators.quantiles import exact_quantiles, exact_quantiles_of
 from beforeafter.sources import schemas
 
 
@@ -92,17 +92,15 @@ def quantile_flags(
     ``method="exact"`` uses :func:`exact_quantile`; ``"approx"`` uses
     ``percentile_approx`` only (bounded memory, rank error 1e-4).
     """
-    out = df
-    for col, q, name in specs:
-        thr_name = f"__thr_{name}"
-        if method == "approx":
-            thr = df.agg(F.percentile_approx(F.col(col).cast("double"), q, 10_000).alias(thr_name))
-        elif method == "exact":
-            thr = exact_quantile(df, col, q, thr_name)
-        else:
-            raise ValueError(f"unknown method {method!r}")
-        out = out.crossJoin(F.broadcast(thr))
-        out = out.withColumn(
-            name, F.when(F.col(col) >= F.col(thr_name), 1).otherwise(0).cast("int")
-        ).drop(thr_name)
-    return out
+    thr_specs = [(col, q, f"__thr_{name}") for col, q, name in specs]
+    if method == "approx":
+        thr = df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, 10_000).alias(a) for c, q, a in thr_specs])
+    elif method == "exact":
+        thr = exact_quantiles_of(df, thr_specs)
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    # One row of thresholds.
+    out = df.crossJoin(F.broadcast(thr))
+    for (col, _, name), (_, _, thr_name) in zip(specs, thr_specs):
+        out = out.withColumn(name, F.when(F.col(col) >= F.col(thr_name), 1).otherwise(0).cast("int"))
+    return out.drop(*[a for _, _, a in thr_specs])

@@ -51,11 +51,16 @@ def bounds(anchor_df: DataFrame, pre_days: int = DEFAULT.pre_days, post_days: in
 def purchase_days(transactions: DataFrame) -> DataFrame:
     """Customer-day purchase stream.
 
-    Columns: ``customer_id, day, n_new, n_rows, revenue, prev_day, is_repeat``.
-    Day rows (``is_repeat = false``) carry the number of transaction ids whose
-    first occurrence for the customer is that day, the raw row count and the
-    revenue sum.  Repeat rows carry one later occurrence of an id with the day
-    of its previous occurrence.
+    Columns: ``customer_id, day, is_repeat, prev_day, n_new, n_rows, revenue,
+    n_occ``.  Day rows (``is_repeat = false``, one per customer and day) carry
+    the number of transaction ids whose first occurrence for the customer is
+    that day, the raw row count and the revenue sum.  Repeat rows carry, per
+    (customer, day, previous day), how many ids that occurred on ``prev_day``
+    occur again on ``day`` (none when ids sit on one day each).
+
+    One pass: (customer, id, day) occurrences are combined map-side, the
+    previous day of each occurrence comes from a window per (customer, id),
+    and both row kinds come out of one aggregation.
     """
     occ = (
         transactions.select(
@@ -69,36 +74,34 @@ def purchase_days(transactions: DataFrame) -> DataFrame:
         .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("n_rows"))
     )
     w = Window.partitionBy("customer_id", "transaction_id").orderBy("day")
-    occ = occ.withColumn(
-        "prev_day",
-        F.when(F.col("transaction_id").isNotNull(), F.lag("day").over(w)),
+    prev = F.when(F.col("transaction_id").isNotNull(), F.lag("day").over(w))
+    occ = occ.withColumn("prev_day", prev)
+    is_new = (F.col("transaction_id").isNotNull() & F.col("prev_day").isNull()).cast("long")
+    day_part = F.struct(
+        F.lit(False).alias("is_repeat"),
+        F.lit(None).cast("date").alias("prev_day"),
+        is_new.alias("n_new"),
+        F.col("n_rows").alias("n_rows"),
+        F.col("revenue").alias("revenue"),
+    )
+    repeat_part = F.when(
+        F.col("prev_day").isNotNull(),
+        F.struct(
+            F.lit(True).alias("is_repeat"),
+            F.col("prev_day").alias("prev_day"),
+            F.lit(0).cast("long").alias("n_new"),
+            F.lit(0).cast("long").alias("n_rows"),
+            F.lit(None).cast("double").alias("revenue"),
+        ),
     )
-    daily = occ.groupBy("customer_id", "day").agg(
-        F.sum(
-            F.when(F.col("transaction_id").isNotNull() & F.col("prev_day").isNull(), 1).otherwise(0)
-        ).alias("n_new"),
+    parts = F.filter(F.array(day_part, repeat_part), lambda x: x.isNotNull())
+    rows = occ.select("customer_id", "day", F.explode(parts).alias("__p")).select("customer_id", "day", "__p.*")
+    return rows.groupBy("customer_id", "day", "is_repeat", "prev_day").agg(
+        F.sum("n_new").alias("n_new"),
         F.sum("n_rows").alias("n_rows"),
         F.sum("revenue").alias("revenue"),
+        F.count(F.lit(1)).alias("n_occ"),
     )
-    daily = daily.select(
-        "customer_id",
-        "day",
-        "n_new",
-        "n_rows",
-        "revenue",
-        F.lit(None).cast("date").alias("prev_day"),
-        F.lit(False).alias("is_repeat"),
-    )
-    repeats = occ.where(F.col("prev_day").isNotNull()).select(
-        "customer_id",
-        "day",
-        F.lit(0).cast("long").alias("n_new"),
-        F.lit(0).cast("long").alias("n_rows"),
-        F.lit(None).cast("double").alias("revenue"),
-        "prev_day",
-        F.lit(True).alias("is_repeat"),
-    )
-    return daily.unionByName(repeats)
 
 
 def bucket_join(
@@ -116,7 +119,7 @@ def bucket_join(
     their window touches (at most two) and joined on
     ``(customer_id, bucket)``; the date range is a residual.  Output columns:
     ``keys``, ``__a`` (anchor date), ``day, n_new, n_rows, revenue, prev_day,
-    is_repeat`` (NULL when nothing matched).
+    is_repeat, n_occ`` (NULL when nothing matched).
     """
     keys = keys or ANCHOR_KEYS
     width = hi - lo + 1
@@ -140,6 +143,7 @@ def bucket_join(
         "revenue",
         "prev_day",
         "is_repeat",
+        "n_occ",
     )
     cond = (
         (a["customer_id"] == d["__c"])
@@ -174,7 +178,7 @@ def window_aggregates(
         aggs += [
             (
                 F.coalesce(F.sum(F.when(day_row, F.col("n_new"))), F.lit(0))
-                + F.count(F.when(first_in_w, F.lit(1)))
+                + F.coalesce(F.sum(F.when(first_in_w, F.col("n_occ"))), F.lit(0))
             ).alias(f"{name}_txn_cnt"),
             F.coalesce(F.sum(F.when(day_row, F.col("revenue"))), F.lit(0.0)).alias(f"{name}_revenue"),
             F.count(F.when(day_row, F.lit(1))).alias(f"{name}_active_days"),

@@ -13,7 +13,7 @@ from beforeafter.operators import lift, summary, windows
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import FACT_DOUBLES, round_cols, six, sql_round
 from beforeafter.plans.registry import register
-from beforeafter.sources.bindings import Binding, binding_a, binding_b
+from beforeafter.sources.bindings import Binding, binding_a, binding_b, memo_plan
 
 EVENTS_CFG = LiftConfig(pre_days=14, post_days=7)
 EVENTS_SHORT_CFG = LiftConfig(pre_days=7, post_days=3)
@@ -29,11 +29,16 @@ class Chain:
 
 
 def chain(spark: SparkSession, sf_dir: str, cfg: LiftConfig = DEFAULT, which: str = "a") -> Chain:
-    b = binding_a(spark, sf_dir) if which == "a" else binding_b(spark, sf_dir)
-    days = windows.purchase_days(b.transactions)
-    anc = windows.anchors(b.exposures)
-    pp = windows.pre_post(anc, b.transactions, cfg, days=days)
-    return Chain(b, days, anc, pp, lift.fact(pp, b.customers, cfg))
+    """Binding, purchase stream, anchors, windows and fact (plans, built once per session)."""
+
+    def build() -> Chain:
+        b = binding_a(spark, sf_dir) if which == "a" else binding_b(spark, sf_dir)
+        days = windows.purchase_days(b.transactions)
+        anc = windows.anchors(b.exposures)
+        pp = windows.pre_post(anc, b.transactions, cfg, days=days)
+        return Chain(b, days, anc, pp, lift.fact(pp, b.customers, cfg))
+
+    return memo_plan(spark, ("chain", sf_dir, cfg, which), build)
 
 
 # ---------------------------------------------------------------- anchors (C)

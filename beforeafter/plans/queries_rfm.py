@@ -11,7 +11,7 @@ from beforeafter.plans import sql as S
 from beforeafter.plans.present import round_cols
 from beforeafter.plans.queries_core import chain
 from beforeafter.plans.registry import register
-from beforeafter.sources.bindings import binding_a
+from beforeafter.sources.bindings import binding_a, memo_plan
 
 RFM_CHAIN = S.BINDING_A + S.DATES + S.rfm_sql()
 
@@ -96,9 +96,15 @@ def q_rfm_segments_recency_high(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold(spark: SparkSession, sf_dir: str, scalable: bool = False):
     """Fact and RFM dimension of binding A sharing one purchase stream."""
-    c = chain(spark, sf_dir)
-    seg = rfm.segments(c.binding.transactions, c.binding.dates, scalable=scalable, stream=c.days)
-    return c, seg
+
+    def build():
+        c = chain(spark, sf_dir)
+        seg = rfm.segments(c.binding.transactions, c.binding.dates, scalable=scalable, stream=c.days)
+        return c, seg
+
+    if scalable:  # the range-sliced scores checkpoint when built: never reuse across calls
+        return build()
+    return memo_plan(spark, ("gold", sf_dir), build)
 
 
 @register("summary_rfm", S.with_(S.gold_a()) + "SELECT * FROM agg_rfm")

@@ -12,6 +12,7 @@ from beforeafter.plans import views as V
 from beforeafter.plans.present import round_cols
 from beforeafter.plans.queries_rfm import gold
 from beforeafter.plans.registry import register
+from beforeafter.sources.bindings import memo_plan
 
 D = 4  # presentation digits of sums
 
@@ -87,7 +88,7 @@ def q(sql: str) -> str:
 
 
 def G(spark: SparkSession, sf_dir: str) -> Gold:
-    return Gold(spark, sf_dir)
+    return memo_plan(spark, ("gold_views", sf_dir), lambda: Gold(spark, sf_dir))
 
 
 SHARE_DIGITS = {"share_of_net": 6, "share_of_positive": 6}

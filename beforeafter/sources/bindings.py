@@ -24,8 +24,36 @@ class Binding:
     exposures: DataFrame
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+_PLANS: dict[tuple, object] = {}
+
+
+def memo_plan(spark: SparkSession, key: tuple, build):
+    """Build a DataFrame (or a bundle of them) once per session and key.
+
+    Only the lazy plan is kept: nothing is cached or materialised, every
+    action still runs the whole plan from the sources.  It saves the driver
+    from analysing the same source plans again for every query.
+    """
+    k = (id(spark._jsparkSession), *key)
+    out = _PLANS.get(k)
+    if out is None:
+        out = build()
+        _PLANS[k] = out
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table ``name`` of ``sf_dir``.  The relation (file listing and
+    footers) is resolved once per session and reused; every use is still a
+    fresh scan with its own pruning and pushed filters."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _READS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 def _day_keys(ts: F.Column) -> tuple[F.Column, F.Column]:
@@ -113,9 +141,12 @@ def dates_for(transactions: DataFrame, exposures: DataFrame) -> DataFrame:
 
 
 def binding_a(spark: SparkSession, sf_dir: str) -> Binding:
-    tx = transactions_a(spark, sf_dir)
-    ex = exposures_a(spark, sf_dir)
-    return Binding(customers_a(spark, sf_dir), dates_for(tx, ex), tx, ex)
+    def build() -> Binding:
+        tx = transactions_a(spark, sf_dir)
+        ex = exposures_a(spark, sf_dir)
+        return Binding(customers_a(spark, sf_dir), dates_for(tx, ex), tx, ex)
+
+    return memo_plan(spark, ("binding_a", sf_dir), build)
 
 
 def transactions_b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,6 +178,9 @@ def exposures_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def binding_b(spark: SparkSession, sf_dir: str) -> Binding:
-    tx = transactions_b(spark, sf_dir)
-    ex = exposures_b(spark, sf_dir)
-    return Binding(customers_a(spark, sf_dir), dates_for(tx, ex), tx, ex)
+    def build() -> Binding:
+        tx = transactions_b(spark, sf_dir)
+        ex = exposures_b(spark, sf_dir)
+        return Binding(binding_a(spark, sf_dir).customers, dates_for(tx, ex), tx, ex)
+
+    return memo_plan(spark, ("binding_b", sf_dir), build)
