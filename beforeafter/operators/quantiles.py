@@ -51,7 +51,8 @@ def _pick(v: DataFrame, stats: DataFrame, g: list[str], col: str) -> DataFrame:
         at(F.col("__k")).alias("__x0"),
         at(F.col("__k") + 1).alias("__x1"),
     )
-    x1 = F.when(F.col("__n") <= 1, F.col("__x0")).otherwise(F.col("__x1"))
+    # With no interpolation weight the upper neighbour is not needed (p = 1 has none).
+    x1 = F.when((F.col("__n") <= 1) | (F.col("__frac") == 0), F.col("__x0")).otherwise(F.col("__x1"))
     missed = F.when(
         F.col("__x0").isNull() | x1.isNull(),
         F.raise_error(F.lit(f"quantile bracket for {col} missed its rank")),

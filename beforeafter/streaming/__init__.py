@@ -1,0 +1,8 @@
+"""Streaming.
+
+The method is batch only: contacts and purchases arrive as tables, the lift is
+computed per customer and month after the POST window has closed, and nothing
+in it reads a stream, keeps state between runs or uses watermarks.  No
+streaming operator is built; an incremental refresh is a batch re-run of the
+months whose windows changed (the gold tables are partitioned by month).
+"""
