@@ -40,26 +40,23 @@ def trailing(
     """
     stream = stream if stream is not None else purchase_days(transactions)
     d = stream.where(~F.col("is_repeat")).select("customer_id", "day", "n_rows", "revenue")
-    reach = d.select(
-        "*",
-        F.explode(
-            F.sequence(
-                F.trunc("day", "MM"),
-                F.trunc(F.date_add("day", days - 1), "MM"),
-                F.expr("INTERVAL 1 MONTH"),
-            )
-        ).alias("__m"),
-    ).withColumn("__me", F.last_day("__m"))
-    reach = reach.where(F.col("__me") <= F.date_add("day", days - 1))
-    e = ends.where(F.col("month_end").isNotNull())
-    j = reach.join(F.broadcast(e), reach["__me"] == e["month_end"], "inner")
+    e = F.broadcast(ends.where(F.col("month_end").isNotNull()))
+    j = _reach(d, days).join(e, F.col("__me") == e["month_end"], "inner")
     agg = j.groupBy("customer_id", "month_id", "month_end").agg(
         F.max("day").alias("last_purchase_date"),
         F.sum("n_rows").alias("txns_90d"),
         F.sum("revenue").alias("rev_90d"),
     )
-    present = agg.select(F.col("month_id").alias("__pm")).distinct()
-    empty = ends.join(present, ends["month_id"].eqNullSafe(present["__pm"]), "left_anti").select(
+    # Months with at least one purchase in their window, from the distinct
+    # purchase days (at most one row per calendar day, combined map-side).
+    buy_days = transactions.select(F.col("transaction_date").alias("day")).where(F.col("day").isNotNull()).distinct()
+    present = (
+        _reach(buy_days, days)
+        .join(e, F.col("__me") == e["month_end"], "inner")
+        .select(F.col("month_id").alias("__pm"))
+        .distinct()
+    )
+    empty = ends.join(F.broadcast(present), ends["month_id"].eqNullSafe(present["__pm"]), "left_anti").select(
         F.lit(None).cast("long").alias("customer_id"),
         "month_id",
         "month_end",
@@ -70,6 +67,21 @@ def trailing(
     return agg.unionByName(empty)
 
 
+def _reach(df: DataFrame, days: int) -> DataFrame:
+    """Each row once per month end whose ``days``-day window contains ``day``."""
+    out = df.select(
+        "*",
+        F.explode(
+            F.sequence(
+                F.trunc("day", "MM"),
+                F.trunc(F.date_add("day", days - 1), "MM"),
+                F.expr("INTERVAL 1 MONTH"),
+            )
+        ).alias("__m"),
+    ).withColumn("__me", F.last_day("__m"))
+    return out.where(F.col("__me") <= F.date_add("day", days - 1)).drop("__m")
+
+
 def rfm_values(windowed: DataFrame) -> DataFrame:
     """Recency in days (999 without purchase), frequency, monetary."""
     return windowed.select(

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beforeafter.config import LiftConfig
-from beforeafter.operators import rfm, summary
+from beforeafter.operators import lift, rfm, summary, windows
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import round_cols
-from beforeafter.plans.queries_core import chain
+from beforeafter.plans.queries_core import Chain
 from beforeafter.plans.registry import register
-from beforeafter.sources.bindings import binding_a, memo_plan
+from beforeafter.session import materialize
+from beforeafter.sources.bindings import binding_a
 
 RFM_CHAIN = S.BINDING_A + S.DATES + S.rfm_sql()
 
@@ -95,16 +96,20 @@ def q_rfm_segments_recency_high(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf_dir: str, scalable: bool = False):
-    """Fact and RFM dimension of binding A sharing one purchase stream."""
+    """Fact and RFM dimension of binding A sharing one purchase stream.
 
-    def build():
-        c = chain(spark, sf_dir)
-        seg = rfm.segments(c.binding.transactions, c.binding.dates, scalable=scalable, stream=c.days)
-        return c, seg
-
-    if scalable:  # the range-sliced scores checkpoint when built: never reuse across calls
-        return build()
-    return memo_plan(spark, ("gold", sf_dir), build)
+    Both read the customer-day purchase stream, but each prunes it to other
+    columns, so Spark would build it twice (three shuffles of the purchases
+    each time).  The stream is materialised once per call instead (a parquet
+    table in the shared checkpoint folder) and both read it.
+    """
+    b = binding_a(spark, sf_dir)
+    days = materialize(windows.purchase_days(b.transactions), "purchase-days")
+    anc = windows.anchors(b.exposures)
+    pp = windows.pre_post(anc, b.transactions, days=days)
+    fact = lift.fact(pp, b.customers)
+    seg = rfm.segments(b.transactions, b.dates, scalable=scalable, stream=days)
+    return Chain(b, days, anc, pp, fact), seg
 
 
 @register("summary_rfm", S.with_(S.gold_a()) + "SELECT * FROM agg_rfm")

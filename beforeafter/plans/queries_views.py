@@ -10,22 +10,51 @@ from beforeafter.operators import diagnostics, summary
 from beforeafter.plans import sql as S
 from beforeafter.plans import views as V
 from beforeafter.plans.present import round_cols
+from beforeafter.plans.queries_core import chain
 from beforeafter.plans.queries_rfm import gold
 from beforeafter.plans.registry import register
-from beforeafter.sources.bindings import memo_plan
 
 D = 4  # presentation digits of sums
 
 
 class Gold:
+    """Gold tables of binding A for the views, built on first use: views over
+    the fact alone stay one lazy plan; the RFM side (which shares the purchase
+    stream with the fact) comes from :func:`gold`."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
-        c, seg = gold(spark, sf_dir)
-        self.chain = c
-        self.fact = c.fact
-        self.rfm = seg
-        self.by_month = summary.by_month(c.fact, digits=D)
-        self.by_rfm = summary.by_rfm(c.fact, seg, digits=D)
-        self.by_flags = summary.by_flags(c.fact, digits=D)
+        self._spark, self._sf = spark, sf_dir
+        self._both = None
+
+    def _gold(self):
+        if self._both is None:
+            self._both = gold(self._spark, self._sf)
+        return self._both
+
+    @property
+    def chain(self):
+        return self._gold()[0] if self._both is not None else chain(self._spark, self._sf)
+
+    @property
+    def fact(self):
+        return self._both[0].fact if self._both is not None else chain(self._spark, self._sf).fact
+
+    @property
+    def rfm(self):
+        return self._gold()[1]
+
+    @property
+    def by_month(self):
+        return summary.by_month(self.fact, digits=D)
+
+    @property
+    def by_flags(self):
+        return summary.by_flags(self.fact, digits=D)
+
+    @property
+    def by_rfm(self):
+        c, seg = self._gold()
+        return summary.by_rfm(c.fact, seg, digits=D)
 
 
 def _sort_key_sql(x: str) -> str:
@@ -88,7 +117,7 @@ def q(sql: str) -> str:
 
 
 def G(spark: SparkSession, sf_dir: str) -> Gold:
-    return memo_plan(spark, ("gold_views", sf_dir), lambda: Gold(spark, sf_dir))
+    return Gold(spark, sf_dir)
 
 
 SHARE_DIGITS = {"share_of_net": 6, "share_of_positive": 6}

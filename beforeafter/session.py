@@ -63,3 +63,14 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back: lineage is cut and the data survives executor loss, with
+    columnar files instead of serialised rows."""
+    import uuid
+
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
