@@ -32,7 +32,9 @@ def histogram(fact: DataFrame, bins: int = 60, col: str = "incremental_revenue",
     falls in the last bin; a month with one distinct value has one bin."""
     m = _monthly(fact, month_col).select("month_id_norm", F.col(col).cast("double").alias("__x"))
     rng = m.groupBy("month_id_norm").agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
-    j = m.join(rng, "month_id_norm")
+    # One row per month (bounded by the calendar): broadcast, so a month that
+    # holds most rows is not funnelled through one join task.
+    j = m.join(F.broadcast(rng), "month_id_norm")
     width = F.col("__hi") - F.col("__lo")
     b = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.floor((F.col("__x") - F.col("__lo")) / width * bins) + 1, F.lit(bins))

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beforeafter.operators import silver, summary
+from beforeafter.plans import pipeline
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import round_cols
 from beforeafter.plans.queries_core import SUMMARY_MONTH_SQL, chain
-from beforeafter.plans.queries_rfm import gold
 from beforeafter.plans.registry import register
 from beforeafter.sources import files, schemas
 from beforeafter.sources.bindings import binding_a
@@ -101,16 +101,11 @@ UNION ALL SELECT 'dim_customer_month_rfm', COUNT(*) FROM rfm
 UNION ALL SELECT 'fact_customer_month_incrementality', COUNT(*) FROM fact""",
 )
 def q_export_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five gold tables exported, read back and counted."""
-    c, seg = gold(spark, sf_dir)
-    tables = {
-        "fact_customer_month_incrementality": c.fact,
-        "dim_customer_month_rfm": seg,
-        "agg_incrementality_month": summary.by_month(c.fact),
-        "agg_incrementality_rfm": summary.by_rfm(c.fact, seg),
-        "agg_incrementality_active_value": summary.by_flags(c.fact),
-    }
-    out = files.export_gold(tables, files.scratch_dir(spark, "gold"))
+    """The batch pipeline writes the five gold tables (customer grain as
+    month-partitioned parquet, summaries as single CSV files); they are read
+    back and counted."""
+    b = binding_a(spark, sf_dir)
+    out = pipeline.build_gold(b.customers, b.dates, b.transactions, b.exposures, files.scratch_dir(spark, "gold"))
     parts = []
     for name, path in sorted(out.items()):
         df = spark.read.parquet(path) if not path.endswith(".csv") else spark.read.option("header", "true").csv(path)

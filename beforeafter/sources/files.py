@@ -160,7 +160,10 @@ def export_gold(
     for name, df in tables.items():
         if name in partitioned:
             path = f"{export_dir.rstrip('/')}/{name}"
-            df.write.mode("overwrite").partitionBy("month_id").parquet(path)
+            # REBALANCE groups rows by month before the write (few files per
+            # month instead of one per task and month) and lets AQE split a
+            # month that is much larger than the others across tasks.
+            df.hint("rebalance", "month_id").write.mode("overwrite").partitionBy("month_id").parquet(path)
             out[name] = path
         else:
             out[name] = export_single_csv(df, export_dir, f"{name}.csv")
