@@ -193,7 +193,7 @@ def q_month_trend(spark, sf_dir):
 @register(
     "segment_ranking",
     q(
-        """SELECT month_id_norm, rfm_segment, incremental_revenue, t_rn AS segment_rank, t_rn = 1 AS is_top
+        """SELECT month_id_norm, rfm_segment, incremental_revenue, CAST(t_rn AS INT) AS segment_rank, t_rn = 1 AS is_top
 FROM seg_ranked"""
     ),
 )
@@ -424,7 +424,7 @@ def q_rate_box(spark, sf_dir):
 def _outlier_sql(order: str) -> str:
     return qd(
         f"""SELECT customer_id, month_label, ROUND(incremental_revenue, 6) AS incremental_revenue,
-  ROUND(pre_revenue, 6) AS pre_revenue, ROUND(post_revenue, 6) AS post_revenue, outlier_rank
+  ROUND(pre_revenue, 6) AS pre_revenue, ROUND(post_revenue, 6) AS post_revenue, CAST(outlier_rank AS INT) AS outlier_rank
 FROM (SELECT *, month_id_norm AS month_label,
         ROW_NUMBER() OVER (PARTITION BY month_id_norm ORDER BY incremental_revenue {order}, customer_id ASC) AS outlier_rank
       FROM fm) WHERE outlier_rank <= 20"""
