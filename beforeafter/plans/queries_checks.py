@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from beforeafter.config import SENSITIVITY_POST_DAYS, SENSITIVITY_PRE_DAYS
-from beforeafter.operators import bias, checks, sensitivity, summary, windows
+from beforeafter.operators import bias, checks, sensitivity, summary
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import round_cols
 from beforeafter.plans.queries_core import chain
