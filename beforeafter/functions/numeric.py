@@ -4,40 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-ROW_SCALE = 6
+ROW_DECIMALS = 6
 
 
-def exact_sum(col: str | Column, scale: int = ROW_SCALE) -> Column:
-    """Sum of the values rounded to ``scale`` decimals, added as decimals.
+def exact_sum(col: str | Column, decimals: int = ROW_DECIMALS) -> Column:
+    """Sum of the values rounded to ``decimals`` decimals, added as integers of
+    ``10**-decimals`` units (a BIGINT sum).
 
-    A double sum depends on the order of addition in its last bits; a decimal
+    A double sum depends on the order of addition in its last bits; an integer
     sum does not, so the result is the same on every partitioning (and in any
-    other engine that rounds the rows the same way).
+    other engine that rounds the rows the same way).  Rows are rounded at 6
+    decimals: lift values sit on grids of at most 5 decimals, so no row is a
+    rounding tie.  The range is +-9.2e12 units; an overflow fails the query
+    (ANSI mode) rather than wrap.
     """
-    return F.sum(F.round(_c(col), scale).cast(DecimalType(38, scale)))
+    return F.sum(F.round(_c(col) * F.lit(10**decimals)).cast("long"))
 
 
 def rsum(col: str | Column, digits: int | None = None) -> Column:
-    """``sum``; with ``digits`` an exact sum rounded to ``digits`` decimals."""
+    """``sum``; with ``digits`` (report mode) the exact sum of the rows rounded
+    to 6 decimals, as a double."""
     if digits is None:
         return F.sum(_c(col))
-    return F.round(exact_sum(col), digits).cast("double")
+    return exact_sum(col).cast("double") / F.lit(10**ROW_DECIMALS)
 
 
 def ravg(col: str | Column, digits: int | None = None) -> Column:
-    """``avg``; with ``digits`` the exact sum of the rows (6 decimals) over the
-    count, independent of the order of summation."""
+    """``avg``; with ``digits`` (report mode) the exact sum of the rounded rows
+    over the count, independent of the order of summation."""
     c = _c(col)
     if digits is None:
         return F.avg(c)
-    return exact_sum(c).cast("double") / F.count(c)
+    return exact_sum(c).cast("double") / F.lit(10**ROW_DECIMALS) / F.count(c)
 
 
 def to_number(col: str | Column) -> Column:

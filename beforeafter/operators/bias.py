@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beforeafter.functions.months import any_date_in_month, month_key
-from beforeafter.functions.numeric import exact_sum, ravg, rsum
+from beforeafter.functions.numeric import ROW_DECIMALS, exact_sum, ravg, rsum
 from beforeafter.operators.quantiles import exact_quantiles
 from beforeafter.operators.windows import bucket_join
 
@@ -19,16 +19,14 @@ def rolling(by_month: DataFrame, n: int = 3, digits: int | None = None) -> DataF
     def rs(c: str) -> Column:
         if digits is None:
             return F.sum(c).over(w)
-        return F.round(exact_sum(c).over(w), digits).cast("double")
+        return exact_sum(c).over(w).cast("double") / F.lit(10**ROW_DECIMALS)
 
     return by_month.select(
         "month_id",
         "incremental_revenue",
         rs("incremental_revenue").alias("rolling_revenue"),
         rs("incremental_transactions").alias("rolling_transactions"),
-        (exact_sum("avg_delta_aov").over(w).cast("double") / F.count("avg_delta_aov").over(w)).alias(
-            "rolling_mean_delta_aov"
-        ),
+        (rs("avg_delta_aov") / F.count("avg_delta_aov").over(w)).alias("rolling_mean_delta_aov"),
         F.count(F.lit(1)).over(w).alias("months_in_window"),
     )
 

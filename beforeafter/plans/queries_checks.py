@@ -21,12 +21,13 @@ MONTH_KEY_SQL = (
 )
 
 
-def xsum(x: str, digits: int = 4) -> str:
-    return f"CAST(ROUND(SUM(CAST(ROUND({x}, 6) AS DECIMAL(38, 6))), {digits}) AS DOUBLE)"
+def xsum(x: str) -> str:
+    """Exact sum of the rows rounded to 4 decimals (integer sum of 1e-4 units)."""
+    return f"CAST(SUM(CAST(ROUND(({x}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000"
 
 
 def xavg(x: str) -> str:
-    return f"CAST(SUM(CAST(ROUND({x}, 6) AS DECIMAL(38, 6))) AS DOUBLE) / COUNT({x})"
+    return f"{xsum(x)} / COUNT({x})"
 
 
 def _unique_sql(table: str, keys: str) -> str:
@@ -203,7 +204,7 @@ GRID_SQL = _grid_sql()
 
 def _long(spark, sf_dir):
     c = chain(spark, sf_dir)
-    return c, sensitivity.per_anchor(c.anchors, c.days, c.binding.customers)
+    return c, sensitivity.per_anchor(c.anchors, c.days, c.binding.customer_ids)
 
 
 @register(
@@ -227,7 +228,7 @@ SEG_GRID_SQL = f"""seg_grid AS (SELECT COALESCE(r.rfm_segment, 'Unknown') AS rfm
 
 def _seg_grid(spark, sf_dir):
     c = chain(spark, sf_dir)
-    long = sensitivity.per_anchor(c.anchors, c.days, c.binding.customers)
+    long = sensitivity.per_anchor(c.anchors, c.days, c.binding.customer_ids)
     seg = G(spark, sf_dir).rfm.select(
         F.col("customer_id").alias("__rc"), F.col("month_id").alias("__rm"), "rfm_segment"
     )
@@ -277,9 +278,9 @@ def q_sensitivity_sign_flips(spark, sf_dir):
     "rolling_lift",
     S.with_(GOLD_VIEWS)
     + """SELECT month_id, incremental_revenue,
-  CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))) OVER w, 4) AS DOUBLE) AS rolling_revenue,
-  CAST(ROUND(SUM(CAST(ROUND(incremental_transactions, 6) AS DECIMAL(38, 6))) OVER w, 4) AS DOUBLE) AS rolling_transactions,
-  CAST(SUM(CAST(ROUND(avg_delta_aov, 6) AS DECIMAL(38, 6))) OVER w AS DOUBLE) / COUNT(avg_delta_aov) OVER w AS rolling_mean_delta_aov,
+  CAST(SUM(CAST(ROUND(incremental_revenue * 1000000) AS BIGINT)) OVER w AS DOUBLE) / 1000000 AS rolling_revenue,
+  CAST(SUM(CAST(ROUND(incremental_transactions * 1000000) AS BIGINT)) OVER w AS DOUBLE) / 1000000 AS rolling_transactions,
+  CAST(SUM(CAST(ROUND(avg_delta_aov * 1000000) AS BIGINT)) OVER w AS DOUBLE) / 1000000 / COUNT(avg_delta_aov) OVER w AS rolling_mean_delta_aov,
   COUNT(*) OVER w AS months_in_window
 FROM agg_month WINDOW w AS (ORDER BY month_id ASC NULLS LAST ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )

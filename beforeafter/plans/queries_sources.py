@@ -123,9 +123,9 @@ def q_display_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.register_views({"fact_customer_month_incrementality": fact})
     return spark.sql(
         """SELECT month_key_yyyymm AS month_id, COUNT(DISTINCT customer_id) AS exposed_customer_months,
-  CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_revenue,
-  CAST(ROUND(SUM(CAST(ROUND(incremental_transactions, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_transactions,
-  CAST(SUM(CAST(ROUND(delta_aov, 6) AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(delta_aov) AS avg_delta_aov
+  CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
+  CAST(SUM(CAST(ROUND((incremental_transactions) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
+  CAST(SUM(CAST(ROUND((delta_aov) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(delta_aov) AS avg_delta_aov
 FROM `Fact Customer Month Incrementality` GROUP BY month_key_yyyymm"""
     )
 

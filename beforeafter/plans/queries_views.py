@@ -71,10 +71,10 @@ v_rfm AS (SELECT *, COALESCE(CAST(month_id AS VARCHAR), 'Unknown') AS month_id_n
 v_flags AS (SELECT *, COALESCE(CAST(month_id AS VARCHAR), 'Unknown') AS month_id_norm FROM agg_flags),
 seg_month AS (
   SELECT month_id_norm, month_id_norm AS month_label, COALESCE(rfm_segment, 'Unknown') AS rfm_segment,
-         CAST(ROUND(SUM(CAST(ROUND({_num('incremental_revenue')}, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_revenue,
-         CAST(ROUND(SUM(CAST(ROUND({_num('customers')}, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS customers,
-         CAST(ROUND(SUM(CAST(ROUND({_num('incremental_transactions')}, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_transactions,
-         CAST(SUM(CAST(ROUND({_num('avg_delta_aov')}, 6) AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(*) AS avg_delta_aov
+         CAST(SUM(CAST(ROUND(({_num('incremental_revenue')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
+         CAST(SUM(CAST(ROUND(({_num('customers')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS customers,
+         CAST(SUM(CAST(ROUND(({_num('incremental_transactions')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
+         CAST(SUM(CAST(ROUND(({_num('avg_delta_aov')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(*) AS avg_delta_aov
   FROM v_rfm GROUP BY month_id_norm, COALESCE(rfm_segment, 'Unknown')),
 seg_ranked AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY month_id_norm ORDER BY incremental_revenue DESC, rfm_segment ASC) AS t_rn,
@@ -88,9 +88,9 @@ top_bottom AS (
          MAX(CASE WHEN b_rn = 1 THEN incremental_revenue END) AS bottom_rev
   FROM seg_ranked GROUP BY month_id_norm),
 contrib AS (
-  SELECT month_id_norm, CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS total_rev_net,
-         CAST(ROUND(SUM(CAST(ROUND(CASE WHEN incremental_revenue > 0 THEN incremental_revenue ELSE 0.0 END, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS total_rev_pos,
-         CAST(ROUND(SUM(CAST(ROUND(CASE WHEN incremental_revenue < 0 THEN incremental_revenue ELSE 0.0 END, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS total_rev_neg
+  SELECT month_id_norm, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_rev_net,
+         CAST(SUM(CAST(ROUND((CASE WHEN incremental_revenue > 0 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_rev_pos,
+         CAST(SUM(CAST(ROUND((CASE WHEN incremental_revenue < 0 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_rev_neg
   FROM seg_month GROUP BY month_id_norm),
 shares AS (
   SELECT t.month_id_norm, top_segment, top_rev, total_rev_net, total_rev_pos,
@@ -101,10 +101,10 @@ shares AS (
   FROM top_bottom t JOIN contrib c ON c.month_id_norm = t.month_id_norm),
 active_trend AS (
   SELECT month_id_norm, month_id_norm AS month_label, CAST({_num('is_active')} AS INT) AS is_active,
-         CAST(ROUND(SUM(CAST(ROUND({_num('customers')}, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS customers,
-         CAST(ROUND(SUM(CAST(ROUND({_num('incremental_revenue')}, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_revenue,
-         CAST(ROUND(SUM(CAST(ROUND({_num('incremental_transactions')}, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_transactions,
-         CAST(SUM(CAST(ROUND({_num('avg_delta_aov')}, 6) AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(*) AS avg_delta_aov,
+         CAST(SUM(CAST(ROUND(({_num('customers')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS customers,
+         CAST(SUM(CAST(ROUND(({_num('incremental_revenue')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
+         CAST(SUM(CAST(ROUND(({_num('incremental_transactions')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
+         CAST(SUM(CAST(ROUND(({_num('avg_delta_aov')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(*) AS avg_delta_aov,
          CASE CAST({_num('is_active')} AS INT) WHEN 0 THEN 'Non-Active' WHEN 1 THEN 'Active' END AS active_group
   FROM v_flags GROUP BY month_id_norm, CAST({_num('is_active')} AS INT)),
 """
@@ -174,8 +174,8 @@ def q_latest_month_segments(spark, sf_dir):
 @register(
     "headline_kpis",
     q(
-        """SELECT CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS total_inc_rev, CAST(ROUND(SUM(CAST(ROUND(incremental_transactions, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS total_inc_txn,
-  CAST(SUM(CAST(ROUND(avg_delta_aov, 6) AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(avg_delta_aov) AS mean_of_means_delta_aov FROM agg_month"""
+        """SELECT CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_inc_rev, CAST(SUM(CAST(ROUND((incremental_transactions) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_inc_txn,
+  CAST(SUM(CAST(ROUND((avg_delta_aov) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(avg_delta_aov) AS mean_of_means_delta_aov FROM agg_month"""
     ),
 )
 def q_headline(spark, sf_dir):
@@ -204,9 +204,9 @@ def q_segment_ranking(spark, sf_dir):
 @register(
     "value_split",
     q(
-        """SELECT month_id_norm, CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS inc_all,
-  CAST(ROUND(SUM(CAST(ROUND(CASE WHEN CAST(is_high_value AS INT) = 1 THEN incremental_revenue ELSE 0.0 END, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS inc_high_value,
-  CAST(ROUND(SUM(CAST(ROUND(CASE WHEN CAST(is_high_value AS INT) = 0 THEN incremental_revenue ELSE 0.0 END, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS inc_low_value
+        """SELECT month_id_norm, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS inc_all,
+  CAST(SUM(CAST(ROUND((CASE WHEN CAST(is_high_value AS INT) = 1 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS inc_high_value,
+  CAST(SUM(CAST(ROUND((CASE WHEN CAST(is_high_value AS INT) = 0 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS inc_low_value
 FROM v_flags GROUP BY month_id_norm"""
     ),
 )
@@ -221,7 +221,7 @@ ACTIVE_GROUP_SQL = "CASE CAST(is_active AS INT) WHEN 0 THEN 'Non-Active' WHEN 1
 @register(
     "by_value_group",
     q(
-        f"""SELECT month_id_norm, value_group, CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_revenue
+        f"""SELECT month_id_norm, value_group, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue
 FROM (SELECT *, {VALUE_GROUP_SQL} AS value_group FROM v_flags) WHERE value_group IS NOT NULL
 GROUP BY month_id_norm, value_group"""
     ),
@@ -233,9 +233,9 @@ def q_by_value_group(spark, sf_dir):
 @register(
     "active_by_value",
     q(
-        f"""SELECT month_id_norm, active_group, value_group, CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_revenue,
-  CAST(ROUND(SUM(CAST(ROUND(incremental_transactions, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_transactions,
-  CAST(SUM(CAST(ROUND(avg_delta_aov, 6) AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(avg_delta_aov) AS avg_delta_aov, CAST(SUM(customers) AS BIGINT) AS customers
+        f"""SELECT month_id_norm, active_group, value_group, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
+  CAST(SUM(CAST(ROUND((incremental_transactions) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
+  CAST(SUM(CAST(ROUND((avg_delta_aov) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(avg_delta_aov) AS avg_delta_aov, CAST(SUM(customers) AS BIGINT) AS customers
 FROM (SELECT *, {VALUE_GROUP_SQL} AS value_group, {ACTIVE_GROUP_SQL} AS active_group FROM v_flags)
 WHERE value_group IS NOT NULL AND active_group IS NOT NULL
 GROUP BY month_id_norm, active_group, value_group"""
@@ -273,10 +273,10 @@ def q_active_trend(spark, sf_dir):
     "active_split",
     q(
         """SELECT month_id_norm,
-  CAST(ROUND(SUM(CAST(ROUND(CASE WHEN is_active = 1 THEN incremental_revenue ELSE 0.0 END, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS active_rev,
-  CAST(ROUND(SUM(CAST(ROUND(CASE WHEN is_active = 0 THEN incremental_revenue ELSE 0.0 END, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS nonactive_rev,
-  CAST(ROUND(SUM(CAST(ROUND(CASE WHEN is_active = 1 THEN incremental_transactions ELSE 0.0 END, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS active_txn,
-  CAST(ROUND(SUM(CAST(ROUND(CASE WHEN is_active = 0 THEN incremental_transactions ELSE 0.0 END, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS nonactive_txn
+  CAST(SUM(CAST(ROUND((CASE WHEN is_active = 1 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS active_rev,
+  CAST(SUM(CAST(ROUND((CASE WHEN is_active = 0 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS nonactive_rev,
+  CAST(SUM(CAST(ROUND((CASE WHEN is_active = 1 THEN incremental_transactions ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS active_txn,
+  CAST(SUM(CAST(ROUND((CASE WHEN is_active = 0 THEN incremental_transactions ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS nonactive_txn
 FROM active_trend GROUP BY month_id_norm"""
     ),
 )
@@ -331,7 +331,7 @@ SEG_SRC = f"""seg_src AS (SELECT COALESCE(rfm_segment, 'Unknown') AS rfm_segment
         """grid AS (
   SELECT s.rfm_segment, m.month_label, COALESCE(x.v, 0.0) AS v
   FROM (SELECT DISTINCT rfm_segment FROM seg_src) s CROSS JOIN (SELECT DISTINCT month_label FROM seg_src) m
-  LEFT JOIN (SELECT rfm_segment, month_label, CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS v FROM seg_src GROUP BY 1, 2) x
+  LEFT JOIN (SELECT rfm_segment, month_label, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS v FROM seg_src GROUP BY 1, 2) x
     ON x.rfm_segment = s.rfm_segment AND x.month_label = m.month_label),""",
     )
     + "SELECT * FROM (PIVOT grid ON month_label USING SUM(v) GROUP BY rfm_segment)",
@@ -343,8 +343,8 @@ def q_segment_matrix(spark, sf_dir):
 @register(
     "top5_segment_trend",
     S.with_(GOLD_VIEWS, SEG_SRC)
-    + """SELECT rfm_segment, month_label, CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS incremental_revenue FROM seg_src
-WHERE rfm_segment IN (SELECT rfm_segment FROM (SELECT rfm_segment, CAST(ROUND(SUM(CAST(ROUND(incremental_revenue, 6) AS DECIMAL(38, 6))), 4) AS DOUBLE) AS tot FROM seg_src
+    + """SELECT rfm_segment, month_label, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue FROM seg_src
+WHERE rfm_segment IN (SELECT rfm_segment FROM (SELECT rfm_segment, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS tot FROM seg_src
                       GROUP BY rfm_segment ORDER BY tot DESC, rfm_segment ASC LIMIT 5))
 GROUP BY rfm_segment, month_label""",
 )

@@ -22,6 +22,8 @@ class Binding:
     dates: DataFrame
     transactions: DataFrame
     exposures: DataFrame
+    # The customer keys alone, for joins that only test membership (no flags).
+    customer_ids: DataFrame | None = None
 
 
 _READS: dict[tuple[int, str], DataFrame] = {}
@@ -144,7 +146,8 @@ def binding_a(spark: SparkSession, sf_dir: str) -> Binding:
     def build() -> Binding:
         tx = transactions_a(spark, sf_dir)
         ex = exposures_a(spark, sf_dir)
-        return Binding(customers_a(spark, sf_dir), dates_for(tx, ex), tx, ex)
+        ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+        return Binding(customers_a(spark, sf_dir), dates_for(tx, ex), tx, ex, ids)
 
     return memo_plan(spark, ("binding_a", sf_dir), build)
 
@@ -181,6 +184,7 @@ def binding_b(spark: SparkSession, sf_dir: str) -> Binding:
     def build() -> Binding:
         tx = transactions_b(spark, sf_dir)
         ex = exposures_b(spark, sf_dir)
-        return Binding(binding_a(spark, sf_dir).customers, dates_for(tx, ex), tx, ex)
+        a = binding_a(spark, sf_dir)
+        return Binding(a.customers, dates_for(tx, ex), tx, ex, a.customer_ids)
 
     return memo_plan(spark, ("binding_b", sf_dir), build)
