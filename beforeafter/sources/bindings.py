@@ -26,10 +26,16 @@ class Binding:
     customer_ids: DataFrame | None = None
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple, DataFrame] = {}
 _PLANS: dict[tuple, object] = {}
 
 
+def _session_key(spark: SparkSession) -> tuple[str, str]:
+    """Identity of a live session: a new context or a new session never
+    reuses it (unlike ``id()`` of a Python handle)."""
+    return spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
+
+
 def memo_plan(spark: SparkSession, key: tuple, build):
     """Build a DataFrame (or a bundle of them) once per session and key.
 
@@ -37,7 +43,7 @@ def memo_plan(spark: SparkSession, key: tuple, build):
     action still runs the whole plan from the sources.  It saves the driver
     from analysing the same source plans again for every query.
     """
-    k = (id(spark._jsparkSession), *key)
+    k = (*_session_key(spark), *key)
     out = _PLANS.get(k)
     if out is None:
         out = build()
@@ -50,7 +56,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     footers) is resolved once per session and reused; every use is still a
     fresh scan with its own pruning and pushed filters."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (*_session_key(spark), path)
     df = _READS.get(key)
     if df is None:
         df = spark.read.parquet(path)
