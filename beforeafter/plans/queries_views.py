@@ -468,3 +468,47 @@ def q_stage_audit(spark, sf_dir):
             "agg_flags": g.by_flags,
         }
     )
+
+
+# ---------------------------------------------------------------- dense (events) binding
+
+FACT_MB = "fm AS (SELECT *, COALESCE(CAST(month_id AS VARCHAR), 'Unknown') AS month_id_norm FROM fact),"
+
+
+def _events_fact(spark, sf_dir):
+    from beforeafter.plans.queries_core import EVENTS_CFG
+
+    return chain(spark, sf_dir, EVENTS_CFG, "b").fact
+
+
+@register(
+    "coverage_events",
+    S.with_(S.chain_b(14, 7), FACT_MB)
+    + """SELECT month_id_norm, COUNT(*) AS row_count, COUNT(DISTINCT customer_id) AS customers,
+  CAST(SUM(CASE WHEN pre_revenue = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_pre,
+  CAST(SUM(CASE WHEN post_revenue = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_post,
+  ROUND(quantile_cont(incremental_revenue, 0.5), 6) AS median_inc_rev
+FROM fm GROUP BY month_id_norm""",
+)
+def q_coverage_events(spark, sf_dir):
+    """G22 on the dense events binding (PRE 14 / POST 7)."""
+    return round_cols(diagnostics.coverage(_events_fact(spark, sf_dir)), {"median_inc_rev": 6})
+
+
+def _outlier_sql_b(order: str) -> str:
+    return S.with_(S.chain_b(14, 7), FACT_MB) + f"""SELECT customer_id, month_label, ROUND(incremental_revenue, 6) AS incremental_revenue,
+  ROUND(pre_revenue, 6) AS pre_revenue, ROUND(post_revenue, 6) AS post_revenue, CAST(outlier_rank AS INT) AS outlier_rank
+FROM (SELECT *, month_id_norm AS month_label,
+        ROW_NUMBER() OVER (PARTITION BY month_id_norm ORDER BY incremental_revenue {order}, customer_id ASC) AS outlier_rank
+      FROM fm) WHERE outlier_rank <= 20"""
+
+
+@register("outliers_top_events", _outlier_sql_b("DESC"))
+def q_outliers_top_events(spark, sf_dir):
+    """G25 on the dense events binding."""
+    return round_cols(diagnostics.outliers(_events_fact(spark, sf_dir), 20, top=True), OUT_DIGITS)
+
+
+@register("outliers_bottom_events", _outlier_sql_b("ASC"))
+def q_outliers_bottom_events(spark, sf_dir):
+    return round_cols(diagnostics.outliers(_events_fact(spark, sf_dir), 20, top=False), OUT_DIGITS)

@@ -50,7 +50,7 @@ def _rows(df, cols):
 
 def test_contract():
     qs, sq = E.queries(), E.oracle_sql()
-    assert len(qs) >= 90
+    assert len(qs) >= 97
     assert set(sq) <= set(qs)
 
 
