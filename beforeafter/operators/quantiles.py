@@ -21,8 +21,10 @@ def _pick(v: DataFrame, stats: DataFrame, g: list[str], col: str) -> DataFrame:
     ``v`` has ``g`` and ``__v``; ``stats`` has ``g`` and ``__n, __lo, __hi,
     __k, __frac``.  Returns ``g`` and ``__q``.
     """
-    # One stats row per group: joined on the group keys (broadcast when small).
-    joined = v.join(stats, g, "inner") if g else v.crossJoin(F.broadcast(stats))
+    # One stats row per group.  It is the broadcast side: a shuffle join on the
+    # group key would put each group (a whole month) in one task.  Groups are
+    # few by use (months, periods, stacked columns).
+    joined = v.join(F.broadcast(stats), g, "inner") if g else v.crossJoin(F.broadcast(stats))
     # Values below the bracket collapse to one NULL key carrying their count;
     # values inside keep their own key.  A running count then gives every
     # distinct value its absolute rank range [start, end).
