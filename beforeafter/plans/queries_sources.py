@@ -53,7 +53,7 @@ def q_normalize_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: the customer dimension loaded as a managed parquet table (overwrite)."""
     cust = silver.customer(binding_a(spark, sf_dir).customers)
-    return files.load_table(cust, "ba_dim_customer", recreate=True)
+    return files.load_table(cust, "ba_customer_load", recreate=True)
 
 
 @register(
