@@ -8,6 +8,7 @@ the columns they need so the parquet scans prune and push filters.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,7 @@ class Binding:
 
 _READS: dict[tuple, DataFrame] = {}
 _PLANS: dict[tuple, object] = {}
+_LOCK = threading.RLock()
 
 
 def _session_key(spark: SparkSession) -> tuple[str, str]:
@@ -44,10 +46,11 @@ def memo_plan(spark: SparkSession, key: tuple, build):
     from analysing the same source plans again for every query.
     """
     k = (*_session_key(spark), *key)
-    out = _PLANS.get(k)
-    if out is None:
-        out = build()
-        _PLANS[k] = out
+    with _LOCK:
+        out = _PLANS.get(k)
+        if out is None:
+            out = build()
+            _PLANS[k] = out
     return out
 
 
@@ -57,10 +60,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     fresh scan with its own pruning and pushed filters."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (*_session_key(spark), path)
-    df = _READS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _READS[key] = df
+    with _LOCK:
+        df = _READS.get(key)
+        if df is None:
+            df = spark.read.parquet(path)
+            _READS[key] = df
     return df
 
 
