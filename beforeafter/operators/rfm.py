@@ -18,6 +18,7 @@ from beforeafter.config import DEFAULT, LiftConfig
 from beforeafter.functions.months import month_end as month_end_expr
 from beforeafter.operators.ranking import ntile
 from beforeafter.operators.windows import purchase_days
+from beforeafter.session import materialize
 
 
 def month_ends(dates: DataFrame) -> DataFrame:
@@ -113,14 +114,21 @@ def score_orders(recency_best_high: bool = False) -> dict[str, list[Column]]:
 def scores(
     values: DataFrame,
     cfg: LiftConfig = DEFAULT,
-    scalable: bool = False,
+    scalable: bool | None = None,
 ) -> DataFrame:
     """Quintile scores within each month.
 
     ``recency_best_high=False`` (default) keeps the documented behaviour in
     which the most recent buyers get ``r_score = 1``.  ``scalable=True``
-    numbers rows over range slices instead of one task per month.
+    numbers rows over range slices instead of one task per month;
+    ``scalable=False`` uses ``ntile`` windows.  ``None`` (default) writes the
+    values once and picks: range slices when the largest month has more than
+    ``cfg.ntile_task_rows`` rows (one scalar comes back to the driver).
     """
+    if scalable is None:
+        values = materialize(values, "rfm-values")
+        biggest = values.groupBy("month_id").count().agg(F.max("count")).first()[0] or 0
+        scalable = biggest > cfg.ntile_task_rows
     out = values
     for name, order in score_orders(cfg.recency_best_high).items():
         out = ntile(out, "month_id", order, cfg.buckets, name, scalable=scalable)
@@ -152,7 +160,7 @@ def segments(
     transactions: DataFrame,
     dates: DataFrame,
     cfg: LiftConfig = DEFAULT,
-    scalable: bool = False,
+    scalable: bool | None = None,
     stream: DataFrame | None = None,
 ) -> DataFrame:
     """The customer-month RFM dimension: scores, code and segment."""

@@ -10,8 +10,9 @@ Layering as the method does it, with each shared intermediate computed once:
    exported as single CSV files (they are one row per month and group).
 
 Everything lands under ``out_dir``; intermediates go to the shared checkpoint
-folder.  Use ``scalable=True`` (default) for large customer bases: RFM scores
-are numbered over range slices instead of one task per month.
+folder.  RFM scores are numbered over range slices instead of one task per
+month when a month is larger than ``cfg.ntile_task_rows`` (``scalable=None``,
+default) or always (``scalable=True``).
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ def build_gold(
     exposures: DataFrame,
     out_dir: str,
     cfg: LiftConfig = DEFAULT,
-    scalable: bool = True,
+    scalable: bool | None = None,
     digits: int | None = None,
 ) -> dict[str, str]:
     """Write the five gold tables; returns name -> path."""

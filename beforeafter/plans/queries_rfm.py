@@ -95,7 +95,7 @@ def q_rfm_segments_recency_high(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.segments(b.transactions, b.dates, LiftConfig(recency_best_high=True))
 
 
-def gold(spark: SparkSession, sf_dir: str, scalable: bool = False):
+def gold(spark: SparkSession, sf_dir: str, scalable: bool | None = None):
     """Fact and RFM dimension of binding A sharing one purchase stream.
 
     Both read the customer-day purchase stream, but each prunes it to other

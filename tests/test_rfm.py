@@ -89,3 +89,17 @@ def test_segment_rules_order_s19(spark):
     )
     got = [r.s for r in df.select(rfm.segment().alias("s")).collect()]
     assert got == ["Champions", "Loyal", "Potential Loyalists", "At Risk", "Lost", "At Risk", "Others"]
+
+
+def test_adaptive_ntile_switches_above_threshold(spark):
+    dates = silver.date_dim_range(spark, "2025-03-01", "2025-04-30")
+    rnd = random.Random(11)
+    tx = _tx(spark, [(i, rnd.randint(1, 40), dt.date(2025, 3, rnd.randint(1, 31)), float(rnd.randint(1, 9)))
+                     for i in range(300)])
+    small = LiftConfig(ntile_task_rows=5)  # every month is "too big": range slices
+    a = rfm.segments(tx, dates, small)
+    b = rfm.segments(tx, dates, scalable=False)
+    key = lambda r: (r.month_id, r.customer_id is None, r.customer_id or 0)
+    assert sorted(a.collect(), key=key) == sorted(b.select(*a.columns).collect(), key=key)
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "ntile" not in plan.lower()
