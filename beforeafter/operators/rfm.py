@@ -163,7 +163,15 @@ def segments(
     scalable: bool | None = None,
     stream: DataFrame | None = None,
 ) -> DataFrame:
-    """The customer-month RFM dimension: scores, code and segment."""
+    """The customer-month RFM dimension: scores, code and segment.
+
+    With ``scalable=None`` a month cannot hold more RFM rows than there are
+    purchase rows (plus the one row of an empty month), so one count of the
+    purchases settles the common case without writing the values; only above
+    the limit does :func:`scores` check the largest month itself.
+    """
+    if scalable is None and transactions.count() + 1 <= cfg.ntile_task_rows:
+        scalable = False
     v = rfm_values(trailing(transactions, month_ends(dates), cfg.rfm_days, stream))
     s = scores(v, cfg, scalable=scalable)
     return s.select(
