@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,12 +66,21 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
-    """Write ``df`` as a parquet table under the shared checkpoint folder and
-    read it back: lineage is cut and the data survives executor loss, with
-    columnar files instead of serialised rows."""
-    import uuid
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path below the shared checkpoint folder, deleted when the driver's
+    JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+
+def materialize(df: DataFrame, tag: str = "stage", by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder,
+    partitioned by the columns ``by`` if given, and read it back: lineage is cut
+    and the data survives executor loss, with columnar files instead of
+    serialised rows."""
+    path = scratch_path(df.sparkSession, tag)
+    writer = df.write.partitionBy(*by) if by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
