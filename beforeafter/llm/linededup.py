@@ -149,10 +149,15 @@ def repeated_lines(lines: DataFrame, min_docs: int = 5, batches: int = 4, fanout
 
 
 def dedup_lines(
-    docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 4
+    docs: DataFrame,
+    min_chars: int = 40,
+    min_docs: int = 5,
+    batches: int = 4,
+    fanout: int = 4,
+    counts: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """``docs`` with its text rewritten and two more columns: n_lines (lines
-    before) and n_dropped.
+    """``docs`` with its text rewritten and two more columns, named by ``counts``:
+    the lines before, and those dropped.
 
     A line whose key has at least ``min_chars`` code points and is found in at
     least ``min_docs`` documents is dropped everywhere but in the largest doc_id
@@ -161,8 +166,8 @@ def dedup_lines(
     texts are one empty line (text ``""``).  Rows with the same doc_id count as one
     document, and the line stays in all of those with the largest doc_id; a row
     without doc_id is a document of its own and never the one that keeps a line.
-    Columns of ``docs`` other than doc_id and text pass through; one named n_lines
-    or n_dropped is replaced.
+    Columns of ``docs`` other than text pass through; one named like a count is
+    replaced.
     """
     lines = stage(line_rows(docs, min_chars), "lines")
     repeated = stage(repeated_lines(lines, min_docs, batches, fanout), "line-repeated")
@@ -172,22 +177,19 @@ def dedup_lines(
         .groupBy("doc_id", "row")
         .agg(F.collect_set("pos").alias("drop"))  # no longer than the document
     )
-    drop = stage(drop, "line-drops").select(
-        F.col("doc_id").alias(free_name(docs, "_drop_id")), F.col("row").alias(free_name(docs, "_drop_row")), F.col("drop").alias(free_name(docs, "_drop"))
-    )
+    drop = stage(drop, "line-drops")
+    drop = drop.select(*[F.col(c).alias(free_name(docs, f"_drop_{c}")) for c in drop.columns])
     id_, row, gone = (F.col(c) for c in drop.columns)
     same = F.col("doc_id").eqNullSafe(id_) & (F.xxhash64(text_of("text")) == row)
     parts = split_lines(F.col("text"))
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
-    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "text")]
+    own = [c for c in docs.columns if c.lower() not in counts]
     joined = docs.join(drop, same, "left")
     kept = F.when(gone.isNull(), text_of("text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
     )
-    out = joined.select(
-        *own,
-        kept.alias("text"),
-        F.size(parts).cast("long").alias("n_lines"),
-        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
+    return joined.select(
+        *[kept.alias("text") if c == "text" else F.col(c) for c in own],
+        F.size(parts).cast("long").alias(counts[0]),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(counts[1]),
     )
-    return out.select(*[c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beforeafter.llm import linededup, mixing, packing, rules, simhash
-from beforeafter.llm.common import stage
+from beforeafter.llm.common import free_name, stage
 from beforeafter.llm.queries import tokenizer_path
 
 
@@ -23,7 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated long lines; n_chars follows the text."""
-    found = linededup.dedup_lines(docs, min_chars=40, min_docs=5).drop("n_lines", "n_dropped")
+    counts = (free_name(docs, "_before"), free_name(docs, "_dropped"))
+    found = linededup.dedup_lines(docs, min_chars=40, min_docs=5, counts=counts)
     kind = docs.schema["n_chars"].dataType
     return found.withColumn("n_chars", F.char_length("text").cast(kind)).select(*docs.columns)
 
