@@ -19,9 +19,6 @@ class LiftConfig:
     # False keeps the documented behaviour: NTILE over recency ascending, so
     # the most recent buyers get r_score = 1.  True sorts recency descending.
     recency_best_high: bool = False
-    # Largest month (customer rows) whose NTILE may be sorted in one task;
-    # bigger months are numbered over range slices.
-    ntile_task_rows: int = 20_000_000
 
     def __post_init__(self) -> None:
         for name in ("pre_days", "post_days", "rfm_days", "buckets"):

@@ -1,4 +1,4 @@
-"""Numeric helpers: fixed-precision sums and means, coercion of text to numbers."""
+"""Numeric helpers: order-independent sums and means, coercion of text to numbers."""
 
 from __future__ import annotations
 
@@ -10,46 +10,30 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+#: Decimals that an exact sum keeps of every row.
 ROW_DECIMALS = 6
 
 
-def exact_sum(col: str | Column, decimals: int = ROW_DECIMALS) -> Column:
-    """Sum of the values rounded to ``decimals`` decimals, added as integers of
-    ``10**-decimals`` units (a BIGINT sum).
+def exact_sum(col: str | Column) -> Column:
+    """Sum of the values rounded to ``ROW_DECIMALS`` decimals, as DECIMAL(38, 6).
 
-    A double sum depends on the order of addition in its last bits; an integer
-    sum does not, so the result is the same on every partitioning (and in any
-    other engine that rounds the rows the same way).  Rows are rounded at 6
-    decimals: lift values sit on grids of at most 5 decimals, so no row is a
-    rounding tie.  The range is +-9.2e12 units; an overflow fails the query
-    (ANSI mode) rather than wrap.
+    A double sum depends on the order of addition in its last bits; a decimal sum
+    does not, so the result is the same on every partitioning.
     """
-    return F.sum(F.round(_c(col) * F.lit(10**decimals)).cast("long"))
+    return F.sum(_c(col).cast(f"decimal(28,{ROW_DECIMALS})"))
 
 
-def rsum(col: str | Column, digits: int | None = None) -> Column:
-    """``sum``; with ``digits`` (report mode) the exact sum of the rows rounded
-    to 6 decimals, as a double."""
-    if digits is None:
-        return F.sum(_c(col))
-    return exact_sum(col).cast("double") / F.lit(10**ROW_DECIMALS)
+def rsum(col: str | Column, exact: bool = False) -> Column:
+    """``sum`` as a double; with ``exact`` from :func:`exact_sum`."""
+    return exact_sum(col).cast("double") if exact else F.sum(_c(col))
 
 
-def ravg(col: str | Column, digits: int | None = None) -> Column:
-    """``avg``; with ``digits`` (report mode) the exact sum of the rounded rows
-    over the count, independent of the order of summation."""
+def ravg(col: str | Column, exact: bool = False) -> Column:
+    """``avg``; with ``exact`` the exact sum over the count."""
     c = _c(col)
-    if digits is None:
-        return F.avg(c)
-    return exact_sum(c).cast("double") / F.lit(10**ROW_DECIMALS) / F.count(c)
+    return exact_sum(c).cast("double") / F.count(c) if exact else F.avg(c)
 
 
 def to_number(col: str | Column) -> Column:
     """Text or number to double; anything that does not parse is 0.0."""
     return F.coalesce(_c(col).try_cast("double"), F.lit(0.0))
-
-
-def safe(col: str | Column) -> Column:
-    """H3: NULL, NaN and infinite values become 0.0."""
-    c = _c(col).cast("double")
-    return F.when(c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(0.0)).otherwise(c)

@@ -6,20 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beforeafter.functions.months import any_date_in_month, month_key
-from beforeafter.functions.numeric import ROW_DECIMALS, exact_sum, ravg, rsum
+from beforeafter.functions.numeric import exact_sum, ravg, rsum
 from beforeafter.operators.quantiles import exact_quantiles
+from beforeafter.operators.ranking import bounded
+from beforeafter.operators.rfm import MAX_MONTHS
 from beforeafter.operators.windows import bucket_join
 
 
-def rolling(by_month: DataFrame, n: int = 3, digits: int | None = None) -> DataFrame:
+def rolling(by_month: DataFrame, n: int = 3, exact: bool = False) -> DataFrame:
     """K1: rolling sums over the last ``n`` months (the summary is one row per
     month, so the window over it is small)."""
     w = Window.orderBy(F.col("month_id").asc_nulls_last()).rowsBetween(-(n - 1), 0)
 
     def rs(c: str) -> Column:
-        if digits is None:
-            return F.sum(c).over(w)
-        return exact_sum(c).over(w).cast("double") / F.lit(10**ROW_DECIMALS)
+        return exact_sum(c).over(w).cast("double") if exact else F.sum(c).over(w)
 
     return by_month.select(
         "month_id",
@@ -46,40 +46,42 @@ def heavy_periods(exposures: DataFrame, q: float = 0.9) -> DataFrame:
     )
 
 
-def _overlap(fact: DataFrame, periods: DataFrame, pre_days: int, post_days: int) -> Column:
-    a = fact["anchor_exposure_date"]
-    return (F.date_sub(a, pre_days) <= periods["period_end"]) & (
-        F.date_add(a, post_days - 1) >= periods["period_start"]
+def _touches(fact: DataFrame, periods: DataFrame, pre_days: int, post_days: int) -> DataFrame:
+    """``fact`` with ``__touch``: whether the row's PRE or POST window touches a
+    period.  The periods, at most ``MAX_MONTHS``, travel as one row with a list."""
+    listed = bounded(periods, MAX_MONTHS, "periods").agg(
+        F.collect_list(F.struct("period_start", "period_end")).alias("__periods")
     )
+    a = F.col("anchor_exposure_date")
+    touch = F.exists(
+        "__periods",
+        lambda p: (F.date_sub(a, pre_days) <= p["period_end"]) & (F.date_add(a, post_days - 1) >= p["period_start"]),
+    )
+    return fact.crossJoin(F.broadcast(listed)).withColumn("__touch", F.coalesce(touch, F.lit(False))).drop("__periods")
 
 
 def exclude_periods(fact: DataFrame, periods: DataFrame, pre_days: int = 28, post_days: int = 7) -> DataFrame:
-    """K2: drop customer-months whose PRE or POST window touches a period.
-    ``periods`` is a calendar-bounded list, broadcast for the range test."""
-    p = F.broadcast(periods)
-    return fact.join(p, _overlap(fact, periods, pre_days, post_days), "left_anti")
+    """K2: drop customer-months whose PRE or POST window touches a period."""
+    return _touches(fact, periods, pre_days, post_days).where(~F.col("__touch")).drop("__touch")
 
 
 def annotate_periods(fact: DataFrame, periods: DataFrame, pre_days: int = 28, post_days: int = 7) -> DataFrame:
     """K3: ``period_flag`` = promo when the window touches a period, else quiet."""
-    p = F.broadcast(periods)
-    cond = _overlap(fact, periods, pre_days, post_days)
-    promo = fact.join(p, cond, "left_semi").withColumn("period_flag", F.lit("promo"))
-    quiet = fact.join(p, cond, "left_anti").withColumn("period_flag", F.lit("quiet"))
-    return promo.unionByName(quiet)
+    flag = F.when(F.col("__touch"), "promo").otherwise("quiet")
+    return _touches(fact, periods, pre_days, post_days).withColumn("period_flag", flag).drop("__touch")
 
 
-def compare_periods(annotated: DataFrame, digits: int | None = None) -> DataFrame:
+def compare_periods(annotated: DataFrame, exact: bool = False) -> DataFrame:
     """K3: lift in promo periods against quiet periods."""
     return annotated.groupBy("period_flag").agg(
         F.count(F.lit(1)).alias("customer_months"),
-        rsum("incremental_revenue", digits).alias("incremental_revenue"),
-        rsum("incremental_transactions", digits).alias("incremental_transactions"),
-        ravg("delta_aov", digits).alias("avg_delta_aov"),
+        rsum("incremental_revenue", exact).alias("incremental_revenue"),
+        rsum("incremental_transactions", exact).alias("incremental_transactions"),
+        ravg("delta_aov", exact).alias("avg_delta_aov"),
     )
 
 
-def decay(anchor_df: DataFrame, days: DataFrame, horizon: int = 28, digits: int | None = None) -> DataFrame:
+def decay(anchor_df: DataFrame, days: DataFrame, horizon: int = 28, exact: bool = False) -> DataFrame:
     """K4: purchases by day offset from the anchor (0 .. horizon-1): revenue,
     purchase rows and customer-months buying on that day.  Offsets without
     any purchase are listed with zeros."""
@@ -87,7 +89,7 @@ def decay(anchor_df: DataFrame, days: DataFrame, horizon: int = 28, digits: int
         F.col("day").isNotNull() & ~F.col("is_repeat")
     )
     per = j.groupBy(F.datediff("day", "__a").alias("day_offset")).agg(
-        rsum("revenue", digits).alias("revenue"),
+        rsum("revenue", exact).alias("revenue"),
         F.sum("n_rows").alias("purchase_rows"),
         F.count(F.lit(1)).alias("buying_customer_months"),
     )
@@ -121,14 +123,14 @@ def frozen_segments(fact: DataFrame, rfm: DataFrame) -> DataFrame:
     ).drop("__rc", "__next")
 
 
-def summary_frozen(fact: DataFrame, rfm: DataFrame, digits: int | None = None) -> DataFrame:
+def summary_frozen(fact: DataFrame, rfm: DataFrame, exact: bool = False) -> DataFrame:
     """K5: the segment summary with frozen (previous month) segments."""
     f = frozen_segments(fact, rfm)
     return f.groupBy(F.col("month_key_yyyymm").alias("month_id"), "frozen_segment").agg(
         F.countDistinct("customer_id").alias("customers"),
-        rsum("incremental_revenue", digits).alias("incremental_revenue"),
-        rsum("incremental_transactions", digits).alias("incremental_transactions"),
-        ravg("delta_aov", digits).alias("avg_delta_aov"),
+        rsum("incremental_revenue", exact).alias("incremental_revenue"),
+        rsum("incremental_transactions", exact).alias("incremental_transactions"),
+        ravg("delta_aov", exact).alias("avg_delta_aov"),
     )
 
 

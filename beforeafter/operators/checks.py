@@ -73,7 +73,7 @@ def numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     return out.withColumn("passed", F.col("non_numeric") == 0)
 
 
-def reconcile(by_month: DataFrame, by_rfm: DataFrame, by_flags: DataFrame, digits: int = 4, tol: float = 1e-3) -> DataFrame:
+def reconcile(by_month: DataFrame, by_rfm: DataFrame, by_flags: DataFrame, exact: bool = True, tol: float = 1e-3) -> DataFrame:
     """Per month, customers, revenue and transactions of the month summary
     against the sums over segments and over flags (full outer join, so a month
     missing from one summary shows up)."""
@@ -81,8 +81,8 @@ def reconcile(by_month: DataFrame, by_rfm: DataFrame, by_flags: DataFrame, digit
     def roll(df: DataFrame, cust: str, tag: str) -> DataFrame:
         return df.groupBy("month_id").agg(
             F.sum(cust).cast("long").alias(f"customers_{tag}"),
-            rsum("incremental_revenue", digits).alias(f"revenue_{tag}"),
-            rsum("incremental_transactions", digits).alias(f"transactions_{tag}"),
+            rsum("incremental_revenue", exact).alias(f"revenue_{tag}"),
+            rsum("incremental_transactions", exact).alias(f"transactions_{tag}"),
         )
 
     m = roll(by_month, "exposed_customer_months", "month")

@@ -7,16 +7,27 @@ from pyspark.sql import functions as F
 
 from beforeafter.functions.months import month_norm
 from beforeafter.operators.quantiles import exact_quantiles
+from beforeafter.operators.ranking import bounded
+from beforeafter.operators.rfm import MAX_MONTHS
+from beforeafter.session import materialize
 
 
 def _monthly(fact: DataFrame, month_col: str = "month_id") -> DataFrame:
     return fact.withColumn("month_id_norm", month_norm(F.col(month_col)))
 
 
+def _stored(df: DataFrame, *cols: str) -> DataFrame:
+    """The columns as a stored table: what they come from is computed once."""
+    return materialize(df.select(*cols), "diagnostics")
+
+
 def coverage(fact: DataFrame, month_col: str = "month_id") -> DataFrame:
     """Rows, distinct customers, zero-PRE and zero-POST rows and the
-    median incremental revenue per month (exact median, see ``quantiles``)."""
-    m = _monthly(fact, month_col)
+    median incremental revenue per month (exact median, see ``quantiles``).  The
+    columns are stored once and read from there."""
+    m = _stored(
+        _monthly(fact, month_col), "month_id_norm", "customer_id", "pre_revenue", "post_revenue", "incremental_revenue"
+    )
     counts = m.groupBy("month_id_norm").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.countDistinct("customer_id").alias("customers"),
@@ -30,11 +41,11 @@ def coverage(fact: DataFrame, month_col: str = "month_id") -> DataFrame:
 def histogram(fact: DataFrame, bins: int = 60, col: str = "incremental_revenue", month_col: str = "month_id") -> DataFrame:
     """Equal-width bins between the month's min and max; the top edge
     falls in the last bin; a month with one distinct value has one bin."""
-    m = _monthly(fact, month_col).select("month_id_norm", F.col(col).cast("double").alias("__x"))
+    m = _stored(_monthly(fact, month_col).withColumn("__x", F.col(col).cast("double")), "month_id_norm", "__x")
     rng = m.groupBy("month_id_norm").agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
-    # One row per month (bounded by the calendar): broadcast, so a month that
-    # holds most rows is not funnelled through one join task.
-    j = m.join(F.broadcast(rng), "month_id_norm")
+    # One row per month: broadcast, so a month that holds most rows is not
+    # funnelled through one join task.
+    j = m.join(bounded(rng, MAX_MONTHS, "months"), "month_id_norm")
     width = F.col("__hi") - F.col("__lo")
     b = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.floor((F.col("__x") - F.col("__lo")) / width * bins) + 1, F.lit(bins))
@@ -61,12 +72,14 @@ def rate_unpivot(fact: DataFrame, month_col: str = "month_id") -> DataFrame:
 
 def rate_box(fact: DataFrame, month_col: str = "month_id") -> DataFrame:
     """Min, quartiles (linear interpolation) and max per month and period."""
-    u = rate_unpivot(fact, month_col)
-    q = exact_quantiles(
-        u, "rev_per_day", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["month_id_norm", "period"]
+    u = _stored(rate_unpivot(fact, month_col), "month_id_norm", "period", "rev_per_day")
+    return exact_quantiles(
+        u,
+        "rev_per_day",
+        {"q1": 0.25, "median": 0.5, "q3": 0.75},
+        ["month_id_norm", "period"],
+        extremes=("min", "max"),
     )
-    mm = u.groupBy("month_id_norm", "period").agg(F.min("rev_per_day").alias("min"), F.max("rev_per_day").alias("max"))
-    return mm.join(q, ["month_id_norm", "period"])
 
 
 def outliers(fact: DataFrame, n: int = 20, top: bool = True, month_col: str = "month_id") -> DataFrame:

@@ -26,9 +26,9 @@ class Measure:
     format: str
     alias: str
 
-    def agg(self, digits: int | None) -> Column:
+    def agg(self, exact: bool) -> Column:
         f = rsum if self.kind == "sum" else ravg
-        return f(self.column, digits).alias(self.alias)
+        return f(self.column, exact).alias(self.alias)
 
 
 # The published measures (name, column, aggregate, folder, format).
@@ -45,9 +45,9 @@ MEASURES: dict[str, Measure] = {
 NAMES = list(MEASURES)
 
 
-def evaluate(fact: DataFrame, names: list[str], by: list[str] | None = None, digits: int | None = None) -> DataFrame:
+def evaluate(fact: DataFrame, names: list[str], by: list[str] | None = None, exact: bool = False) -> DataFrame:
     """The named measures per group of ``by`` (whole table when empty)."""
-    aggs = [MEASURES[n].agg(digits) for n in names]
+    aggs = [MEASURES[n].agg(exact) for n in names]
     return fact.groupBy(*(by or [])).agg(*aggs)
 
 

@@ -2,11 +2,13 @@
 per group, without gathering a group's values in one task.
 
 ``percentile`` keeps a map of every distinct value of a group in one reducer;
-for a month of a large customer base that is the month.  Here
-``percentile_approx`` (bounded sketch, rank error ``1/accuracy``) first
-brackets the two order statistics around rank ``(n-1)p``; only the distinct
-values inside the bracket are counted exactly, and the exact counts check the
-bracket: if it missed, the query fails instead of returning a wrong value.
+for a month of a large customer base that is the month.  Here one pass of
+``percentile_approx`` (bounded sketch, rank error ``1/accuracy``) brackets the
+order statistics around rank ``(n-1)p`` of every probability.  A second pass counts
+the distinct values inside each bracket, and keeps the count and nearest value
+below it and above it, so the neighbouring rank is at hand however narrow the
+bracket is.  If a rank lies farther out, the query fails instead of returning a
+wrong value.
 """
 
 from __future__ import annotations
@@ -14,67 +16,95 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from beforeafter.operators.ranking import bounded
 
-def _pick(v: DataFrame, stats: DataFrame, g: list[str], col: str) -> DataFrame:
-    """Exact order statistics around rank ``__k`` per group of ``g``.
-
-    ``v`` has ``g`` and ``__v``; ``stats`` has ``g`` and ``__n, __lo, __hi,
-    __k, __frac``.  Returns ``g`` and ``__q``.
-    """
-    # One stats row per group.  It is the broadcast side: a shuffle join on the
-    # group key would put each group (a whole month) in one task.  Groups are
-    # few by use (months, periods, stacked columns).
-    joined = v.join(F.broadcast(stats), g, "inner") if g else v.crossJoin(F.broadcast(stats))
-    # Values below the bracket collapse to one NULL key carrying their count;
-    # values inside keep their own key.  A running count then gives every
-    # distinct value its absolute rank range [start, end).
-    keyed = (
-        joined.where(F.col("__v") <= F.col("__hi"))
-        .groupBy(*g, F.when(F.col("__v") >= F.col("__lo"), F.col("__v")).alias("__key"))
+#: Groups whose brackets may be sent to every task.
+MAX_GROUPS = 50_000
+
+
+def _brackets(v: DataFrame, g: list[str], probs: list[float], accuracy: int) -> DataFrame:
+    """Per group: count, minimum, maximum and one bracket per probability."""
+    eps = 3.0 / accuracy
+    at = [F.lit(x) for p in probs for x in (max(p - eps, 0.0), min(p + eps, 1.0))]
+    agg = v.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.min("__v").alias("__min"),
+        F.max("__v").alias("__max"),
+        F.percentile_approx("__v", F.array(*at), accuracy).alias("__pa"),
+    )
+    parts = [
+        F.struct(
+            F.lit(i).alias("__i"),
+            F.col("__pa")[2 * i].alias("__lo"),
+            F.col("__pa")[2 * i + 1].alias("__hi"),
+            ((F.col("__n") - 1) * F.lit(p)).alias("__pos"),
+        )
+        for i, p in enumerate(probs)
+    ]
+    return agg.select(*g, "__n", "__min", "__max", F.array(*parts).alias("__b"))
+
+
+def _quantiles(v: DataFrame, g: list[str], probs: list[float], what: str, accuracy: int) -> DataFrame:
+    """``g``, ``__n``, ``__min``, ``__max`` and ``__q`` (one entry per probability)
+    for rows ``g``, ``__v`` without nulls and NaN."""
+    brackets = _brackets(v, g, probs, accuracy)
+    side = bounded(brackets.select(*[F.col(c).alias(f"__k{k}") for k, c in enumerate(g)], "__b"), MAX_GROUPS, "groups")
+    if g:
+        on = None
+        for k, c in enumerate(g):
+            same = v[c].eqNullSafe(side[f"__k{k}"])
+            on = same if on is None else on & same
+        joined = v.join(side, on)
+    else:
+        joined = v.crossJoin(side)  # one row of brackets
+    x = joined.select(*g, "__v", F.explode("__b").alias("__s")).select(*g, "__v", "__s.*")
+    place = F.when(F.col("__v") < F.col("__lo"), -1).when(F.col("__v") > F.col("__hi"), 1).otherwise(0)
+    counted = (
+        x.withColumn("__place", place)
+        .groupBy(*g, "__i", "__place", F.when(F.col("__place") == 0, F.col("__v")).alias("__key"))
         .agg(
             F.count(F.lit(1)).alias("__c"),
-            F.max("__n").alias("__n"),
-            F.max("__k").alias("__k"),
-            F.max("__frac").alias("__frac"),
+            F.max("__v").alias("__top"),
+            F.min("__v").alias("__bottom"),
+            F.max("__pos").alias("__pos"),
         )
     )
-    w = Window.partitionBy(*g).orderBy(F.col("__key").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    cum = keyed.withColumn("__end", F.sum("__c").over(w)).withColumn("__start", F.col("__end") - F.col("__c"))
+    order = Window.partitionBy(*g, "__i").orderBy("__place", F.col("__key").asc_nulls_first())
+    run = F.sum("__c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = counted.withColumn("__end", run).withColumn("__start", F.col("__end") - F.col("__c"))
+    below, above = F.col("__place") < 0, F.col("__place") > 0
 
-    def at(r):
-        return F.max(F.when((F.col("__start") <= r) & (r < F.col("__end")), F.col("__key")))
+    def value_at(rank: Column) -> Column:
+        """The value of a rank: any inside the bracket, the last below, the first above."""
+        here = (F.col("__start") <= rank) & (rank < F.col("__end"))
+        known = (~below & ~above) | (below & (rank == F.col("__end") - 1)) | (above & (rank == F.col("__start")))
+        return F.max(F.when(here & known, F.when(above, F.col("__bottom")).otherwise(F.col("__top"))))
 
-    # A rank that falls on the NULL (below-bracket) key yields NULL: the check fails.
-    pick = cum.groupBy(*g).agg(
-        F.max("__n").alias("__n"),
-        F.max("__frac").alias("__frac"),
-        at(F.col("__k")).alias("__x0"),
-        at(F.col("__k") + 1).alias("__x1"),
+    k = F.floor("__pos").cast("long")
+    found = counted.groupBy(*g, "__i").agg(
+        F.max("__pos").alias("__pos"), value_at(k).alias("__x0"), value_at(k + 1).alias("__x1")
     )
-    # With no interpolation weight the upper neighbour is not needed (p = 1 has none).
-    x1 = F.when((F.col("__n") <= 1) | (F.col("__frac") == 0), F.col("__x0")).otherwise(F.col("__x1"))
-    missed = F.when(
-        F.col("__x0").isNull() | x1.isNull(),
-        F.raise_error(F.lit(f"quantile bracket for {col} missed its rank")),
+    part = F.col("__pos") - F.floor("__pos")
+    upper = F.when(part == 0, F.col("__x0")).otherwise(F.col("__x1"))
+    missed = F.raise_error(F.lit(f"quantile bracket for {what} missed its rank")).cast("double")
+    q = F.when(F.col("__x0").isNull() | upper.isNull(), missed).otherwise(
+        F.col("__x0") + part * (upper - F.col("__x0"))
     )
-    return pick.select(
-        *g,
-        F.coalesce(missed.cast("double"), F.col("__x0") + F.col("__frac") * (x1 - F.col("__x0"))).alias("__q"),
+    rows = found.select(*[F.col(c).alias(f"__r{n}") for n, c in enumerate(g)], "__i", q.alias("__qv"))
+    wide = rows.groupBy(*[f"__r{n}" for n in range(len(g))]).agg(
+        *[F.max(F.when(F.col("__i") == i, F.col("__qv"))).alias(f"__q{i}") for i in range(len(probs))]
     )
+    if not g:
+        return brackets.crossJoin(wide)  # two frames of one row
+    on = None
+    for n, c in enumerate(g):
+        same = brackets[c].eqNullSafe(wide[f"__r{n}"])
+        on = same if on is None else on & same
+    return brackets.join(wide, on).drop(*[f"__r{n}" for n in range(len(g))])
 
 
-def _stats(n: Column, vmin: Column, vmax: Column, lo: Column, hi: Column, p: Column, eps: float) -> list[Column]:
-    small = n * F.lit(eps) < F.lit(20.0)
-    pos = (n - 1) * p
-    return [
-        n.alias("__n"),
-        F.when(small, vmin).otherwise(lo).alias("__lo"),
-        F.when(small, vmax).otherwise(hi).alias("__hi"),
-        F.floor(pos).cast("long").alias("__k"),
-        (pos - F.floor(pos)).alias("__frac"),
-    ]
+def _values(df: DataFrame, g: list[str], col: str) -> DataFrame:
+    return df.select(*g, F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
 
 
 def exact_quantiles(
@@ -83,53 +113,27 @@ def exact_quantiles(
     probs: dict[str, float],
     group_cols: list[str] | None = None,
     accuracy: int = 100_000,
+    extremes: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """One row per group with a column per ``probs`` entry (alias -> p)."""
+    """One row per group with a column per ``probs`` entry (alias -> p), and the
+    minimum and maximum under the names ``extremes`` if given.  ``df`` is read
+    twice, for any number of probabilities."""
     g = list(group_cols or [])
-    eps = 3.0 / accuracy
-    v = df.select(*g, F.col(col).cast("double").alias("__v")).where(
-        F.col("__v").isNotNull() & ~F.isnan("__v")
-    )
-    result = None
-    for alias, p in probs.items():
-        agg = v.groupBy(*g).agg(
-            F.count(F.lit(1)).alias("__cnt"),
-            F.min("__v").alias("__vmin"),
-            F.max("__v").alias("__vmax"),
-            F.percentile_approx(
-                "__v", F.array(F.lit(max(p - eps, 0.0)), F.lit(min(p + eps, 1.0))), accuracy
-            ).alias("__pa"),
-        )
-        stats = agg.select(
-            *g,
-            *_stats(F.col("__cnt"), F.col("__vmin"), F.col("__vmax"), F.col("__pa")[0], F.col("__pa")[1], F.lit(p), eps),
-        )
-        q = _pick(v, stats, g, col).withColumnRenamed("__q", alias)
-        result = q if result is None else (result.join(q, g, "inner") if g else result.crossJoin(q))
-    return result
+    out = _quantiles(_values(df, g, col), g, list(probs.values()), col, accuracy)
+    named = [F.col(f"__q{i}").alias(a) for i, a in enumerate(probs)]
+    if extremes:
+        named = [F.col("__min").alias(extremes[0]), F.col("__max").alias(extremes[1]), *named]
+    return out.select(*g, *named)
 
 
 def exact_quantiles_of(df: DataFrame, specs: list[tuple[str, float, str]], accuracy: int = 100_000) -> DataFrame:
     """One row with the quantile ``p`` of column ``col`` as ``alias`` for every
-    ``(col, p, alias)``, from one pass over ``df`` (the columns are stacked and
-    treated as groups)."""
-    eps = 3.0 / accuracy
+    ``(col, p, alias)`` (the columns are stacked and treated as groups)."""
     parts = [F.struct(F.lit(i).alias("__g"), F.col(c).cast("double").alias("__v")) for i, (c, _, _) in enumerate(specs)]
-    v = df.select(F.explode(F.array(*parts)).alias("__s")).select("__s.*").where(
-        F.col("__v").isNotNull() & ~F.isnan("__v")
-    )
-    pcts = []
-    for _, p, _ in specs:
-        pcts += [max(p - eps, 0.0), min(p + eps, 1.0)]
-    agg = v.groupBy("__g").agg(
-        F.count(F.lit(1)).alias("__cnt"),
-        F.min("__v").alias("__vmin"),
-        F.max("__v").alias("__vmax"),
-        F.percentile_approx("__v", F.array(*[F.lit(x) for x in pcts]), accuracy).alias("__pa"),
+    v = df.select(F.explode(F.array(*parts)).alias("__s")).select("__s.*")
+    v = v.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    probs = sorted({float(p) for _, p, _ in specs})
+    q = _quantiles(v, ["__g"], probs, ",".join(c for c, _, _ in specs), accuracy)
+    return q.agg(
+        *[F.max(F.when(F.col("__g") == i, F.col(f"__q{probs.index(float(p))}"))).alias(a) for i, (_, p, a) in enumerate(specs)]
     )
-    p_of_g = F.element_at(F.array(*[F.lit(float(p)) for _, p, _ in specs]), F.col("__g") + 1)
-    lo = F.element_at(F.col("__pa"), F.col("__g") * 2 + 1)
-    hi = F.element_at(F.col("__pa"), F.col("__g") * 2 + 2)
-    stats = agg.select("__g", *_stats(F.col("__cnt"), F.col("__vmin"), F.col("__vmax"), lo, hi, p_of_g, eps))
-    q = _pick(v, stats, ["__g"], ",".join(c for c, _, _ in specs))
-    return q.agg(*[F.max(F.when(F.col("__g") == i, F.col("__q"))).alias(a) for i, (_, _, a) in enumerate(specs)])

@@ -1,11 +1,11 @@
-"""Exact row numbers and NTILE within large groups without one task per group.
-
-``Window.partitionBy(g).orderBy(k)`` sends each whole group to one task; with a
-few large groups (one month of a large customer base) that task holds the
-month.  Here the frame is range-partitioned on ``(g, k...)`` so every task gets
-a slice of bounded size, rows are numbered inside their slice, and per-slice
-counts (at most one row per slice and group: ``partitions + groups`` rows)
-give each slice its offset inside its group.
+"""Exact NTILE within large groups without sorting or gathering a group.
+
+The rows at the ends of the buckets are found by radix selection: the sort key and
+the tie break form one whole number, its digits are counted per group from the
+highest down, and each step keeps the digit in which the wanted row lies.  A step
+returns at most ``groups x wanted rows x DIGIT`` counts, whatever the size of the
+groups.  A row's bucket is then one more than the number of bucket ends below it:
+a comparison with a few numbers per group, so the rows themselves are never moved.
 """
 
 from __future__ import annotations
@@ -13,78 +13,120 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beforeafter.session import reliable_checkpoint
-
-
-def ntile_expr(rn: Column, n: Column, buckets: int) -> Column:
-    """NTILE from a 1-based row number ``rn`` in a group of ``n`` rows: the first
-    ``n mod buckets`` buckets hold one row more (same as SQL ``NTILE``)."""
-    q = F.floor(n / buckets)
-    r = n - q * buckets
-    big = r * (q + 1)
-    return F.when(
-        rn <= big, F.floor((rn - 1) / (q + 1)) + 1
-    ).otherwise(r + F.floor((rn - 1 - big) / F.greatest(q, F.lit(1))) + 1).cast("int")
-
-
-def ranked(
-    df: DataFrame,
-    group: str,
-    order: list[Column],
-    rn_col: str = "__rn",
-    n_col: str = "__n",
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Add ``rn_col`` (1-based position inside ``group`` in ``order``) and
-    ``n_col`` (group size).  ``order`` must make rows unique within a group.
-
-    The range-partitioned frame is checkpointed (reliable, shared folder):
-    range bounds come from sampling, so counts and numbering must read the
-    same materialised slices even if an executor is lost in between.
-    """
-    spark = df.sparkSession
-    k = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.withColumn("__g", F.col(group))
-    sort_keys = [F.col("__g").asc_nulls_last(), *order]
-    t = (
-        keyed.repartitionByRange(k, *sort_keys)
-        .sortWithinPartitions(*sort_keys)
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__pos", F.monotonically_increasing_id())
-    )
-    t = reliable_checkpoint(t)
-    stats = t.groupBy("__g", "__pid").agg(
-        F.count(F.lit(1)).alias("__cnt"), F.min("__pos").alias("__first")
-    )
-    before = Window.partitionBy("__g").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select(
-        F.col("__g").alias("__sg"),
-        F.col("__pid").alias("__spid"),
-        "__first",
-        F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__before"),
-        F.sum("__cnt").over(Window.partitionBy("__g")).alias(n_col),
+from beforeafter.session import materialize
+
+#: Base of the digits that are counted in one step.
+DIGIT = 16384
+#: Groups (months of a calendar) whose bucket ends may be sent to every task.
+MAX_GROUPS = 50_000
+
+
+def bounded(df: DataFrame, limit: int, what: str) -> DataFrame:
+    """``df`` marked for broadcast; a query over more than ``limit`` rows of it
+    fails with a clear message.  For frames that a calendar or a list bounds."""
+    n = F.count(F.lit(1)).over(Window.partitionBy())
+    checked = df.withColumn(
+        "__rows", F.when(n > limit, F.raise_error(F.lit(f"more than {limit} {what}")).cast("long")).otherwise(n)
     )
-    # stats has at most (partitions + groups - 1) rows: slices are contiguous in group order.
-    j = t.join(
-        F.broadcast(stats),
-        t["__g"].eqNullSafe(stats["__sg"]) & (t["__pid"] == stats["__spid"]),
-        "inner",
+    return F.broadcast(checked.where(F.col("__rows") >= 0).drop("__rows"))
+
+
+def bucket_end(n: Column, buckets: int, j: int) -> Column:
+    """Row number (from 1) of the last row of bucket ``j`` among ``n`` rows; the
+    first ``n mod buckets`` buckets hold one row more, as SQL ``NTILE`` has it."""
+    return F.floor(n / buckets) * j + F.least(F.lit(j), n % buckets)
+
+
+def quotient(x: Column, by: int, kind: str) -> Column:
+    """Whole-number quotient; a double in between would lose digits."""
+    return ((x - F.pmod(x, F.lit(by).cast(kind))) / F.lit(by).cast(kind)).cast("long")
+
+
+def _steps(largest: int) -> int:
+    steps = 1
+    while DIGIT**steps <= largest:
+        steps += 1
+    return steps
+
+
+def ntiles(df: DataFrame, group: str, keys: dict[str, Column], tie: Column, buckets: int) -> DataFrame:
+    """``df`` with one column per entry of ``keys``: the row's bucket, 1 to
+    ``buckets``, when its group is ordered by that key (a whole number, never null)
+    and then by ``tie`` (a whole number, nulls last).
+
+    (key, tie) must make rows unique within a group.  ``df`` is read once per step
+    and key digit: pass a stored table.
+    """
+    wide = "decimal(38,0)"
+    low = [F.min(k).alias(f"lo_{n}") for n, k in keys.items()] + [F.max(k).alias(f"hi_{n}") for n, k in keys.items()]
+    # one row of ranges over all groups
+    r = df.agg(*low, F.min(tie).alias("lo_tie"), F.max(tie).alias("hi_tie")).first()
+    ties = (r["hi_tie"] or 0) - (r["lo_tie"] or 0) + 2
+    last = F.coalesce((tie - F.lit(r["lo_tie"] or 0)).cast(wide), F.lit(ties - 1).cast(wide))
+    places, steps = {}, 1
+    for n, k in keys.items():
+        first = r[f"lo_{n}"] or 0
+        places[n] = (k - F.lit(first)).cast(wide) * F.lit(ties).cast(wide) + last
+        steps = max(steps, _steps(((r[f"hi_{n}"] or 0) - first + 1) * ties))
+    if DIGIT**steps < 2**63:  # the same numbers, in a narrower type
+        places = {n: p.cast("long") for n, p in places.items()}
+    kind = "long" if DIGIT**steps < 2**63 else wide
+    rows = df.select(
+        F.col(group).alias("__g"),
+        F.explode(F.array(*[F.struct(F.lit(n).alias("__key"), p.alias("__p")) for n, p in places.items()])).alias("__s"),
+    ).select("__g", "__s.*")
+    sizes = df.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("__n"))
+    ends = sizes.select(
+        "__g",
+        F.explode(F.array(*[F.lit(n) for n in keys])).alias("__key"),
+        F.posexplode(F.array(*[bucket_end(F.col("__n"), buckets, j) for j in range(1, buckets)])).alias("__j", "__rank"),
+        F.lit(0).cast(kind).alias("__from"),
+    ).where("__rank > 0")
+    for step in reversed(range(steps)):
+        unit = F.lit(DIGIT**step).cast(kind)
+        ends = materialize(ends, "ntile-ends")  # a few rows per group; the plan of a step stays flat
+        near = bounded(
+            ends.select(F.col("__g").alias("__ng"), F.col("__key").alias("__nk"), F.col("__from").alias("__nf")).distinct(),
+            MAX_GROUPS * len(keys) * buckets,
+            "groups to rank",
+        )
+        inside = (F.col("__p") >= F.col("__nf")) & (F.col("__p") - F.col("__nf") < F.lit(DIGIT ** (step + 1)).cast(kind))
+        here = rows.join(near, rows["__g"].eqNullSafe(near["__ng"]) & (rows["__key"] == near["__nk"]) & inside)
+        # the digit below the prefix found so far
+        counts = (
+            here.select("__ng", "__nk", "__nf", quotient(F.col("__p") - F.col("__nf"), DIGIT**step, kind).alias("__d"))
+            .groupBy(F.col("__ng").alias("__hg"), F.col("__nk").alias("__hk"), F.col("__nf").alias("__hf"), "__d")
+            .agg(F.count(F.lit(1)).alias("__c"))
+        )
+        upto = F.sum("__c").over(Window.partitionBy("__hg", "__hk", "__hf").orderBy("__d"))
+        counts = counts.withColumn("__upto", upto)
+        ends = (
+            ends.join(
+                counts,
+                ends["__g"].eqNullSafe(counts["__hg"])
+                & (ends["__key"] == counts["__hk"])
+                & (ends["__from"] == counts["__hf"])
+                & (ends["__rank"] <= counts["__upto"])
+                & (ends["__rank"] > counts["__upto"] - counts["__c"]),
+            )
+            .select(
+                "__g",
+                "__key",
+                "__j",
+                (F.col("__rank") - (F.col("__upto") - F.col("__c"))).alias("__rank"),
+                (F.col("__from") + F.col("__d").cast(kind) * unit).cast(kind).alias("__from"),
+            )
+        )
+    ends = materialize(ends, "ntile-ends")
+    table = ends.groupBy(F.col("__g").alias("__tg")).agg(
+        *[F.collect_list(F.when(F.col("__key") == n, F.col("__from"))).alias(f"__ends_{n}") for n in keys]
     )
-    out = j.withColumn(rn_col, F.col("__before") + (F.col("__pos") - F.col("__first")) + 1)
-    return out.drop("__g", "__pid", "__pos", "__sg", "__spid", "__first", "__before")
-
-
-def ntile(
-    df: DataFrame,
-    group: str,
-    order: list[Column],
-    buckets: int,
-    out: str,
-    scalable: bool = True,
-) -> DataFrame:
-    """``NTILE(buckets) OVER (PARTITION BY group ORDER BY order)`` as column ``out``."""
-    if not scalable:
-        w = Window.partitionBy(group).orderBy(*order)
-        return df.withColumn(out, F.ntile(buckets).over(w).cast("int"))
-    r = ranked(df, group, order, rn_col="__rn", n_col="__n")
-    return r.withColumn(out, ntile_expr(F.col("__rn"), F.col("__n"), buckets)).drop("__rn", "__n")
+    table = bounded(table, MAX_GROUPS, "groups to rank")
+    marked = df.join(table, df[group].eqNullSafe(table["__tg"]), "left")
+    return marked.select(*df.columns, *[_bucket(n, p) for n, p in places.items()])
+
+
+def _bucket(name: str, place: Column) -> Column:
+    """One more than the number of bucket ends below a place."""
+    below = F.size(F.filter(f"__ends_{name}", lambda end: end < place))
+    return (F.greatest(below, F.lit(0)) + 1).cast("int").alias(name)

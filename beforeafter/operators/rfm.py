@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 
 from beforeafter.config import DEFAULT, LiftConfig
 from beforeafter.functions.months import month_end as month_end_expr
-from beforeafter.operators.ranking import ntile
+from beforeafter.operators.ranking import bounded, ntiles
 from beforeafter.operators.windows import purchase_days
 from beforeafter.session import materialize
 
 
+#: Months (rows of the calendar) that may be sent to every task.
+MAX_MONTHS = 50_000
+
+
 def month_ends(dates: DataFrame) -> DataFrame:
     """Distinct ``month_id`` of the date dimension with its month end."""
     return dates.select("month_id").distinct().select("month_id", month_end_expr(F.col("month_id")).alias("month_end"))
@@ -37,27 +41,20 @@ def trailing(
 
     A month with no purchase in its window (or whose key does not parse)
     yields one row with a NULL customer and a row count of 1, as the left
-    join of the method does.
+    join of the method does.  The result is stored: the purchases are read once.
     """
     stream = stream if stream is not None else purchase_days(transactions)
     d = stream.where(~F.col("is_repeat")).select("customer_id", "day", "n_rows", "revenue")
-    e = F.broadcast(ends.where(F.col("month_end").isNotNull()))
+    e = bounded(ends.where(F.col("month_end").isNotNull()), MAX_MONTHS, "months")
     j = _reach(d, days).join(e, F.col("__me") == e["month_end"], "inner")
     agg = j.groupBy("customer_id", "month_id", "month_end").agg(
         F.max("day").alias("last_purchase_date"),
         F.sum("n_rows").alias("txns_90d"),
         F.sum("revenue").alias("rev_90d"),
     )
-    # Months with at least one purchase in their window, from the distinct
-    # purchase days (at most one row per calendar day, combined map-side).
-    buy_days = transactions.select(F.col("transaction_date").alias("day")).where(F.col("day").isNotNull()).distinct()
-    present = (
-        _reach(buy_days, days)
-        .join(e, F.col("__me") == e["month_end"], "inner")
-        .select(F.col("month_id").alias("__pm"))
-        .distinct()
-    )
-    empty = ends.join(F.broadcast(present), ends["month_id"].eqNullSafe(present["__pm"]), "left_anti").select(
+    agg = materialize(agg, "rfm-trailing")  # one scan of the purchases; read by every score
+    present = agg.select(F.col("month_id").alias("__pm")).distinct()  # at most one row per month
+    empty = ends.join(bounded(present, MAX_MONTHS, "months"), ends["month_id"].eqNullSafe(present["__pm"]), "left_anti").select(
         F.lit(None).cast("long").alias("customer_id"),
         "month_id",
         "month_end",
@@ -99,40 +96,26 @@ def rfm_values(windowed: DataFrame) -> DataFrame:
     )
 
 
-def score_orders(recency_best_high: bool = False) -> dict[str, list[Column]]:
-    """Sort keys of the three scores.  Ties are broken by ``customer_id`` and
-    the monetary key is rounded to cents, so scores are deterministic."""
-    cid = F.col("customer_id").asc_nulls_last()
-    rec = F.col("recency_days")
+def score_keys(recency_best_high: bool = False) -> dict[str, Column]:
+    """What each score orders by, as whole numbers: days, purchases, cents.  Ties
+    are broken by ``customer_id``, so scores are deterministic."""
+    days = F.col("recency_days").cast("long")
     return {
-        "r_score": [rec.desc() if recency_best_high else rec.asc(), cid],
-        "f_score": [F.col("frequency_90d").asc(), cid],
-        "m_score": [F.round("monetary_90d", 2).asc(), cid],
+        "r_score": -days if recency_best_high else days,
+        "f_score": F.col("frequency_90d").cast("long"),
+        "m_score": F.round(F.round("monetary_90d", 2) * 100).cast("long"),
     }
 
 
-def scores(
-    values: DataFrame,
-    cfg: LiftConfig = DEFAULT,
-    scalable: bool | None = None,
-) -> DataFrame:
-    """Quintile scores within each month.
+def scores(values: DataFrame, cfg: LiftConfig = DEFAULT) -> DataFrame:
+    """Quintile scores within each month, without sorting a month
+    (see :func:`ntiles`).
 
     ``recency_best_high=False`` (default) keeps the documented behaviour in
-    which the most recent buyers get ``r_score = 1``.  ``scalable=True``
-    numbers rows over range slices instead of one task per month;
-    ``scalable=False`` uses ``ntile`` windows.  ``None`` (default) writes the
-    values once and picks: range slices when the largest month has more than
-    ``cfg.ntile_task_rows`` rows (one scalar comes back to the driver).
+    which the most recent buyers get ``r_score = 1``.  ``values`` is read several
+    times: it should come from a stored table, as :func:`trailing` returns it.
     """
-    if scalable is None:
-        values = materialize(values, "rfm-values")
-        biggest = values.groupBy("month_id").count().agg(F.max("count")).first()[0] or 0
-        scalable = biggest > cfg.ntile_task_rows
-    out = values
-    for name, order in score_orders(cfg.recency_best_high).items():
-        out = ntile(out, "month_id", order, cfg.buckets, name, scalable=scalable)
-    return out
+    return ntiles(values, "month_id", score_keys(cfg.recency_best_high), F.col("customer_id"), cfg.buckets)
 
 
 def code() -> Column:
@@ -160,21 +143,11 @@ def segments(
     transactions: DataFrame,
     dates: DataFrame,
     cfg: LiftConfig = DEFAULT,
-    scalable: bool | None = None,
     stream: DataFrame | None = None,
 ) -> DataFrame:
-    """The customer-month RFM dimension: scores, code and segment.
-
-    With ``scalable=None`` a month cannot hold more RFM rows than there are
-    purchase rows (plus the one row of an empty month), so one count of the
-    purchases settles the common case without writing the values; only above
-    the limit does :func:`scores` check the largest month itself.
-    """
-    if scalable is None and transactions.count() + 1 <= cfg.ntile_task_rows:
-        scalable = False
+    """The customer-month RFM dimension: scores, code and segment."""
     v = rfm_values(trailing(transactions, month_ends(dates), cfg.rfm_days, stream))
-    s = scores(v, cfg, scalable=scalable)
-    return s.select(
+    return scores(v, cfg).select(
         "customer_id", "month_id", "r_score", "f_score", "m_score",
         code().alias("rfm_code"), segment().alias("rfm_segment"),
     )

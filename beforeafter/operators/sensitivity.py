@@ -44,12 +44,12 @@ def per_anchor(
     return long.select(*ANCHOR_KEYS, "__p.*")
 
 
-def grid(long: DataFrame, by: list[str] | None = None, digits: int | None = None) -> DataFrame:
+def grid(long: DataFrame, by: list[str] | None = None, exact: bool = False) -> DataFrame:
     """Totals per (pre, post) pair (and per ``by`` group)."""
     return long.groupBy(*(by or []), "pre_days", "post_days").agg(
         F.count(F.lit(1)).alias("customer_months"),
-        rsum("incremental_revenue", digits).alias("incremental_revenue"),
-        rsum("incremental_transactions", digits).alias("incremental_transactions"),
+        rsum("incremental_revenue", exact).alias("incremental_revenue"),
+        rsum("incremental_transactions", exact).alias("incremental_transactions"),
     )
 
 

@@ -8,30 +8,28 @@ from pyspark.sql import functions as F
 from beforeafter.functions.numeric import ravg, rsum
 
 
-def _lift_aggs(count_name: str, digits: int | None = None) -> list:
+def _lift_aggs(count_name: str, exact: bool = False) -> list:
     """Distinct customers, lift sums and the mean delta AOV.
 
-    ``digits`` fixes the presentation precision: sums are rounded to it and
-    the mean is ``round(sum, digits + 2) / count`` so that it does not depend
-    on summation order.
+    ``exact`` sums decimals, so results do not depend on summation order.
     """
     return [
         F.countDistinct("customer_id").alias(count_name),
-        rsum("incremental_revenue", digits).alias("incremental_revenue"),
-        rsum("incremental_transactions", digits).alias("incremental_transactions"),
-        ravg("delta_aov", digits).alias("avg_delta_aov"),
+        rsum("incremental_revenue", exact).alias("incremental_revenue"),
+        rsum("incremental_transactions", exact).alias("incremental_transactions"),
+        ravg("delta_aov", exact).alias("avg_delta_aov"),
     ]
 
 
-def by_month(fact: DataFrame, digits: int | None = None) -> DataFrame:
+def by_month(fact: DataFrame, exact: bool = False) -> DataFrame:
     """per normalised month: distinct customers, lift sums, mean delta AOV."""
     return (
         fact.groupBy(F.col("month_key_yyyymm").alias("month_id"))
-        .agg(*_lift_aggs("exposed_customer_months", digits))
+        .agg(*_lift_aggs("exposed_customer_months", exact))
     )
 
 
-def by_rfm(fact: DataFrame, rfm: DataFrame, digits: int | None = None) -> DataFrame:
+def by_rfm(fact: DataFrame, rfm: DataFrame, exact: bool = False) -> DataFrame:
     """per normalised month and RFM segment; customers without an RFM row
     stay, with a NULL segment.  The join uses the stored ``month_id``."""
     r = rfm.select(
@@ -41,12 +39,12 @@ def by_rfm(fact: DataFrame, rfm: DataFrame, digits: int | None = None) -> DataFr
                     "incremental_transactions", "delta_aov")
     j = f.join(r, (f.customer_id == r.__rc) & (f.month_id == r.__rm), "left")
     return j.groupBy(F.col("month_key_yyyymm").alias("month_id"), "rfm_segment").agg(
-        *_lift_aggs("customers", digits)
+        *_lift_aggs("customers", exact)
     )
 
 
-def by_flags(fact: DataFrame, digits: int | None = None) -> DataFrame:
+def by_flags(fact: DataFrame, exact: bool = False) -> DataFrame:
     """per normalised month, active flag and high-value flag."""
     return fact.groupBy(
         F.col("month_key_yyyymm").alias("month_id"), "is_active", "is_high_value"
-    ).agg(*_lift_aggs("customers", digits))
+    ).agg(*_lift_aggs("customers", exact))

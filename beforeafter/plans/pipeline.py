@@ -10,9 +10,7 @@ Layering as the method does it, with each shared intermediate computed once:
    exported as single CSV files (they are one row per month and group).
 
 Everything lands under ``out_dir``; intermediates go to the shared checkpoint
-folder.  RFM scores are numbered over range slices instead of one task per
-month when a month is larger than ``cfg.ntile_task_rows`` (``scalable=None``,
-default) or always (``scalable=True``).
+folder.
 """
 
 from __future__ import annotations
@@ -38,15 +36,14 @@ def build_gold(
     exposures: DataFrame,
     out_dir: str,
     cfg: LiftConfig = DEFAULT,
-    scalable: bool | None = None,
-    digits: int | None = None,
+    exact: bool = True,
 ) -> dict[str, str]:
     """Write the five gold tables; returns name -> path."""
     spark = transactions.sparkSession
     days = materialize(windows.purchase_days(transactions), "purchase-days")
     pp = windows.pre_post(windows.anchors(exposures), transactions, cfg, days=days)
     fact = lift.fact(pp, customers, cfg)
-    seg = rfm.segments(transactions, dates, cfg, scalable=scalable, stream=days)
+    seg = rfm.segments(transactions, dates, cfg, stream=days)
     base = out_dir.rstrip("/")
     paths = files.export_gold({FACT: fact, RFM: seg}, base)
     fact_t = spark.read.parquet(paths[FACT])
@@ -54,9 +51,9 @@ def build_gold(
     paths.update(
         files.export_gold(
             {
-                MONTH: summary.by_month(fact_t, digits),
-                BY_RFM: summary.by_rfm(fact_t, rfm_t, digits),
-                BY_FLAGS: summary.by_flags(fact_t, digits),
+                MONTH: summary.by_month(fact_t, exact),
+                BY_RFM: summary.by_rfm(fact_t, rfm_t, exact),
+                BY_FLAGS: summary.by_flags(fact_t, exact),
             },
             base,
         )

@@ -9,25 +9,12 @@ from beforeafter.operators import bias, checks, sensitivity, summary
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import round_cols
 from beforeafter.plans.queries_core import chain
-from beforeafter.plans.queries_views import FACT_M, GOLD_VIEWS, G, D
+from beforeafter.plans.queries_views import FACT_M, GOLD_VIEWS, G
 from beforeafter.plans.registry import register
 from beforeafter.sources.bindings import binding_a
 
-MONTH_KEY_SQL = (
-    "CASE WHEN month_id IS NULL THEN NULL "
-    "WHEN regexp_matches(CAST(month_id AS VARCHAR), '^[0-9]{6}$') THEN CAST(month_id AS INT) "
-    "WHEN regexp_matches(CAST(month_id AS VARCHAR), '^[0-9]{8}$') THEN CAST(substr(CAST(month_id AS VARCHAR), 1, 6) AS INT) "
-    "ELSE NULL END"
-)
-
-
-def xsum(x: str) -> str:
-    """Exact sum of the rows rounded to 4 decimals (integer sum of 1e-4 units)."""
-    return f"CAST(SUM(CAST(ROUND(({x}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000"
-
-
-def xavg(x: str) -> str:
-    return f"{xsum(x)} / COUNT({x})"
+MONTH_KEY_SQL = S.month_key("month_id")
+xsum, xavg = S.xsum, S.xavg
 
 
 def _unique_sql(table: str, keys: str) -> str:
@@ -119,7 +106,7 @@ FULL OUTER JOIN ({_roll_sql('agg_flags', 'customers', 'flags')}) f USING (month_
 def q_check_reconcile(spark, sf_dir):
     """Month totals equal the sums over segments and over flags."""
     g = G(spark, sf_dir)
-    return checks.reconcile(g.by_month, g.by_rfm, g.by_flags, digits=D)
+    return checks.reconcile(g.by_month, g.by_rfm, g.by_flags, exact=True)
 
 
 @register(
@@ -216,7 +203,7 @@ def _long(spark, sf_dir):
 def q_sensitivity_grid(spark, sf_dir):
     """PRE 14/28/56 x POST 3/7/14 from one join over the widest window."""
     _, long = _long(spark, sf_dir)
-    return sensitivity.grid(long, digits=D)
+    return sensitivity.grid(long, exact=True)
 
 
 SEG_GRID_SQL = f"""seg_grid AS (SELECT COALESCE(r.rfm_segment, 'Unknown') AS rfm_segment, g.pre_days, g.post_days,
@@ -235,7 +222,7 @@ def _seg_grid(spark, sf_dir):
     j = long.join(seg, (long.customer_id == seg.__rc) & (long.month_id == seg.__rm), "left").withColumn(
         "rfm_segment", F.coalesce("rfm_segment", F.lit("Unknown"))
     )
-    return long, sensitivity.grid(j, by=["rfm_segment"], digits=D)
+    return long, sensitivity.grid(j, by=["rfm_segment"], exact=True)
 
 
 @register("sensitivity_by_segment", S.with_(S.gold_a(), GRID_SQL, SEG_GRID_SQL) + "SELECT * FROM seg_grid")
@@ -265,7 +252,7 @@ def q_sensitivity_sign_flips(spark, sf_dir):
     """Does the direction of lift hold over the grid, per segment and overall?"""
     long, seg_grid = _seg_grid(spark, sf_dir)
     per_seg = sensitivity.stability(seg_grid, by=["rfm_segment"])
-    overall = sensitivity.stability(sensitivity.grid(long, digits=D)).select(
+    overall = sensitivity.stability(sensitivity.grid(long, exact=True)).select(
         F.lit("ALL").alias("rfm_segment"), "n_positive", "n_negative", "n_zero", "stable"
     )
     return per_seg.unionByName(overall)
@@ -278,15 +265,15 @@ def q_sensitivity_sign_flips(spark, sf_dir):
     "rolling_lift",
     S.with_(GOLD_VIEWS)
     + """SELECT month_id, incremental_revenue,
-  CAST(SUM(CAST(ROUND(incremental_revenue * 1000000) AS BIGINT)) OVER w AS DOUBLE) / 1000000 AS rolling_revenue,
-  CAST(SUM(CAST(ROUND(incremental_transactions * 1000000) AS BIGINT)) OVER w AS DOUBLE) / 1000000 AS rolling_transactions,
-  CAST(SUM(CAST(ROUND(avg_delta_aov * 1000000) AS BIGINT)) OVER w AS DOUBLE) / 1000000 / COUNT(avg_delta_aov) OVER w AS rolling_mean_delta_aov,
+  CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) OVER w AS DOUBLE) AS rolling_revenue,
+  CAST(SUM(CAST(incremental_transactions AS DECIMAL(38, 6))) OVER w AS DOUBLE) AS rolling_transactions,
+  CAST(SUM(CAST(avg_delta_aov AS DECIMAL(38, 6))) OVER w AS DOUBLE) / COUNT(avg_delta_aov) OVER w AS rolling_mean_delta_aov,
   COUNT(*) OVER w AS months_in_window
 FROM agg_month WINDOW w AS (ORDER BY month_id ASC NULLS LAST ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def q_rolling_lift(spark, sf_dir):
     """K1: three-month rolling lift."""
-    return bias.rolling(G(spark, sf_dir).by_month, 3, digits=D)
+    return bias.rolling(G(spark, sf_dir).by_month, 3, exact=True)
 
 
 HEAVY_SQL = """
@@ -318,7 +305,7 @@ def q_exclude_promo(spark, sf_dir):
     """K2: month summary without customer-months whose windows touch heavy contact months."""
     c = chain(spark, sf_dir)
     kept = bias.exclude_periods(c.fact, bias.heavy_periods(c.binding.exposures))
-    return summary.by_month(kept, digits=D)
+    return summary.by_month(kept, exact=True)
 
 
 @register(
@@ -333,7 +320,7 @@ def q_promo_vs_quiet(spark, sf_dir):
     """K3: lift in heavy contact periods against quiet periods."""
     c = chain(spark, sf_dir)
     ann = bias.annotate_periods(c.fact, bias.heavy_periods(c.binding.exposures))
-    return bias.compare_periods(ann, digits=D)
+    return bias.compare_periods(ann, exact=True)
 
 
 def _decay_sql(horizon: int) -> str:
@@ -353,14 +340,14 @@ LEFT JOIN (
 def q_post_decay(spark, sf_dir):
     """K4: purchases by day after the anchor over 28 days (orders binding)."""
     c = chain(spark, sf_dir)
-    return bias.decay(c.anchors, c.days, 28, digits=D)
+    return bias.decay(c.anchors, c.days, 28, exact=True)
 
 
 @register("post_decay_events", S.with_(S.chain_b()) + _decay_sql(14))
 def q_post_decay_events(spark, sf_dir):
     """K4 on the dense events binding, 14 days."""
     b_chain = chain(spark, sf_dir, which="b")
-    return bias.decay(b_chain.anchors, b_chain.days, 14, digits=D)
+    return bias.decay(b_chain.anchors, b_chain.days, 14, exact=True)
 
 
 @register(
@@ -380,7 +367,7 @@ GROUP BY f.month_key_yyyymm, r.frozen_segment""",
 def q_summary_rfm_frozen(spark, sf_dir):
     """K5: segment summary with the segment frozen as of the previous month end."""
     g = G(spark, sf_dir)
-    return bias.summary_frozen(g.fact, g.rfm, digits=D)
+    return bias.summary_frozen(g.fact, g.rfm, exact=True)
 
 
 @register(

@@ -13,7 +13,7 @@ from beforeafter.operators import lift, summary, windows
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import FACT_DOUBLES, round_cols, six, sql_round
 from beforeafter.plans.registry import register
-from beforeafter.sources.bindings import Binding, binding_a, binding_b, memo_plan
+from beforeafter.sources.bindings import Binding, binding_a, binding_b
 
 EVENTS_CFG = LiftConfig(pre_days=14, post_days=7)
 EVENTS_SHORT_CFG = LiftConfig(pre_days=7, post_days=3)
@@ -29,16 +29,13 @@ class Chain:
 
 
 def chain(spark: SparkSession, sf_dir: str, cfg: LiftConfig = DEFAULT, which: str = "a") -> Chain:
-    """Binding, purchase stream, anchors, windows and fact (plans, built once per session)."""
+    """Binding, purchase stream, anchors, windows and fact, as lazy plans."""
 
-    def build() -> Chain:
-        b = binding_a(spark, sf_dir) if which == "a" else binding_b(spark, sf_dir)
-        days = windows.purchase_days(b.transactions)
-        anc = windows.anchors(b.exposures)
-        pp = windows.pre_post(anc, b.transactions, cfg, days=days)
-        return Chain(b, days, anc, pp, lift.fact(pp, b.customers, cfg))
-
-    return memo_plan(spark, ("chain", sf_dir, cfg, which), build)
+    b = binding_a(spark, sf_dir) if which == "a" else binding_b(spark, sf_dir)
+    days = windows.purchase_days(b.transactions)
+    anc = windows.anchors(b.exposures)
+    pp = windows.pre_post(anc, b.transactions, cfg, days=days)
+    return Chain(b, days, anc, pp, lift.fact(pp, b.customers, cfg))
 
 
 # ---------------------------------------------------------------- anchors (C)
@@ -52,7 +49,7 @@ def q_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "window_bounds",
     S.with_(S.BINDING_A, S.anchors_sql(), S.pre_post_sql())
-    + "SELECT customer_id, month_id, anchor_exposure_date, pre_start, pre_end, post_start, post_end FROM wins",
+    + "SELECT customer_id, month_id, anchor_exposure_date, pre_start, pre_end, post_start, post_end FROM pre_post",
 )
 def q_window_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.bounds(windows.anchors(binding_a(spark, sf_dir).exposures))
@@ -110,7 +107,7 @@ BASE_COLS = (
 )
 
 
-@register("lift_base", S.with_(S.chain_a()) + f"SELECT {BASE_COLS} FROM f_base")
+@register("lift_base", S.with_(S.chain_a()) + f"SELECT {BASE_COLS} FROM lift_rows")
 def q_lift_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = chain(spark, sf_dir)
     return round_cols(lift.base(c.pre_post, c.binding.customers), PP_DIGITS)
@@ -119,16 +116,7 @@ def q_lift_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "month_key",
     S.with_(S.BINDING_A, S.DATES)
-    + """SELECT month_id, date_id,
-  CASE WHEN month_id IS NULL THEN NULL
-       WHEN regexp_matches(CAST(month_id AS VARCHAR), '^[0-9]{6}$') THEN CAST(month_id AS INT)
-       WHEN regexp_matches(CAST(month_id AS VARCHAR), '^[0-9]{8}$') THEN CAST(substr(CAST(month_id AS VARCHAR), 1, 6) AS INT)
-       ELSE NULL END AS key_from_month,
-  CASE WHEN date_id IS NULL THEN NULL
-       WHEN regexp_matches(CAST(date_id AS VARCHAR), '^[0-9]{6}$') THEN CAST(date_id AS INT)
-       WHEN regexp_matches(CAST(date_id AS VARCHAR), '^[0-9]{8}$') THEN CAST(substr(CAST(date_id AS VARCHAR), 1, 6) AS INT)
-       ELSE NULL END AS key_from_day
-FROM dim_date""",
+    + f"SELECT month_id, date_id, {S.month_key('month_id')} AS key_from_month, {S.month_key('date_id')} AS key_from_day FROM dim_date",
 )
 def q_month_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D2 over both key formats of the calendar (yyyyMM and yyyyMMdd)."""
@@ -157,7 +145,7 @@ DELTA_COLS = ["incremental_revenue", "incremental_transactions", "incremental_fr
 @register(
     "lift_rates",
     sql_round(
-        S.with_(S.chain_a()) + "SELECT customer_id, month_id, " + ", ".join(RATE_COLS) + " FROM f_kpis",
+        S.with_(S.chain_a()) + "SELECT customer_id, month_id, " + ", ".join(RATE_COLS) + " FROM rated",
         six(RATE_COLS),
     ),
 )
@@ -203,26 +191,25 @@ def q_lift_fact_events_short(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- summaries (F)
 
-SUMMARY_MONTH_SQL = """SELECT month_key_yyyymm AS month_id, COUNT(DISTINCT customer_id) AS exposed_customer_months,
-  CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
-  CAST(SUM(CAST(ROUND((incremental_transactions) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
-  CAST(SUM(CAST(ROUND((delta_aov) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(delta_aov) AS avg_delta_aov
+SUMMARY_MONTH_SQL = f"""SELECT month_key_yyyymm AS month_id, COUNT(DISTINCT customer_id) AS exposed_customer_months,
+  {S.xsum('incremental_revenue')} AS incremental_revenue, {S.xsum('incremental_transactions')} AS incremental_transactions,
+  {S.xavg('delta_aov')} AS avg_delta_aov
 FROM fact GROUP BY month_key_yyyymm"""
 
 
 @register("summary_month", S.with_(S.chain_a()) + SUMMARY_MONTH_SQL)
 def q_summary_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.by_month(chain(spark, sf_dir).fact, digits=4)
+    return summary.by_month(chain(spark, sf_dir).fact, exact=True)
 
 
 @register(
     "summary_flags",
     S.with_(S.chain_a())
     + """SELECT month_key_yyyymm AS month_id, is_active, is_high_value, COUNT(DISTINCT customer_id) AS customers,
-  CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
-  CAST(SUM(CAST(ROUND((incremental_transactions) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
-  CAST(SUM(CAST(ROUND((delta_aov) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(delta_aov) AS avg_delta_aov
+  CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_revenue,
+  CAST(SUM(CAST(incremental_transactions AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_transactions,
+  CAST(SUM(CAST(delta_aov AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(delta_aov) AS avg_delta_aov
 FROM fact GROUP BY month_key_yyyymm, is_active, is_high_value""",
 )
 def q_summary_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.by_flags(chain(spark, sf_dir).fact, digits=4)
+    return summary.by_flags(chain(spark, sf_dir).fact, exact=True)

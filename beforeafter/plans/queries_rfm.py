@@ -9,7 +9,6 @@ from beforeafter.config import LiftConfig
 from beforeafter.operators import lift, rfm, summary, windows
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import round_cols
-from beforeafter.plans.queries_core import Chain
 from beforeafter.plans.registry import register
 from beforeafter.session import materialize
 from beforeafter.sources.bindings import binding_a
@@ -30,7 +29,7 @@ def q_month_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "rfm_trailing",
     S.with_(RFM_CHAIN)
-    + "SELECT customer_id, month_id, month_end, last_purchase_date, txns_90d, ROUND(rev_90d, 4) AS rev_90d FROM windowed",
+    + "SELECT customer_id, month_id, month_end, last_purchase_date, txns_90d, ROUND(rev_90d, 4) AS rev_90d FROM trail",
 )
 def q_rfm_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     b, ends = _rfm_parts(spark, sf_dir)
@@ -40,33 +39,37 @@ def q_rfm_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "rfm_values",
     S.with_(RFM_CHAIN)
-    + "SELECT customer_id, month_id, recency_days, frequency_90d, ROUND(monetary_90d, 4) AS monetary_90d FROM scored",
+    + "SELECT customer_id, month_id, recency_days, frequency_90d, ROUND(monetary_90d, 4) AS monetary_90d FROM rfm_values",
 )
 def q_rfm_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     b, ends = _rfm_parts(spark, sf_dir)
     return round_cols(rfm.rfm_values(rfm.trailing(b.transactions, ends)), {"monetary_90d": 4})
 
 
-def _scores(spark: SparkSession, sf_dir: str, scalable: bool, cfg: LiftConfig = LiftConfig()) -> DataFrame:
+def _scores(spark: SparkSession, sf_dir: str, cfg: LiftConfig = LiftConfig()) -> DataFrame:
     b, ends = _rfm_parts(spark, sf_dir)
     v = rfm.rfm_values(rfm.trailing(b.transactions, ends))
-    return rfm.scores(v, cfg, scalable=scalable).select(
-        "customer_id", "month_id", "r_score", "f_score", "m_score"
-    )
+    return rfm.scores(v, cfg).select("customer_id", "month_id", "r_score", "f_score", "m_score")
 
 
-SCORES_SQL = S.with_(RFM_CHAIN) + "SELECT customer_id, month_id, r_score, f_score, m_score FROM bucketed"
+SCORES_SQL = S.with_(RFM_CHAIN) + "SELECT customer_id, month_id, r_score, f_score, m_score FROM rfm_scores"
 
 
 @register("rfm_scores", SCORES_SQL)
 def q_rfm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scores(spark, sf_dir, scalable=False)
+    return _scores(spark, sf_dir)
 
 
-@register("rfm_scores_scalable", SCORES_SQL)
+@register(
+    "rfm_scores_scalable",
+    S.with_(S.BINDING_A, S.DATES, S.rfm_sql(days=30)) + "SELECT customer_id, month_id, r_score, f_score, m_score FROM rfm_scores",
+)
 def q_rfm_scores_scalable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same scores, numbered over range slices instead of one task per month."""
-    return _scores(spark, sf_dir, scalable=True)
+    """Scores over a 30-day window, in which most values are tied, so that the
+    ends of the fifths lie inside ties and are found by customer."""
+    b, ends = _rfm_parts(spark, sf_dir)
+    v = rfm.rfm_values(rfm.trailing(b.transactions, ends, 30))
+    return rfm.scores(v).select("customer_id", "month_id", "r_score", "f_score", "m_score")
 
 
 @register(
@@ -95,24 +98,10 @@ def q_rfm_segments_recency_high(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rfm.segments(b.transactions, b.dates, LiftConfig(recency_best_high=True))
 
 
-def gold(spark: SparkSession, sf_dir: str, scalable: bool | None = None):
-    """Fact and RFM dimension of binding A sharing one purchase stream.
-
-    Both read the customer-day purchase stream, but each prunes it to other
-    columns, so Spark would build it twice (three shuffles of the purchases
-    each time).  The stream is materialised once per call instead (a parquet
-    table in the shared checkpoint folder) and both read it.
-    """
-    b = binding_a(spark, sf_dir)
-    days = materialize(windows.purchase_days(b.transactions), "purchase-days")
-    anc = windows.anchors(b.exposures)
-    pp = windows.pre_post(anc, b.transactions, days=days)
-    fact = lift.fact(pp, b.customers)
-    seg = rfm.segments(b.transactions, b.dates, scalable=scalable, stream=days)
-    return Chain(b, days, anc, pp, fact), seg
-
-
 @register("summary_rfm", S.with_(S.gold_a()) + "SELECT * FROM agg_rfm")
 def q_summary_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, seg = gold(spark, sf_dir)
-    return summary.by_rfm(c.fact, seg, digits=4)
+    """fact and RFM dimension share one stored purchase stream."""
+    b = binding_a(spark, sf_dir)
+    days = materialize(windows.purchase_days(b.transactions), "purchase-days")
+    fact = lift.fact(windows.pre_post(windows.anchors(b.exposures), b.transactions, days=days), b.customers)
+    return summary.by_rfm(fact, rfm.segments(b.transactions, b.dates, stream=days), exact=True)

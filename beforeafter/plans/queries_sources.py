@@ -25,7 +25,7 @@ SQL_TS_FMT = "%Y-%m-%d %H:%M:%S"
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 + A3 + A6: the month summary exported as one CSV file and read back
     strictly with the declared gold schema."""
-    agg = summary.by_month(chain(spark, sf_dir).fact, digits=4)
+    agg = summary.by_month(chain(spark, sf_dir).fact, exact=True)
     folder = files.scratch_dir(spark, "export")
     path = files.export_single_csv(agg, folder, "agg_incrementality_month.csv")
     return files.read_csv_strict(spark, path, schemas.AGG_MONTH)
@@ -83,7 +83,7 @@ def q_table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("optional_source_empty", S.with_(S.chain_a()) + SUMMARY_MONTH_SQL)
 def q_optional_source_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A required file read plus a missing optional file (empty frame)."""
-    agg = summary.by_month(chain(spark, sf_dir).fact, digits=4)
+    agg = summary.by_month(chain(spark, sf_dir).fact, exact=True)
     folder = files.scratch_dir(spark, "gold")
     path = files.export_single_csv(agg, folder, "agg_incrementality_month.csv")
     present = files.read_gold(spark, path, schemas.AGG_MONTH, required=True)
@@ -123,9 +123,9 @@ def q_display_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.register_views({"fact_customer_month_incrementality": fact})
     return spark.sql(
         """SELECT month_key_yyyymm AS month_id, COUNT(DISTINCT customer_id) AS exposed_customer_months,
-  CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
-  CAST(SUM(CAST(ROUND((incremental_transactions) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
-  CAST(SUM(CAST(ROUND((delta_aov) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(delta_aov) AS avg_delta_aov
+  CAST(SUM(CAST(incremental_revenue AS DECIMAL(28, 6))) AS DOUBLE) AS incremental_revenue,
+  CAST(SUM(CAST(incremental_transactions AS DECIMAL(28, 6))) AS DOUBLE) AS incremental_transactions,
+  CAST(SUM(CAST(delta_aov AS DECIMAL(28, 6))) AS DOUBLE) / COUNT(delta_aov) AS avg_delta_aov
 FROM `Fact Customer Month Incrementality` GROUP BY month_key_yyyymm"""
     )
 

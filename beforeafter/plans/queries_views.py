@@ -2,59 +2,58 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from beforeafter.functions.months import month_sort_key
-from beforeafter.operators import diagnostics, summary
+from beforeafter.operators import diagnostics, lift, rfm, summary, windows
 from beforeafter.plans import sql as S
 from beforeafter.plans import views as V
 from beforeafter.plans.present import round_cols
 from beforeafter.plans.queries_core import chain
-from beforeafter.plans.queries_rfm import gold
 from beforeafter.plans.registry import register
+from beforeafter.session import materialize
+from beforeafter.sources.bindings import binding_a
 
-D = 4  # presentation digits of sums
 
 
 class Gold:
-    """Gold tables of binding A for the views, built on first use: views over
-    the fact alone stay one lazy plan; the RFM side (which shares the purchase
-    stream with the fact) comes from :func:`gold`."""
+    """Gold tables of binding A, written on first use and read from there: the
+    purchase stream and the fact once, the RFM dimension once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._sf = spark, sf_dir
-        self._both = None
+        self.binding = binding_a(spark, sf_dir)
 
-    def _gold(self):
-        if self._both is None:
-            self._both = gold(self._spark, self._sf)
-        return self._both
+    @cached_property
+    def days(self):
+        return materialize(windows.purchase_days(self.binding.transactions), "purchase-days")
 
-    @property
-    def chain(self):
-        return self._gold()[0] if self._both is not None else chain(self._spark, self._sf)
+    @cached_property
+    def anchors(self):
+        return windows.anchors(self.binding.exposures)
 
-    @property
+    @cached_property
     def fact(self):
-        return self._both[0].fact if self._both is not None else chain(self._spark, self._sf).fact
+        pp = windows.pre_post(self.anchors, self.binding.transactions, days=self.days)
+        return materialize(lift.fact(pp, self.binding.customers), "fact")
 
-    @property
+    @cached_property
     def rfm(self):
-        return self._gold()[1]
+        return materialize(rfm.segments(self.binding.transactions, self.binding.dates, stream=self.days), "rfm")
 
     @property
     def by_month(self):
-        return summary.by_month(self.fact, digits=D)
+        return summary.by_month(self.fact, exact=True)
 
     @property
     def by_flags(self):
-        return summary.by_flags(self.fact, digits=D)
+        return summary.by_flags(self.fact, exact=True)
 
     @property
     def by_rfm(self):
-        c, seg = self._gold()
-        return summary.by_rfm(c.fact, seg, digits=D)
+        return summary.by_rfm(self.fact, self.rfm, exact=True)
 
 
 def _sort_key_sql(x: str) -> str:
@@ -71,10 +70,10 @@ v_rfm AS (SELECT *, COALESCE(CAST(month_id AS VARCHAR), 'Unknown') AS month_id_n
 v_flags AS (SELECT *, COALESCE(CAST(month_id AS VARCHAR), 'Unknown') AS month_id_norm FROM agg_flags),
 seg_month AS (
   SELECT month_id_norm, month_id_norm AS month_label, COALESCE(rfm_segment, 'Unknown') AS rfm_segment,
-         CAST(SUM(CAST(ROUND(({_num('incremental_revenue')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
-         CAST(SUM(CAST(ROUND(({_num('customers')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS customers,
-         CAST(SUM(CAST(ROUND(({_num('incremental_transactions')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
-         CAST(SUM(CAST(ROUND(({_num('avg_delta_aov')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(*) AS avg_delta_aov
+         CAST(SUM(CAST({_num('incremental_revenue')} AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_revenue,
+         CAST(SUM(CAST({_num('customers')} AS DECIMAL(38, 6))) AS DOUBLE) AS customers,
+         CAST(SUM(CAST({_num('incremental_transactions')} AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_transactions,
+         CAST(SUM(CAST({_num('avg_delta_aov')} AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(*) AS avg_delta_aov
   FROM v_rfm GROUP BY month_id_norm, COALESCE(rfm_segment, 'Unknown')),
 seg_ranked AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY month_id_norm ORDER BY incremental_revenue DESC, rfm_segment ASC) AS t_rn,
@@ -88,9 +87,9 @@ top_bottom AS (
          MAX(CASE WHEN b_rn = 1 THEN incremental_revenue END) AS bottom_rev
   FROM seg_ranked GROUP BY month_id_norm),
 contrib AS (
-  SELECT month_id_norm, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_rev_net,
-         CAST(SUM(CAST(ROUND((CASE WHEN incremental_revenue > 0 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_rev_pos,
-         CAST(SUM(CAST(ROUND((CASE WHEN incremental_revenue < 0 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_rev_neg
+  SELECT month_id_norm, CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) AS DOUBLE) AS total_rev_net,
+         CAST(SUM(CAST(CASE WHEN incremental_revenue > 0 THEN incremental_revenue ELSE 0.0 END AS DECIMAL(38, 6))) AS DOUBLE) AS total_rev_pos,
+         CAST(SUM(CAST(CASE WHEN incremental_revenue < 0 THEN incremental_revenue ELSE 0.0 END AS DECIMAL(38, 6))) AS DOUBLE) AS total_rev_neg
   FROM seg_month GROUP BY month_id_norm),
 shares AS (
   SELECT t.month_id_norm, top_segment, top_rev, total_rev_net, total_rev_pos,
@@ -101,10 +100,10 @@ shares AS (
   FROM top_bottom t JOIN contrib c ON c.month_id_norm = t.month_id_norm),
 active_trend AS (
   SELECT month_id_norm, month_id_norm AS month_label, CAST({_num('is_active')} AS INT) AS is_active,
-         CAST(SUM(CAST(ROUND(({_num('customers')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS customers,
-         CAST(SUM(CAST(ROUND(({_num('incremental_revenue')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
-         CAST(SUM(CAST(ROUND(({_num('incremental_transactions')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
-         CAST(SUM(CAST(ROUND(({_num('avg_delta_aov')}) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(*) AS avg_delta_aov,
+         CAST(SUM(CAST({_num('customers')} AS DECIMAL(38, 6))) AS DOUBLE) AS customers,
+         CAST(SUM(CAST({_num('incremental_revenue')} AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_revenue,
+         CAST(SUM(CAST({_num('incremental_transactions')} AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_transactions,
+         CAST(SUM(CAST({_num('avg_delta_aov')} AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(*) AS avg_delta_aov,
          CASE CAST({_num('is_active')} AS INT) WHEN 0 THEN 'Non-Active' WHEN 1 THEN 'Active' END AS active_group
   FROM v_flags GROUP BY month_id_norm, CAST({_num('is_active')} AS INT)),
 """
@@ -168,18 +167,18 @@ WHERE s.month_id_norm = (SELECT MAX(month_id_norm) FROM v_rfm WHERE month_id_nor
 )
 def q_latest_month_segments(spark, sf_dir):
     """The segment rows of the latest month (semi join, nothing collected)."""
-    return V.for_month(V.segment_month(G(spark, sf_dir).by_rfm, D))
+    return V.for_month(V.segment_month(G(spark, sf_dir).by_rfm, True))
 
 
 @register(
     "headline_kpis",
     q(
-        """SELECT CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_inc_rev, CAST(SUM(CAST(ROUND((incremental_transactions) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS total_inc_txn,
-  CAST(SUM(CAST(ROUND((avg_delta_aov) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(avg_delta_aov) AS mean_of_means_delta_aov FROM agg_month"""
+        """SELECT CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) AS DOUBLE) AS total_inc_rev, CAST(SUM(CAST(incremental_transactions AS DECIMAL(38, 6))) AS DOUBLE) AS total_inc_txn,
+  CAST(SUM(CAST(avg_delta_aov AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(avg_delta_aov) AS mean_of_means_delta_aov FROM agg_month"""
     ),
 )
 def q_headline(spark, sf_dir):
-    return V.headline(G(spark, sf_dir).by_month, D)
+    return V.headline(G(spark, sf_dir).by_month, True)
 
 
 @register(
@@ -198,20 +197,20 @@ FROM seg_ranked"""
     ),
 )
 def q_segment_ranking(spark, sf_dir):
-    return V.segment_ranking(G(spark, sf_dir).by_rfm, D)
+    return V.segment_ranking(G(spark, sf_dir).by_rfm, True)
 
 
 @register(
     "value_split",
     q(
-        """SELECT month_id_norm, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS inc_all,
-  CAST(SUM(CAST(ROUND((CASE WHEN CAST(is_high_value AS INT) = 1 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS inc_high_value,
-  CAST(SUM(CAST(ROUND((CASE WHEN CAST(is_high_value AS INT) = 0 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS inc_low_value
+        """SELECT month_id_norm, CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) AS DOUBLE) AS inc_all,
+  CAST(SUM(CAST(CASE WHEN CAST(is_high_value AS INT) = 1 THEN incremental_revenue ELSE 0.0 END AS DECIMAL(38, 6))) AS DOUBLE) AS inc_high_value,
+  CAST(SUM(CAST(CASE WHEN CAST(is_high_value AS INT) = 0 THEN incremental_revenue ELSE 0.0 END AS DECIMAL(38, 6))) AS DOUBLE) AS inc_low_value
 FROM v_flags GROUP BY month_id_norm"""
     ),
 )
 def q_value_split(spark, sf_dir):
-    return V.value_split(G(spark, sf_dir).by_flags, D)
+    return V.value_split(G(spark, sf_dir).by_flags, True)
 
 
 VALUE_GROUP_SQL = "CASE CAST(is_high_value AS INT) WHEN 0 THEN 'Low Value' WHEN 1 THEN 'High Value' END"
@@ -221,28 +220,28 @@ ACTIVE_GROUP_SQL = "CASE CAST(is_active AS INT) WHEN 0 THEN 'Non-Active' WHEN 1
 @register(
     "by_value_group",
     q(
-        f"""SELECT month_id_norm, value_group, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue
+        f"""SELECT month_id_norm, value_group, CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_revenue
 FROM (SELECT *, {VALUE_GROUP_SQL} AS value_group FROM v_flags) WHERE value_group IS NOT NULL
 GROUP BY month_id_norm, value_group"""
     ),
 )
 def q_by_value_group(spark, sf_dir):
-    return V.by_value_group(G(spark, sf_dir).by_flags, D)
+    return V.by_value_group(G(spark, sf_dir).by_flags, True)
 
 
 @register(
     "active_by_value",
     q(
-        f"""SELECT month_id_norm, active_group, value_group, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue,
-  CAST(SUM(CAST(ROUND((incremental_transactions) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_transactions,
-  CAST(SUM(CAST(ROUND((avg_delta_aov) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 / COUNT(avg_delta_aov) AS avg_delta_aov, CAST(SUM(customers) AS BIGINT) AS customers
+        f"""SELECT month_id_norm, active_group, value_group, CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_revenue,
+  CAST(SUM(CAST(incremental_transactions AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_transactions,
+  CAST(SUM(CAST(avg_delta_aov AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(avg_delta_aov) AS avg_delta_aov, CAST(SUM(customers) AS BIGINT) AS customers
 FROM (SELECT *, {VALUE_GROUP_SQL} AS value_group, {ACTIVE_GROUP_SQL} AS active_group FROM v_flags)
 WHERE value_group IS NOT NULL AND active_group IS NOT NULL
 GROUP BY month_id_norm, active_group, value_group"""
     ),
 )
 def q_active_by_value(spark, sf_dir):
-    return V.active_by_value(G(spark, sf_dir).by_flags, D)
+    return V.active_by_value(G(spark, sf_dir).by_flags, True)
 
 
 @register(
@@ -266,37 +265,37 @@ def q_coerce_numeric(spark, sf_dir):
 
 @register("active_trend", q("SELECT * FROM active_trend"))
 def q_active_trend(spark, sf_dir):
-    return V.active_trend(G(spark, sf_dir).by_flags, D)
+    return V.active_trend(G(spark, sf_dir).by_flags, True)
 
 
 @register(
     "active_split",
     q(
         """SELECT month_id_norm,
-  CAST(SUM(CAST(ROUND((CASE WHEN is_active = 1 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS active_rev,
-  CAST(SUM(CAST(ROUND((CASE WHEN is_active = 0 THEN incremental_revenue ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS nonactive_rev,
-  CAST(SUM(CAST(ROUND((CASE WHEN is_active = 1 THEN incremental_transactions ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS active_txn,
-  CAST(SUM(CAST(ROUND((CASE WHEN is_active = 0 THEN incremental_transactions ELSE 0.0 END) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS nonactive_txn
+  CAST(SUM(CAST(CASE WHEN is_active = 1 THEN incremental_revenue ELSE 0.0 END AS DECIMAL(38, 6))) AS DOUBLE) AS active_rev,
+  CAST(SUM(CAST(CASE WHEN is_active = 0 THEN incremental_revenue ELSE 0.0 END AS DECIMAL(38, 6))) AS DOUBLE) AS nonactive_rev,
+  CAST(SUM(CAST(CASE WHEN is_active = 1 THEN incremental_transactions ELSE 0.0 END AS DECIMAL(38, 6))) AS DOUBLE) AS active_txn,
+  CAST(SUM(CAST(CASE WHEN is_active = 0 THEN incremental_transactions ELSE 0.0 END AS DECIMAL(38, 6))) AS DOUBLE) AS nonactive_txn
 FROM active_trend GROUP BY month_id_norm"""
     ),
 )
 def q_active_split(spark, sf_dir):
-    return V.active_split(G(spark, sf_dir).by_flags, D)
+    return V.active_split(G(spark, sf_dir).by_flags, True)
 
 
 @register("segment_month", q("SELECT * FROM seg_month"))
 def q_segment_month(spark, sf_dir):
-    return V.segment_month(G(spark, sf_dir).by_rfm, D)
+    return V.segment_month(G(spark, sf_dir).by_rfm, True)
 
 
 @register("contribution_split", q("SELECT * FROM contrib"))
 def q_contribution(spark, sf_dir):
-    return V.contribution(G(spark, sf_dir).by_rfm, D)
+    return V.contribution(G(spark, sf_dir).by_rfm, True)
 
 
 @register("top_bottom_segment", q("SELECT * FROM top_bottom"))
 def q_top_bottom(spark, sf_dir):
-    return V.top_bottom(G(spark, sf_dir).by_rfm, D)
+    return V.top_bottom(G(spark, sf_dir).by_rfm, True)
 
 
 @register(
@@ -304,7 +303,7 @@ def q_top_bottom(spark, sf_dir):
     q("SELECT * REPLACE (ROUND(share_of_net, 6) AS share_of_net, ROUND(share_of_positive, 6) AS share_of_positive) FROM shares"),
 )
 def q_shares(spark, sf_dir):
-    return round_cols(V.shares(G(spark, sf_dir).by_rfm, D), SHARE_DIGITS)
+    return round_cols(V.shares(G(spark, sf_dir).by_rfm, True), SHARE_DIGITS)
 
 
 @register(
@@ -316,7 +315,7 @@ def q_shares(spark, sf_dir):
     ),
 )
 def q_contribution_sign(spark, sf_dir):
-    return V.contribution_sign(G(spark, sf_dir).by_rfm, D)
+    return V.contribution_sign(G(spark, sf_dir).by_rfm, True)
 
 
 SEG_SRC = f"""seg_src AS (SELECT COALESCE(rfm_segment, 'Unknown') AS rfm_segment, month_id_norm AS month_label,
@@ -331,25 +330,25 @@ SEG_SRC = f"""seg_src AS (SELECT COALESCE(rfm_segment, 'Unknown') AS rfm_segment
         """grid AS (
   SELECT s.rfm_segment, m.month_label, COALESCE(x.v, 0.0) AS v
   FROM (SELECT DISTINCT rfm_segment FROM seg_src) s CROSS JOIN (SELECT DISTINCT month_label FROM seg_src) m
-  LEFT JOIN (SELECT rfm_segment, month_label, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS v FROM seg_src GROUP BY 1, 2) x
+  LEFT JOIN (SELECT rfm_segment, month_label, CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) AS DOUBLE) AS v FROM seg_src GROUP BY 1, 2) x
     ON x.rfm_segment = s.rfm_segment AND x.month_label = m.month_label),""",
     )
-    + "SELECT * FROM (PIVOT grid ON month_label USING SUM(v) GROUP BY rfm_segment)",
+    + "SELECT rfm_segment, month_label, v AS incremental_revenue FROM grid",
 )
 def q_segment_matrix(spark, sf_dir):
-    return V.segment_matrix(G(spark, sf_dir).by_rfm, D)
+    return V.segment_matrix(G(spark, sf_dir).by_rfm, True)
 
 
 @register(
     "top5_segment_trend",
     S.with_(GOLD_VIEWS, SEG_SRC)
-    + """SELECT rfm_segment, month_label, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS incremental_revenue FROM seg_src
-WHERE rfm_segment IN (SELECT rfm_segment FROM (SELECT rfm_segment, CAST(SUM(CAST(ROUND((incremental_revenue) * 1000000) AS BIGINT)) AS DOUBLE) / 1000000 AS tot FROM seg_src
+    + """SELECT rfm_segment, month_label, CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) AS DOUBLE) AS incremental_revenue FROM seg_src
+WHERE rfm_segment IN (SELECT rfm_segment FROM (SELECT rfm_segment, CAST(SUM(CAST(incremental_revenue AS DECIMAL(38, 6))) AS DOUBLE) AS tot FROM seg_src
                       GROUP BY rfm_segment ORDER BY tot DESC, rfm_segment ASC LIMIT 5))
 GROUP BY rfm_segment, month_label""",
 )
 def q_top5(spark, sf_dir):
-    return V.top_n_trend(G(spark, sf_dir).by_rfm, 5, D)
+    return V.top_n_trend(G(spark, sf_dir).by_rfm, 5, True)
 
 
 # ---------------------------------------------------------------- diagnostics
@@ -378,8 +377,8 @@ def q_coverage(spark, sf_dir):
 @register(
     "lift_histogram",
     qd(
-        """SELECT month_id_norm, bin, ROUND(lo + (bin - 1) * (hi - lo) / 60, 6) AS bin_start,
-  ROUND(lo + bin * (hi - lo) / 60, 6) AS bin_end, COUNT(*) AS row_count
+        """SELECT month_id_norm, bin, ROUND(lo + (bin - 1) * (hi - lo) / 60, 6) + 0.0 AS bin_start,
+  ROUND(lo + bin * (hi - lo) / 60, 6) + 0.0 AS bin_end, COUNT(*) AS row_count
 FROM (SELECT month_id_norm, lo, hi,
         CAST(CASE WHEN hi - lo = 0 THEN 1 ELSE LEAST(FLOOR((x - lo) / (hi - lo) * 60) + 1, 60) END AS INT) AS bin
       FROM (SELECT month_id_norm, incremental_revenue AS x,
@@ -459,8 +458,8 @@ def q_stage_audit(spark, sf_dir):
     g = G(spark, sf_dir)
     return diagnostics.stage_audit(
         {
-            "exposures": g.chain.binding.exposures,
-            "anchors": g.chain.anchors,
+            "exposures": g.binding.exposures,
+            "anchors": g.anchors,
             "fact": g.fact,
             "rfm": g.rfm,
             "agg_month": g.by_month,

@@ -2,13 +2,12 @@
 
 Binding A (orders and shipments): an order is a purchase, a returned shipment
 line is a contact.  Binding B (events): a ``purchase`` event is a purchase, a
-``click`` with ``k >= 80`` from 2024-01-15 on is a contact.  Both read only
+``click`` event is a contact.  Both read only
 the columns they need so the parquet scans prune and push filters.
 """
 
 from __future__ import annotations
 
-import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,45 +26,9 @@ class Binding:
     customer_ids: DataFrame | None = None
 
 
-_READS: dict[tuple, DataFrame] = {}
-_PLANS: dict[tuple, object] = {}
-_LOCK = threading.RLock()
-
-
-def _session_key(spark: SparkSession) -> tuple[str, str]:
-    """Identity of a live session: a new context or a new session never
-    reuses it (unlike ``id()`` of a Python handle)."""
-    return spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
-
-
-def memo_plan(spark: SparkSession, key: tuple, build):
-    """Build a DataFrame (or a bundle of them) once per session and key.
-
-    Only the lazy plan is kept: nothing is cached or materialised, every
-    action still runs the whole plan from the sources.  It saves the driver
-    from analysing the same source plans again for every query.
-    """
-    k = (*_session_key(spark), *key)
-    with _LOCK:
-        out = _PLANS.get(k)
-        if out is None:
-            out = build()
-            _PLANS[k] = out
-    return out
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table ``name`` of ``sf_dir``.  The relation (file listing and
-    footers) is resolved once per session and reused; every use is still a
-    fresh scan with its own pruning and pushed filters."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (*_session_key(spark), path)
-    with _LOCK:
-        df = _READS.get(key)
-        if df is None:
-            df = spark.read.parquet(path)
-            _READS[key] = df
-    return df
+    """The parquet table ``name`` of ``sf_dir``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _day_keys(ts: F.Column) -> tuple[F.Column, F.Column]:
@@ -141,25 +104,31 @@ def exposures_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dates_for(transactions: DataFrame, exposures: DataFrame) -> DataFrame:
-    """Calendar from the first January of the data to the last month end."""
-    days = transactions.select(F.col("transaction_date").alias("d")).unionByName(
-        exposures.select(F.col("exposure_date").alias("d"))
-    )
-    bounds = days.agg(
-        F.trunc(F.min("d"), "year").alias("start"), F.last_day(F.max("d")).alias("end")
-    )
+def dates_between(*days: DataFrame) -> DataFrame:
+    """Calendar from the first January of the data to the last month end.  Each of
+    ``days`` is a frame with one date column ``d``; only its extremes are kept."""
+    ends = None
+    for frame in days:
+        own = frame.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+        ends = own if ends is None else ends.unionByName(own)
+    bounds = ends.agg(F.trunc(F.min("lo"), "year").alias("start"), F.last_day(F.max("hi")).alias("end"))
     return silver.date_dim(bounds)
 
 
 def binding_a(spark: SparkSession, sf_dir: str) -> Binding:
-    def build() -> Binding:
-        tx = transactions_a(spark, sf_dir)
-        ex = exposures_a(spark, sf_dir)
-        ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
-        return Binding(customers_a(spark, sf_dir), dates_for(tx, ex), tx, ex, ids)
-
-    return memo_plan(spark, ("binding_a", sf_dir), build)
+    # the calendar needs the bare date columns only, not the joins of the facts
+    ordered = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
+    shipped = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select(
+        F.to_date("l_shipdate").alias("d")
+    )
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    return Binding(
+        customers_a(spark, sf_dir),
+        dates_between(ordered, shipped),
+        transactions_a(spark, sf_dir),
+        exposures_a(spark, sf_dir),
+        ids,
+    )
 
 
 def transactions_b(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,14 +144,9 @@ def transactions_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exposures_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     _, month_id = _day_keys(F.col("ts"))
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    return ev.where(
-        (F.col("event_type") == "click")
-        & (k >= 80)
-        & (F.to_date("ts") >= F.lit("2024-01-15").cast("date"))
-    ).select(
+    return ev.where(F.col("event_type") == "click").select(
         F.col("event_id").alias("exposure_id"),
         F.col("user_id").alias("customer_id"),
         F.to_date("ts").alias("exposure_date"),
@@ -191,10 +155,10 @@ def exposures_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def binding_b(spark: SparkSession, sf_dir: str) -> Binding:
-    def build() -> Binding:
-        tx = transactions_b(spark, sf_dir)
-        ex = exposures_b(spark, sf_dir)
-        a = binding_a(spark, sf_dir)
-        return Binding(a.customers, dates_for(tx, ex), tx, ex, a.customer_ids)
-
-    return memo_plan(spark, ("binding_b", sf_dir), build)
+    tx = transactions_b(spark, sf_dir)
+    ex = exposures_b(spark, sf_dir)
+    ids = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    days = dates_between(
+        tx.select(F.col("transaction_date").alias("d")), ex.select(F.col("exposure_date").alias("d"))
+    )
+    return Binding(customers_a(spark, sf_dir), days, tx, ex, ids)
