@@ -149,3 +149,30 @@ def zero_shares(fact: DataFrame) -> DataFrame:
         (F.col("zero_pre") / F.col("row_count")).alias("zero_pre_share"),
         (F.col("zero_post") / F.col("row_count")).alias("zero_post_share"),
     )
+
+
+def without_zero_months(fact: DataFrame, most: float) -> DataFrame:
+    """The fact without months in which the share of rows with zero PRE or zero
+    POST revenue is above ``most``."""
+    shares = zero_shares(fact)
+    sparse = shares.where((F.col("zero_pre_share") > most) | (F.col("zero_post_share") > most))
+    named = fact.withColumn("__m", month_norm(F.col("month_id")))
+    return named.join(sparse.select(F.col("month_id_norm").alias("__m")), "__m", "left_anti").drop("__m")
+
+
+def final_gate(total_grid: DataFrame, segments: DataFrame) -> DataFrame:
+    """One row before results go out: whether the direction of the total lift is the
+    same for every window length, and the segments whose lift is negative, by name.
+
+    ``total_grid`` has incremental_revenue per window pair, ``segments`` rfm_segment
+    and incremental_revenue, one row each.
+    """
+    r = F.col("incremental_revenue")
+    direction = total_grid.agg(
+        F.count(F.when(r > 0, 1)).alias("grid_positive"), F.count(F.when(r < 0, 1)).alias("grid_negative")
+    )
+    names = F.sort_array(F.collect_list(F.when(r < 0, F.col("rfm_segment"))))
+    listed = segments.agg(F.array_join(names, ", ").alias("negative_segments"), F.count(F.when(r < 0, 1)).alias("negative_count"))
+    return direction.crossJoin(listed).withColumn(
+        "direction_stable", ~((F.col("grid_positive") > 0) & (F.col("grid_negative") > 0))
+    )

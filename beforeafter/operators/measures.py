@@ -62,3 +62,11 @@ def formatted(df: DataFrame, names: list[str]) -> DataFrame:
         m = MEASURES[n]
         out = out.withColumn(f"{m.alias}_text", fmt(F.col(m.alias), _decimals(m.format)))
     return out
+
+
+def with_segment(fact: DataFrame, rfm: DataFrame) -> DataFrame:
+    """The fact with the segment of its customer and stored month; rows without an
+    RFM row read "Unknown"."""
+    r = rfm.select(F.col("customer_id").alias("__rc"), F.col("month_id").alias("__rm"), "rfm_segment")
+    j = fact.join(r, (fact["customer_id"] == r["__rc"]) & (fact["month_id"] == r["__rm"]), "left")
+    return j.withColumn("rfm_segment", F.coalesce("rfm_segment", F.lit("Unknown"))).drop("__rc", "__rm")

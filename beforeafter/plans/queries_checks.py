@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from beforeafter.config import SENSITIVITY_POST_DAYS, SENSITIVITY_PRE_DAYS
-from beforeafter.operators import bias, checks, sensitivity, summary
+from beforeafter.functions.numeric import rsum
+from beforeafter.operators import bias, checks, measures, sensitivity, summary
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import round_cols
 from beforeafter.plans.queries_core import chain
 from beforeafter.plans.queries_views import FACT_M, GOLD_VIEWS, G
 from beforeafter.plans.registry import register
+from beforeafter.session import materialize
 from beforeafter.sources.bindings import binding_a
 
 MONTH_KEY_SQL = S.month_key("month_id")
@@ -214,15 +216,9 @@ SEG_GRID_SQL = f"""seg_grid AS (SELECT COALESCE(r.rfm_segment, 'Unknown') AS rfm
 
 
 def _seg_grid(spark, sf_dir):
-    c = chain(spark, sf_dir)
-    long = sensitivity.per_anchor(c.anchors, c.days, c.binding.customer_ids)
-    seg = G(spark, sf_dir).rfm.select(
-        F.col("customer_id").alias("__rc"), F.col("month_id").alias("__rm"), "rfm_segment"
-    )
-    j = long.join(seg, (long.customer_id == seg.__rc) & (long.month_id == seg.__rm), "left").withColumn(
-        "rfm_segment", F.coalesce("rfm_segment", F.lit("Unknown"))
-    )
-    return long, sensitivity.grid(j, by=["rfm_segment"], exact=True)
+    g = G(spark, sf_dir)
+    long = materialize(sensitivity.per_anchor(g.anchors, g.days, g.binding.customer_ids), "sensitivity")
+    return long, sensitivity.grid(measures.with_segment(long, g.rfm), by=["rfm_segment"], exact=True)
 
 
 @register("sensitivity_by_segment", S.with_(S.gold_a(), GRID_SQL, SEG_GRID_SQL) + "SELECT * FROM seg_grid")
@@ -258,6 +254,54 @@ def q_sensitivity_sign_flips(spark, sf_dir):
     return per_seg.unionByName(overall)
 
 
+@register(
+    "final_gate",
+    S.with_(
+        S.gold_a(),
+        GRID_SQL,
+        f"""tot_grid AS (SELECT pre_days, post_days, {xsum('incremental_revenue')} AS r FROM sg_long GROUP BY ALL),
+seg_total AS (SELECT COALESCE(rfm_segment, 'Unknown') AS s, {xsum('incremental_revenue')} AS r FROM agg_rfm GROUP BY 1),""",
+    )
+    + """SELECT grid_positive, grid_negative, negative_segments, negative_count,
+  NOT (grid_positive > 0 AND grid_negative > 0) AS direction_stable
+FROM (SELECT COUNT(*) FILTER (WHERE r > 0) AS grid_positive, COUNT(*) FILTER (WHERE r < 0) AS grid_negative FROM tot_grid),
+     (SELECT COALESCE(string_agg(s, ', ' ORDER BY s) FILTER (WHERE r < 0), '') AS negative_segments,
+             COUNT(*) FILTER (WHERE r < 0) AS negative_count FROM seg_total)""",
+)
+def q_final_gate(spark, sf_dir):
+    """Direction over the sensitivity grid and negative segments, in one row."""
+    g = G(spark, sf_dir)
+    long = sensitivity.per_anchor(g.anchors, g.days, g.binding.customer_ids)
+    segments = (
+        g.by_rfm.withColumn("rfm_segment", F.coalesce("rfm_segment", F.lit("Unknown")))
+        .groupBy("rfm_segment")
+        .agg(rsum("incremental_revenue", exact=True).alias("incremental_revenue"))
+    )
+    return checks.final_gate(sensitivity.grid(long, exact=True), segments)
+
+
+#: Months above this share of rows with an empty side are left out.
+MOST_ZERO = 0.97
+
+
+@register(
+    "summary_without_zero_months",
+    S.with_(
+        S.chain_a(),
+        FACT_M,
+        f"""sparse AS (SELECT month_id_norm FROM fm GROUP BY 1
+  HAVING GREATEST(AVG(CAST(pre_revenue = 0 AS INT)), AVG(CAST(post_revenue = 0 AS INT))) > {MOST_ZERO}),""",
+    )
+    + f"""SELECT month_key_yyyymm AS month_id, COUNT(DISTINCT customer_id) AS exposed_customer_months,
+  {xsum('incremental_revenue')} AS incremental_revenue, {xsum('incremental_transactions')} AS incremental_transactions,
+  {xavg('delta_aov')} AS avg_delta_aov
+FROM fm WHERE month_id_norm NOT IN (SELECT month_id_norm FROM sparse) GROUP BY 1""",
+)
+def q_summary_without_zero_months(spark, sf_dir):
+    """The month summary without months whose zero shares are high."""
+    return summary.by_month(checks.without_zero_months(G(spark, sf_dir).fact, MOST_ZERO), exact=True)
+
+
 # ---------------------------------------------------------------- K
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beforeafter.operators import silver, summary
+from beforeafter.functions.numeric import rsum
+from beforeafter.operators import lift, silver, summary, windows
 from beforeafter.plans import pipeline
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import round_cols
@@ -53,7 +57,7 @@ def q_normalize_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: the customer dimension loaded as a managed parquet table (overwrite)."""
     cust = silver.customer(binding_a(spark, sf_dir).customers)
-    return files.load_table(cust, "ba_customer_load", recreate=True)
+    return files.load_table(cust, f"ba_customer_load_{uuid.uuid4().hex}", recreate=True)
 
 
 @register(
@@ -75,9 +79,11 @@ def q_table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ba_fact_transaction": silver.transaction(tx),
         "ba_fact_crm_exposure": silver.exposure(ex),
     }
+    run = f"_{uuid.uuid4().hex}"
     for name, df in loads.items():
-        files.load_table(df, name)
-    return files.row_counts(spark, list(loads))
+        files.load_table(df, name + run)
+    counts = files.row_counts(spark, [name + run for name in loads])
+    return counts.withColumn("table_name", F.replace("table_name", F.lit(run), F.lit("")))
 
 
 @register("optional_source_empty", S.with_(S.chain_a()) + SUMMARY_MONTH_SQL)
@@ -91,29 +97,81 @@ def q_optional_source_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present.unionByName(missing)
 
 
-@register(
-    "export_gold",
-    S.with_(S.gold_a())
-    + """SELECT 'agg_incrementality_active_value' AS table_name, COUNT(*) AS row_count FROM agg_flags
-UNION ALL SELECT 'agg_incrementality_month', COUNT(*) FROM agg_month
-UNION ALL SELECT 'agg_incrementality_rfm', COUNT(*) FROM agg_rfm
-UNION ALL SELECT 'dim_customer_month_rfm', COUNT(*) FROM rfm
-UNION ALL SELECT 'fact_customer_month_incrementality', COUNT(*) FROM fact""",
-)
+EXPORTED = {
+    "agg_incrementality_active_value": ("agg_flags", "customers"),
+    "agg_incrementality_month": ("agg_month", "exposed_customer_months"),
+    "agg_incrementality_rfm": ("agg_rfm", "customers"),
+    "fact_customer_month_incrementality": ("fact", "pre_txn_cnt"),
+}
+
+
+def _export_sql() -> str:
+    lift = [
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, CAST(SUM({number}) AS BIGINT) AS total, "
+        f"{S.xsum('incremental_revenue')} AS incremental_revenue, {S.xsum('incremental_transactions')} AS incremental_transactions FROM {t}"
+        for name, (t, number) in EXPORTED.items()
+    ]
+    scores = (
+        "SELECT 'dim_customer_month_rfm', COUNT(*), CAST(SUM(100 * r_score + 10 * f_score + m_score) AS BIGINT), NULL, NULL FROM rfm"
+    )
+    return S.with_(S.gold_a()) + "\nUNION ALL ".join([*lift, scores])
+
+
+@register("export_gold", _export_sql())
 def q_export_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch pipeline writes the five gold tables (customer grain as
-    month-partitioned parquet, summaries as single CSV files); they are read
-    back and counted."""
+    month-partitioned parquet, summaries as single CSV files); they are read back
+    and their rows and values added up."""
     b = binding_a(spark, sf_dir)
     out = pipeline.build_gold(b.customers, b.dates, b.transactions, b.exposures, files.scratch_dir(spark, "gold"))
+    csv = {
+        pipeline.MONTH: schemas.AGG_MONTH,
+        pipeline.BY_RFM: schemas.AGG_RFM,
+        pipeline.BY_FLAGS: schemas.AGG_ACTIVE_VALUE,
+    }
     parts = []
     for name, path in sorted(out.items()):
-        df = spark.read.parquet(path) if not path.endswith(".csv") else spark.read.option("header", "true").csv(path)
-        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count"))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+        df = files.read_csv_strict(spark, path, csv[name]) if name in csv else spark.read.parquet(path)
+        if name == pipeline.RFM:
+            total = F.sum(F.col("r_score") * 100 + F.col("f_score") * 10 + F.col("m_score"))
+            sums = [F.lit(None).cast("double"), F.lit(None).cast("double")]
+        else:
+            total = F.sum(EXPORTED[name][1])
+            sums = [rsum("incremental_revenue", exact=True), rsum("incremental_transactions", exact=True)]
+        parts.append(
+            df.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                total.cast("long").alias("total"),
+                sums[0].alias("incremental_revenue"),
+                sums[1].alias("incremental_transactions"),
+            ).select(F.lit(name).alias("table_name"), "*")
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("ingest_sources", S.with_(S.chain_a()) + SUMMARY_MONTH_SQL + " HAVING COUNT(*) > 0")
+def q_ingest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four sources as CSV, read strictly, normalised, loaded as
+    tables, conformed, and taken to the month summary."""
+    b = binding_a(spark, sf_dir)
+    # extracts carry timestamps to the second and the responder column of the source
+    exposures = b.exposures.withColumn("is_responder", F.lit(0))
+    sources = {
+        "dim_customer": b.customers,
+        "dim_date": b.dates,
+        "fact_transaction": b.transactions.withColumn("transaction_ts", F.col("transaction_ts").cast("timestamp")),
+        "fact_crm_exposure": exposures.withColumn("exposure_ts", F.col("exposure_ts").cast("timestamp")),
+    }
+    folder = files.scratch_dir(spark, "bronze")
+    paths = {}
+    for name, df in sources.items():
+        paths[name] = f"{folder}/{name}"
+        df.select(*schemas.SCHEMAS[name].fieldNames()).write.option("header", "true").csv(paths[name])
+    bronze = files.ingest(spark, paths, suffix=f"_{uuid.uuid4().hex}")
+    pp = windows.pre_post(
+        windows.anchors(silver.exposure(bronze["fact_crm_exposure"])), silver.transaction(bronze["fact_transaction"])
+    )
+    return summary.by_month(lift.fact(pp, silver.customer(bronze["dim_customer"])), exact=True)
 
 
 @register("display_views", S.with_(S.chain_a()) + SUMMARY_MONTH_SQL)

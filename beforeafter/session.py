@@ -47,10 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
     if not conf_dir:
         if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; set it to a shared (HDFS/S3) folder"
-            )
-        conf_dir = tempfile.mkdtemp(prefix="beforeafter-ckpt-")
+            raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared (HDFS/S3) folder")
+        conf_dir = tempfile.mkdtemp(prefix="beforeafter-ckpt-")  # local master only, as in tests
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from beforeafter.sources.schemas import DATE_COLUMNS, DISPLAY_NAMES
-from beforeafter.session import checkpoint_dir
+from beforeafter.sources.schemas import DATE_COLUMNS, DISPLAY_NAMES, SCHEMAS
+from beforeafter.session import materialize, scratch_path
 
 
 def read_csv_strict(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -47,17 +47,17 @@ def load_table(
     partition_by: list[str] | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """A4: overwrite a managed table (schema may change); optionally drop it first."""
+    """A4: overwrite a managed table (schema may change); optionally drop it first.
+
+    Nothing is deleted that the catalog does not know: a folder that lies in the
+    place of a new table makes the load fail.
+    """
     spark = df.sparkSession
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    if not spark.catalog.tableExists(name):
-        # A folder left by a session whose catalog did not keep the table
-        # blocks a managed table of the same name; the load overwrites it.
-        stale = _managed_location(spark, name)
-        if stale and path_exists(spark, stale):
-            fs, p = _fs(spark, stale)
-            fs.delete(p, True)
+    place = _managed_location(spark, name)
+    if not spark.catalog.tableExists(name) and place and path_exists(spark, place):
+        raise RuntimeError(f"{place} exists but the catalog has no table {name}; remove the folder or use another name")
     w = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -65,6 +65,17 @@ def load_table(
     return spark.table(name)
 
 
+def ingest(spark: SparkSession, paths: dict[str, str], suffix: str = "") -> dict[str, DataFrame]:
+    """A1-A4 for the source tables: strict CSV read with the declared schema, date
+    normalisation, load as managed table ``<name><suffix>``.  ``paths`` maps the
+    names of ``SCHEMAS`` to CSV files; returns the loaded tables by name."""
+    out = {}
+    for name, path in paths.items():
+        bronze = normalize_table(read_csv_strict(spark, path, SCHEMAS[name]), name)
+        out[name] = load_table(bronze, f"{name}{suffix}")
+    return out
+
+
 def row_counts(spark: SparkSession, names: list[str]) -> DataFrame:
     """A5: one row per table with its row count (one job, counts run in parallel)."""
     parts = [
@@ -101,43 +112,40 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    return scratch_path(spark, tag)
 
 
 def export_single_csv(df: DataFrame, export_dir: str, filename: str) -> str:
     """Write ``df`` as exactly one headered CSV file ``export_dir/filename``.
 
     For summary-size tables only: ``coalesce(1)`` funnels the rows through one
-    task.  The frame is first written by its own partitions to a temporary
-    folder next to the target, then coalesced from there, so the upstream plan
-    keeps its parallelism.
+    task.  The frame is first stored by its own partitions and coalesced from
+    there, so the upstream plan keeps its parallelism.  An existing file is put
+    aside until the new one is in place.
     """
     spark = df.sparkSession
-    base = export_dir.rstrip("/")
-    stage = f"{base}/__stage_{filename.replace('.csv', '')}"
-    tmp = f"{base}/__tmp_{filename.replace('.csv', '')}"
-    final = f"{base}/{filename}"
-    df.write.mode("overwrite").parquet(stage)
-    (
-        spark.read.parquet(stage)
-        .coalesce(1)
-        .write.mode("overwrite")
-        .option("header", "true")
-        .csv(tmp)
-    )
-    fs, tmp_path = _fs(spark, tmp)
-    parts = [s.getPath() for s in fs.listStatus(tmp_path) if s.getPath().getName().startswith("part-")
-             and s.getPath().getName().endswith(".csv")]
-    if len(parts) != 1:
-        raise RuntimeError(f"expected exactly one part file in {tmp}, found {len(parts)}")
-    _, final_path = _fs(spark, final)
-    if fs.exists(final_path):
-        fs.delete(final_path, False)
-    if not fs.rename(parts[0], final_path):
-        raise RuntimeError(f"could not move {parts[0]} to {final}")
-    fs.delete(tmp_path, True)
-    fs.delete(_fs(spark, stage)[1], True)
-    return final
+    run = uuid.uuid4().hex  # two exports to one folder do not meet
+    target = f"{export_dir.rstrip('/')}/{filename}"
+    rows = materialize(df, "export")
+    draft = f"{export_dir.rstrip('/')}/.{filename}.{run}"
+    rows.coalesce(1).write.option("header", "true").csv(draft)
+    fs, folder = _fs(spark, draft)
+    written = [f.getPath() for f in fs.globStatus(_fs(spark, f"{draft}/part-*.csv")[1])]
+    if len(written) != 1:
+        raise RuntimeError(f"the export of {filename} wrote {len(written)} files")
+    _, place = _fs(spark, target)
+    _, aside = _fs(spark, f"{draft}.before")
+    had = fs.exists(place)
+    if had and not fs.rename(place, aside):
+        raise RuntimeError(f"{target} is in use")
+    if not fs.rename(written[0], place):
+        if had:
+            fs.rename(aside, place)  # the old file stays as it was
+        raise RuntimeError(f"{target} could not be written")
+    if had:
+        fs.delete(aside, False)
+    fs.delete(folder, True)
+    return target
 
 
 def read_gold(spark: SparkSession, path: str, schema: StructType, required: bool = True) -> DataFrame:

@@ -54,8 +54,8 @@ def test_exact_sums_do_not_depend_on_partitioning(spark):
     rnd = random.Random(1)
     rows = [(rnd.uniform(-1e6, 1e6),) for _ in range(5000)]
     df = spark.createDataFrame(rows, "x double")
-    a = df.repartition(1).agg(rsum("x", 4).alias("s"), ravg("x", 4).alias("m")).first()
-    b = df.repartition(13).agg(rsum("x", 4).alias("s"), ravg("x", 4).alias("m")).first()
+    a = df.repartition(1).agg(rsum("x", exact=True).alias("s"), ravg("x", exact=True).alias("m")).first()
+    b = df.repartition(13).agg(rsum("x", exact=True).alias("s"), ravg("x", exact=True).alias("m")).first()
     assert a == b
 
 
@@ -74,9 +74,29 @@ def test_exact_quantiles_match_numpy(spark):
     assert one.b == np.quantile([g for g, _ in rows], 0.5)
 
 
-def test_exact_quantile_large_input_uses_bracket(spark):
-    """Above the small-input cut-off the percentile_approx bracket is used."""
-    df = spark.range(0, 200_000).select((F.col("id") % 997 * 1.5 + F.col("id") / 1e6).alias("v"))
-    got = exact_quantiles(df, "v", {"q": 0.37}).first().q
-    vals = np.array([(i % 997) * 1.5 + i / 1e6 for i in range(200_000)])
-    assert abs(got - np.quantile(vals, 0.37)) < 1e-9
+def test_exact_quantiles_of_small_groups(spark):
+    """Groups smaller than the bracket: the neighbours beside it are needed."""
+    rnd = random.Random(6)
+    rows = [(n, float(rnd.randint(0, 6))) for n in range(1, 30) for _ in range(n)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    probs = {f"p{k}": k / 20 for k in range(21)}
+    for r in exact_quantiles(df, "v", probs, ["g"], extremes=("lo", "hi")).collect():
+        vals = [v for g, v in rows if g == r.g]
+        assert (r.lo, r.hi) == (min(vals), max(vals))
+        assert all(abs(r[a] - np.quantile(vals, p)) < 1e-12 for a, p in probs.items())
+
+
+def test_exact_quantiles_of_a_large_group(spark):
+    """Far more rows than the sketch keeps: the brackets hold a small part of them."""
+    n = 2_000_000
+    df = spark.range(0, n).select((F.col("id") % 99_991 * 1.5 + F.col("id") / 1e7).alias("v"))
+    got = exact_quantiles(df, "v", {"a": 0.37, "b": 0.5, "c": 0.999}).first()
+    i = np.arange(n)
+    vals = (i % 99_991) * 1.5 + i / 1e7
+    for name, p in (("a", 0.37), ("b", 0.5), ("c", 0.999)):
+        assert abs(got[name] - np.quantile(vals, p)) < 1e-9
+
+
+def test_exact_sums_pass_the_range_of_scaled_longs(spark):
+    df = spark.createDataFrame([(9.0e14,)] * 20 + [(0.25,)], "x double")
+    assert df.agg(rsum("x", exact=True).alias("s")).first().s == 1.8e16 + 0.25

@@ -3,23 +3,18 @@
 from __future__ import annotations
 
 import math
-import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from beforeafter.plans import registry
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
-# A cross-section of every operator family; BA_ORACLE_ALL=1 runs all of them.
-SAMPLE = [
-    "lift_fact", "lift_fact_events", "summary_month", "summary_flags", "summary_rfm", "rfm_segments",
-    "rfm_scores_scalable", "quantile_flags", "segment_shares", "coverage", "narrative_rfm", "measures_total",
-    "sensitivity_grid", "check_reconcile", "post_decay", "segment_transitions", "csv_roundtrip",
-]
+registry.load_all()
 
 
 def _norm(v):
@@ -69,7 +64,8 @@ def duck():
     return con
 
 
-NAMES = sorted(E.oracle_sql()) if os.environ.get("BA_ORACLE_ALL") else SAMPLE
+# Every query of the core registry; those of the optional subpackage have tests of their own.
+NAMES = sorted(registry.ORACLE)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -107,3 +103,20 @@ def test_scans_are_pruned_and_filtered(spark):
             assert "EqualTo(l_returnflag,R)" in ln
         # No scan reads every column of lineitem.
         assert "l_comment" not in ln and "l_extendedprice" not in ln
+
+
+def _scans(df, column):
+    return [ln for ln in _plan(df).splitlines() if "FileScan parquet" in ln and column in ln]
+
+
+def test_calendar_comes_from_the_bare_date_columns(spark):
+    plan = _plan(E.queries()["month_ends"](spark, SF_SMALL))
+    assert "Join" not in plan
+
+
+def test_stored_tables_are_read_instead_of_the_sources(spark):
+    """Views and checks over the gold tables do not reach the sources again."""
+    for name in ("segment_shares", "check_reconcile", "narrative_rfm", "coverage", "rate_box", "lift_histogram"):
+        df = E.queries()[name](spark, SF_SMALL)
+        assert not _scans(df, "l_orderkey") and not _scans(df, "o_orderkey"), name
+    assert len(_scans(E.queries()["promo_vs_quiet"](spark, SF_SMALL), "l_orderkey")) <= 2

@@ -1,10 +1,11 @@
-"""RFM: trailing window, empty months, score direction, ties, range-sliced NTILE."""
+"""RFM: trailing window, empty months, score direction, ties, NTILE by selection."""
 
 from __future__ import annotations
 
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -18,26 +19,37 @@ def _tx(spark, rows):
     )
 
 
-def test_ntile_closed_form_matches_ntile(spark):
-    rows = [(n, i) for n in range(1, 61) for i in range(1, n + 1)]
-    df = spark.createDataFrame(rows, "g int, i int")
-    w = Window.partitionBy("g").orderBy("i")
-    out = df.select(
-        "g", "i", F.ntile(5).over(w).alias("a"),
-        ranking.ntile_expr(F.col("i"), F.count(F.lit(1)).over(Window.partitionBy("g")), 5).alias("b"),
-    )
-    assert out.where(F.col("a") != F.col("b")).count() == 0
+def _window_ntile(df, group, key, tie, buckets):
+    w = Window.partitionBy(group).orderBy(key, F.col(tie).asc_nulls_last())
+    return df.withColumn("t", F.ntile(buckets).over(w))
+
+
+def test_bucket_ends_match_ntile_for_every_group_size(spark):
+    rows = [(n, i) for n in range(1, 41) for i in range(1, n + 1)]
+    df = spark.createDataFrame(rows, "g int, i long")
+    found = ranking.ntiles(df, "g", {"t": F.lit(0).cast("long")}, F.col("i"), 5)
+    wanted = _window_ntile(df, "g", F.lit(0), "i", 5)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in wanted.collect()}
 
 
-def test_range_sliced_ntile_equals_window(spark):
+@pytest.mark.parametrize("spread", [3, 10**6, 10**15])
+def test_selected_ntile_equals_window(spark, spread):
+    """Keys mostly tied, spread out, and too wide for a long together with the tie."""
     rnd = random.Random(3)
-    rows = [(rnd.choice([1, 2, 3, None]), rnd.randint(0, 30), i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "g int, k int, id long")
-    order = [F.col("k").asc(), F.col("id").asc()]
-    a = ranking.ntile(df, "g", order, 5, "t", scalable=False)
-    b = ranking.ntile(df, "g", order, 5, "t", scalable=True)
-    key = lambda r: (r.g is None, r.g or 0, r.k, r.id)
-    assert sorted(a.collect(), key=key) == sorted(b.select(*a.columns).collect(), key=key)
+    rows = [(rnd.choice([1, 2, 3, None]), rnd.randint(-spread, spread), 7 * i) for i in range(3000)]
+    rows += [(g, 5, None) for g in (1, 2)]
+    df = spark.createDataFrame(rows, "g int, k long, id long")
+    found = ranking.ntiles(df, "g", {"t": F.col("k")}, F.col("id"), 5)
+    wanted = _window_ntile(df, "g", F.col("k"), "id", 5)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in wanted.collect()}
+    assert ranking.ntiles(df.where("false"), "g", {"t": F.col("k")}, F.col("id"), 5).count() == 0
+
+
+def test_broadcast_bound_is_enforced(spark):
+    small = ranking.bounded(spark.range(5), 5, "rows")
+    assert spark.range(9).join(small, "id").count() == 5
+    with pytest.raises(Exception, match="more than 4 rows"):
+        spark.range(9).join(ranking.bounded(spark.range(5), 4, "rows"), "id").count()
 
 
 def test_trailing_window_and_empty_month_s15(spark):
@@ -91,15 +103,10 @@ def test_segment_rules_order_s19(spark):
     assert got == ["Champions", "Loyal", "Potential Loyalists", "At Risk", "Lost", "At Risk", "Others"]
 
 
-def test_adaptive_ntile_switches_above_threshold(spark):
+def test_scores_do_not_sort_a_month(spark):
     dates = silver.date_dim_range(spark, "2025-03-01", "2025-04-30")
     rnd = random.Random(11)
     tx = _tx(spark, [(i, rnd.randint(1, 40), dt.date(2025, 3, rnd.randint(1, 31)), float(rnd.randint(1, 9)))
                      for i in range(300)])
-    small = LiftConfig(ntile_task_rows=5)  # every month is "too big": range slices
-    a = rfm.segments(tx, dates, small)
-    b = rfm.segments(tx, dates, scalable=False)
-    key = lambda r: (r.month_id, r.customer_id is None, r.customer_id or 0)
-    assert sorted(a.collect(), key=key) == sorted(b.select(*a.columns).collect(), key=key)
-    plan = a._jdf.queryExecution().executedPlan().toString()
-    assert "ntile" not in plan.lower()
+    plan = rfm.segments(tx, dates)._jdf.queryExecution().executedPlan().toString().lower()
+    assert "ntile" not in plan and "rangepartitioning" not in plan and "fact_transaction" not in plan
