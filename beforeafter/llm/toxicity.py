@@ -55,7 +55,8 @@ def char_counts(docs: DataFrame) -> DataFrame:
                 text = " ".join(t or "" for t in batch.column(0)[at : at + 256].to_pylist())
                 points = np.frombuffer((" " + text + " ").encode("utf-32-le"), np.uint32)
                 c = table[np.minimum(points, 65535)]
-                c = c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]  # one end between two words
+                # one end between two words, two before the first
+                c = np.r_[0, c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]]
                 # the second character of a word sees the end before it, not the word before
                 before = c[:-2].copy()
                 before[c[1:-1] == 0] = 0
@@ -280,7 +281,7 @@ def choose_grams(counts: DataFrame, toxic: int, clean: int, most: int = 4000, le
     return [r["gram"] for r in rows.select("gram").collect()]
 
 
-def fit_logistic(rows: list[tuple[int, list[int]]], n: int, l2: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
+def fit_logistic(rows: list[tuple[int, list[int]]], n: int, l2: float = 0.05, steps: int = 800) -> tuple[np.ndarray, float]:
     """Weights (not below zero) and bias over 0/1 features by projected gradient
     steps with momentum; both labels weigh alike."""
     y = np.array([label for label, _ in rows], float)
