@@ -25,14 +25,17 @@ SQL_TS_FMT = "%Y-%m-%d %H:%M:%S"
 # ---------------------------------------------------------------- A
 
 
-@register("csv_roundtrip", S.with_(S.chain_a()) + SUMMARY_MONTH_SQL)
+@register(
+    "csv_roundtrip",
+    S.with_(S.gold_a()) + "SELECT *, 'agg_incrementality_active_value.csv' AS file_name FROM agg_flags",
+)
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 + A3 + A6: the month summary exported as one CSV file and read back
-    strictly with the declared gold schema."""
-    agg = summary.by_month(chain(spark, sf_dir).fact, exact=True)
-    folder = files.scratch_dir(spark, "export")
-    path = files.export_single_csv(agg, folder, "agg_incrementality_month.csv")
-    return files.read_csv_strict(spark, path, schemas.AGG_MONTH)
+    """A1 + A6: the flag summary exported as one CSV file and read back strictly;
+    every row names the file it came from."""
+    agg = summary.by_flags(chain(spark, sf_dir).fact, exact=True)
+    path = files.export_single_csv(agg, files.scratch_dir(spark, "export"), "agg_incrementality_active_value.csv")
+    back = files.read_csv_strict(spark, path, schemas.AGG_ACTIVE_VALUE)
+    return back.withColumn("file_name", F.element_at(F.split(F.input_file_name(), "/"), -1))
 
 
 @register(
@@ -53,11 +56,14 @@ def q_normalize_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("exposure_id", "exposure_date", F.date_format("exposure_ts", TS_FMT).alias("exposure_ts"))
 
 
-@register("load_table", S.with_(S.BINDING_A) + "SELECT * FROM dim_customer")
+@register("load_table", S.with_(S.BINDING_A) + "SELECT customer_id, is_active FROM dim_customer WHERE is_active = 1")
 def q_load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4: the customer dimension loaded as a managed parquet table (overwrite)."""
+    """A4: a table is loaded, then loaded again with other rows and columns; the
+    second load is what remains."""
     cust = silver.customer(binding_a(spark, sf_dir).customers)
-    return files.load_table(cust, f"ba_customer_load_{uuid.uuid4().hex}", recreate=True)
+    name = f"ba_customer_load_{uuid.uuid4().hex}"
+    files.load_table(cust, name)
+    return files.load_table(cust.where("is_active = 1").select("customer_id", "is_active"), name, recreate=True)
 
 
 @register(
@@ -86,15 +92,29 @@ def q_table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("table_name", F.replace("table_name", F.lit(run), F.lit("")))
 
 
-@register("optional_source_empty", S.with_(S.chain_a()) + SUMMARY_MONTH_SQL)
+@register(
+    "optional_source_empty",
+    S.with_(S.chain_a())
+    + f"""SELECT 'present' AS source, COUNT(*) AS row_count, 5 AS column_count FROM ({SUMMARY_MONTH_SQL})
+UNION ALL SELECT 'missing', 0, 5""",
+)
 def q_optional_source_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A required file read plus a missing optional file (empty frame)."""
+    """A required file that is there, and an optional one that is not: no rows,
+    all columns."""
     agg = summary.by_month(chain(spark, sf_dir).fact, exact=True)
     folder = files.scratch_dir(spark, "gold")
     path = files.export_single_csv(agg, folder, "agg_incrementality_month.csv")
-    present = files.read_gold(spark, path, schemas.AGG_MONTH, required=True)
-    missing = files.read_gold(spark, f"{folder}/not_exported.csv", schemas.AGG_MONTH, required=False)
-    return present.unionByName(missing)
+    found = {
+        "present": files.read_gold(spark, path, schemas.AGG_MONTH, required=True),
+        "missing": files.read_gold(spark, f"{folder}/not_exported.csv", schemas.AGG_MONTH, required=False),
+    }
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("source"), "row_count", F.lit(len(df.columns)).alias("column_count")
+        )
+        for name, df in found.items()
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 EXPORTED = {
@@ -174,17 +194,25 @@ def q_ingest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.by_month(lift.fact(pp, silver.customer(bronze["dim_customer"])), exact=True)
 
 
-@register("display_views", S.with_(S.chain_a()) + SUMMARY_MONTH_SQL)
+@register(
+    "display_views",
+    S.with_(S.chain_a())
+    + f"""SELECT c.customer_id, f.months, c.best_month FROM
+  (SELECT customer_id, arg_max(month_id, (incremental_revenue, -month_id)) AS best_month FROM fact GROUP BY 1) c
+  JOIN (SELECT customer_id, COUNT(*) AS months FROM fact GROUP BY 1) f USING (customer_id)
+  WHERE f.months >= (SELECT COUNT(*) / 40 FROM ({SUMMARY_MONTH_SQL}))""",
+)
 def q_display_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold tables under their business names, queried through SQL."""
+    """Two gold tables under their business names, joined through SQL."""
     fact = chain(spark, sf_dir).fact
-    files.register_views({"fact_customer_month_incrementality": fact})
+    files.register_views(
+        {"fact_customer_month_incrementality": fact, "agg_incrementality_month": summary.by_month(fact, exact=True)}
+    )
     return spark.sql(
-        """SELECT month_key_yyyymm AS month_id, COUNT(DISTINCT customer_id) AS exposed_customer_months,
-  CAST(SUM(CAST(incremental_revenue AS DECIMAL(28, 6))) AS DOUBLE) AS incremental_revenue,
-  CAST(SUM(CAST(incremental_transactions AS DECIMAL(28, 6))) AS DOUBLE) AS incremental_transactions,
-  CAST(SUM(CAST(delta_aov AS DECIMAL(28, 6))) AS DOUBLE) / COUNT(delta_aov) AS avg_delta_aov
-FROM `Fact Customer Month Incrementality` GROUP BY month_key_yyyymm"""
+        """SELECT customer_id, COUNT(*) AS months,
+  max_by(month_id, struct(incremental_revenue, -month_id)) AS best_month
+FROM `Fact Customer Month Incrementality` GROUP BY customer_id
+HAVING COUNT(*) >= (SELECT COUNT(*) / 40 FROM `Agg Incrementality Month`)"""
     )
 
 
@@ -196,9 +224,23 @@ def q_silver_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.customer(binding_a(spark, sf_dir).customers)
 
 
-@register("silver_date", S.with_(S.BINDING_A, S.DATES) + "SELECT * FROM dim_date")
+@register(
+    "silver_date",
+    S.with_(S.BINDING_A, S.DATES)
+    + "SELECT month_id, COUNT(*) AS days, MIN(date) AS first_day, MAX(date_id) AS last_day_id FROM dim_date GROUP BY month_id",
+)
 def q_silver_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.date(binding_a(spark, sf_dir).dates)
+    """B2: a calendar that arrives as text with a column too many, typed, by month."""
+    raw = binding_a(spark, sf_dir).dates.select(F.col("date").alias("d"), "date_id", "month_id")
+    text = raw.select(
+        F.col("d").cast("string").alias("date"),
+        F.col("date_id").cast("string").alias("date_id"),
+        F.col("month_id").cast("string").alias("month_id"),
+        F.dayofweek("d").alias("weekday"),
+    )
+    return silver.date(text).groupBy("month_id").agg(
+        F.count(F.lit(1)).alias("days"), F.min("date").alias("first_day"), F.max("date_id").alias("last_day_id")
+    )
 
 
 @register(

@@ -1,9 +1,9 @@
 """Registry of named queries and their DuckDB oracle SQL.
 
 Every query takes ``(spark, sf_dir)``, reads the given parquet tables through
-a binding and returns a lazy DataFrame.  Numbers are presented at fixed
-precision so two engines can be compared value by value: per-row doubles to 6
-decimals, sums to 4 decimals, and means as ``round(sum, 6) / count``.
+a binding and returns a DataFrame.  Per-row doubles are presented at 6 decimals;
+sums and means add rows as decimals of 6 places, so two engines can be compared
+value by value.
 """
 
 from __future__ import annotations
