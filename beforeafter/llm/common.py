@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beforeafter.session import materialize
+from beforeafter.session import materialize, scratch_path
 
 # A word is a run of anything but ASCII white space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -88,12 +88,19 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="beforeafter-"), "beforeafter-package.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for folder, _, names in os.walk(top):
             for name in names:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    path = scratch_path(spark, "package") + ".zip"
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = store.create(place)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    store.deleteOnExit(place)
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)

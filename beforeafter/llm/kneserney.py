@@ -96,11 +96,8 @@ def save(folder: str, name: str, values: np.ndarray) -> None:
 
     store, base = fs.FileSystem.from_uri(folder)
     store.create_dir(base)
-    with tempfile.TemporaryFile() as f:
-        np.save(f, values)
-        f.seek(0)
-        with store.open_output_stream(f"{base}/{name}.npy") as out:
-            shutil.copyfileobj(f, out)
+    with store.open_output_stream(f"{base}/{name}.npy") as out:
+        np.save(out, values)
 
 
 _COPIES: dict[str, str] = {}

@@ -184,7 +184,8 @@ def dedup_lines(
     parts = split_lines(F.col("text"))
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
     own = [c for c in docs.columns if c.lower() not in counts]
-    joined = docs.join(drop, same, "left")
+    # the list of drops grows with the corpus: never sent to every task
+    joined = docs.join(drop.hint("merge"), same, "left")
     kept = F.when(gone.isNull(), text_of("text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
     )

@@ -212,7 +212,7 @@ class WordEncoder:
         "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([.,!?;:|]*)\\Z"
     )
 
-    def __init__(self, path: str, max_words: int = 700_000):
+    def __init__(self, path: str, max_words: int = 1_600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
@@ -225,7 +225,7 @@ class WordEncoder:
         self.marks: dict[str, bytes] = {}
 
     @classmethod
-    def shared(cls, path: str, max_words: int = 700_000) -> WordEncoder:
+    def shared(cls, path: str, max_words: int = 1_600_000) -> WordEncoder:
         key = (path, max_words)
         if key not in _ENCODERS:
             _ENCODERS[key] = cls(path, max_words)
