@@ -37,9 +37,17 @@ def bucket_end(n: Column, buckets: int, j: int) -> Column:
     return F.floor(n / buckets) * j + F.least(F.lit(j), n % buckets)
 
 
-def quotient(x: Column, by: int, kind: str) -> Column:
-    """Whole-number quotient; a double in between would lose digits."""
-    return ((x - F.pmod(x, F.lit(by).cast(kind))) / F.lit(by).cast(kind)).cast("long")
+def _number(n: int, kind: str) -> Column:
+    """A whole number of any length as a literal."""
+    return F.lit(str(n)).cast(kind)
+
+
+def _quotient(by: int, kind: str) -> Column:
+    """Whole-number quotient of ``__p - __nf``; a double in between would lose digits."""
+    if kind == "long":
+        return F.expr(f"(__p - __nf) div {by}L")
+    x = F.col("__p") - F.col("__nf")
+    return ((x - F.pmod(x, _number(by, kind))) / _number(by, kind)).cast("long")
 
 
 def _steps(largest: int) -> int:
@@ -54,7 +62,8 @@ def ntiles(df: DataFrame, group: str, keys: dict[str, Column], tie: Column, buck
     ``buckets``, when its group is ordered by that key (a whole number, never null)
     and then by ``tie`` (a whole number, nulls last).
 
-    (key, tie) must make rows unique within a group.  ``df`` is read once per step
+    (key, tie) must make rows unique within a group; the product of their ranges
+    must fit 38 digits.  ``df`` is read once per step
     and key digit: pass a stored table.
     """
     wide = "decimal(38,0)"
@@ -62,11 +71,11 @@ def ntiles(df: DataFrame, group: str, keys: dict[str, Column], tie: Column, buck
     # one row of ranges over all groups
     r = df.agg(*low, F.min(tie).alias("lo_tie"), F.max(tie).alias("hi_tie")).first()
     ties = (r["hi_tie"] or 0) - (r["lo_tie"] or 0) + 2
-    last = F.coalesce((tie - F.lit(r["lo_tie"] or 0)).cast(wide), F.lit(ties - 1).cast(wide))
+    last = F.coalesce((tie - F.lit(r["lo_tie"] or 0)).cast(wide), _number(ties - 1, wide))
     places, steps = {}, 1
     for n, k in keys.items():
         first = r[f"lo_{n}"] or 0
-        places[n] = (k - F.lit(first)).cast(wide) * F.lit(ties).cast(wide) + last
+        places[n] = ((k - F.lit(first)).cast(wide) * _number(ties, wide) + last).cast(wide)
         steps = max(steps, _steps(((r[f"hi_{n}"] or 0) - first + 1) * ties))
     if DIGIT**steps < 2**63:  # the same numbers, in a narrower type
         places = {n: p.cast("long") for n, p in places.items()}
@@ -83,18 +92,18 @@ def ntiles(df: DataFrame, group: str, keys: dict[str, Column], tie: Column, buck
         F.lit(0).cast(kind).alias("__from"),
     ).where("__rank > 0")
     for step in reversed(range(steps)):
-        unit = F.lit(DIGIT**step).cast(kind)
+        unit = _number(DIGIT**step, kind)
         ends = materialize(ends, "ntile-ends")  # a few rows per group; the plan of a step stays flat
         near = bounded(
             ends.select(F.col("__g").alias("__ng"), F.col("__key").alias("__nk"), F.col("__from").alias("__nf")).distinct(),
             MAX_GROUPS * len(keys) * buckets,
             "groups to rank",
         )
-        inside = (F.col("__p") >= F.col("__nf")) & (F.col("__p") - F.col("__nf") < F.lit(DIGIT ** (step + 1)).cast(kind))
+        inside = (F.col("__p") >= F.col("__nf")) & (F.col("__p") - F.col("__nf") < _number(DIGIT ** (step + 1), kind))
         here = rows.join(near, rows["__g"].eqNullSafe(near["__ng"]) & (rows["__key"] == near["__nk"]) & inside)
         # the digit below the prefix found so far
         counts = (
-            here.select("__ng", "__nk", "__nf", quotient(F.col("__p") - F.col("__nf"), DIGIT**step, kind).alias("__d"))
+            here.select("__ng", "__nk", "__nf", _quotient(DIGIT**step, kind).alias("__d"))
             .groupBy(F.col("__ng").alias("__hg"), F.col("__nk").alias("__hk"), F.col("__nf").alias("__hf"), "__d")
             .agg(F.count(F.lit(1)).alias("__c"))
         )

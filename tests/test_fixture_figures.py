@@ -29,5 +29,5 @@ def test_orders_binding(spark):
 
 
 def test_events_binding(spark):
-    assert _figures(chain(spark, SF_SMALL, EVENTS_CFG, "b").fact)[:5] == (11, 1, 11, 11, -26.1)
-    assert _figures(chain(spark, SF_SMALL, EVENTS_SHORT_CFG, "b").fact)[:5] == (11, 1, 11, 10, 412.7671)
+    assert _figures(chain(spark, SF_SMALL, EVENTS_CFG, "b").fact)[:5] == (15, 1, 9, 14, 2136.12)
+    assert _figures(chain(spark, SF_SMALL, EVENTS_SHORT_CFG, "b").fact)[:5] == (15, 1, 9, 12, 240.2343)
