@@ -6,14 +6,15 @@
   a channel cost.  Viterbi finds the most probable reading under the trigram model.
   Plain words have one path and are left as they are.
 * A logistic regression over character n-grams of the restored words scores the
-  text.  Its n-grams are chosen by their document counts in all labelled training
-  rows; the weights are fitted on a bounded sample of those rows.
+  text.  Its n-grams are chosen by their counts in all labelled training rows and by
+  how many surroundings they have there; the weights are fitted on a bounded sample of those rows.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from beforeafter.llm.common import arrow_rows, ship_package, stage
+from beforeafter.llm.common import arrow_rows, broadcast_if_small, ship_package, stage, text_of
 
 # --------------------------------------------------------------------------
 # Character model
@@ -100,6 +101,7 @@ _SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*~'](?:[^\W_]|[@$!|])){2,}(?!\w)")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _WORDLIKE = re.compile(r"[^\W\d_]")
 _ALIKE = re.compile(r"[0-9@$!|+(*]")
+_ODD = re.compile(r"[0-9@$!|+(*]|([^\W\d_])\1\1")
 
 
 def slots_of(word: str) -> list[list[tuple[str, float]]] | None:
@@ -133,6 +135,7 @@ class Decoder:
         self.model = model.tolist()
         table = class_table()
         self.table = {c: int(table[min(ord(c), 65535)]) for c in LETTERS}
+        self.memory: dict[str, str] = {}
 
     def read(self, slots: list[list[tuple[str, float]]]) -> tuple[str, float]:
         """The most probable reading and its log probability per letter, the end of
@@ -156,6 +159,20 @@ class Decoder:
         best = max(((p + model[a][b][0], text) for (a, b), (p, text) in states.items()), key=lambda s: (s[0], s[1]))
         return best[1], best[0] / (len(best[1]) + 1)
 
+    def words(self, text: str) -> set[str]:
+        """Distinct words of a text in lower case, and what the odd ones stand for."""
+        text = text.lower()
+        ws = set(text.split())
+        ws.update(spaced_words(text))
+        if len(self.memory) > 200_000:
+            self.memory.clear()
+        memory = self.memory
+        for w in [w for w in ws if _ODD.search(w)]:
+            if w not in memory:
+                memory[w] = self.restore(w)
+            ws.add(memory[w])
+        return ws
+
     def restore(self, word: str) -> str:
         """``word`` (lower case) as it was meant; itself if it is plain or no
         reading is probable enough."""
@@ -205,31 +222,33 @@ class Model:
 
 
 class Reader:
-    """Words of a text -> what a memory of words says about each.  ``learn`` maps a
-    restored word to its entry; ``most`` bounds the memory, a full one is emptied."""
+    """Texts -> n-grams of a fixed list.  ``index`` numbers the n-grams; what a word
+    has is remembered, ``most`` words at a time."""
 
-    def __init__(self, chars: np.ndarray, learn, most: int = 400_000):
-        self.decoder, self.learn, self.most = Decoder(chars), learn, most
-        self.known: dict[str, frozenset] = {}
+    def __init__(self, chars: np.ndarray, index: dict[str, int], most: int = 400_000):
+        self.decoder, self.index, self.most = Decoder(chars), index, most
+        self.known: dict[str, frozenset[int]] = {}
 
-    def of_word(self, word: str) -> frozenset:
-        restored = self.decoder.restore(word)
-        found = set(self.learn(word))
-        if restored != word:
-            found |= self.learn(restored)
-        return frozenset(found)
+    def of_word(self, word: str) -> frozenset[int]:
+        """N-grams of a word as written and as restored."""
+        forms = {word, self.decoder.restore(word)} if _ODD.search(word) else {word}
+        return frozenset(self.index[g] for w in forms for g in word_grams(w) if g in self.index)
 
-    def read(self, text: str) -> set:
+    def read(self, text: str) -> set[int]:
         text = text.lower()
         ws = set(text.split())
         ws.update(spaced_words(text))
         if len(self.known) + len(ws) > self.most:
             self.known.clear()
         known = self.known
+        out: set[int] = set()
         for w in ws:
-            if w not in known:
-                known[w] = self.of_word(w)
-        return set().union(*(found for w in ws if (found := known[w])))
+            found = known.get(w)
+            if found is None:
+                found = known[w] = self.of_word(w)
+            if found:
+                out |= found
+        return out
 
 
 def held_out(doc_id: str = "doc_id", of: int = 3, part: int = 1) -> Column:
@@ -237,35 +256,78 @@ def held_out(doc_id: str = "doc_id", of: int = 3, part: int = 1) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % of == part, F.lit(False))
 
 
-def gram_counts(rows: DataFrame, chars: np.ndarray) -> DataFrame:
-    """(gram, toxic, clean): distinct texts with each n-gram, by label.  ``rows``
-    has text and label."""
+def word_counts(rows: DataFrame, chars: np.ndarray, held: int = 300_000) -> DataFrame:
+    """(word, toxic, clean): distinct texts with each word, as written and as
+    restored, by label.  ``rows`` has text and label; a task sends its counts on
+    whenever it holds ``held`` words."""
     ship_package(rows.sparkSession)
 
     def count(batches):
         import pyarrow as pa
 
-        reader = Reader(chars, word_grams, 100_000)
+        def sent(n):
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(n), pa.string()),
+                    pa.array([v[0] for v in n.values()], pa.int64()),
+                    pa.array([v[1] for v in n.values()], pa.int64()),
+                ],
+                names=["word", "toxic", "clean"],
+            )
+
+        decoder = Decoder(chars)
+        n: dict[str, list[int]] = {}
         for batch in batches:
-            texts, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 100):
-                n: dict[str, list[int]] = {}
-                for t, label in zip(texts[at : at + 100], labels[at : at + 100]):
-                    for g in reader.read(t or ""):
-                        n.setdefault(g, [0, 0])[0 if label == 1 else 1] += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(n), pa.string()), pa.array([v[0] for v in n.values()], pa.int64()), pa.array([v[1] for v in n.values()], pa.int64())],
-                    names=["gram", "toxic", "clean"],
-                )
-
-    counted = rows.select("text", "label").mapInArrow(count, "gram string, toxic long, clean long")
+            for t, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                column = 0 if label == 1 else 1
+                for w in decoder.words(t or ""):
+                    n.setdefault(w, [0, 0])[column] += 1
+                if len(n) >= held:
+                    yield sent(n)
+                    n = {}
+        yield sent(n)
+
+    counted = rows.select("text", "label").mapInArrow(count, "word string, toxic long, clean long")
+    return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def gram_counts(words: DataFrame, held: int = 300_000) -> DataFrame:
+    """(gram, toxic, clean): how often words with each n-gram stand in texts of
+    either label, from the result of ``word_counts``."""
+
+    def count(batches):
+        import pyarrow as pa
+
+        def sent(n):
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(n), pa.string()),
+                    pa.array([v[0] for v in n.values()], pa.int64()),
+                    pa.array([v[1] for v in n.values()], pa.int64()),
+                ],
+                names=["gram", "toxic", "clean"],
+            )
+
+        n: dict[str, list[int]] = {}
+        for batch in batches:
+            for w, toxic, clean in zip(*(c.to_pylist() for c in batch.columns)):
+                for g in word_grams(w):
+                    v = n.setdefault(g, [0, 0])
+                    v[0] += toxic
+                    v[1] += clean
+                if len(n) >= held:
+                    yield sent(n)
+                    n = {}
+        yield sent(n)
+
+    counted = words.select("word", "toxic", "clean").mapInArrow(count, "gram string, toxic long, clean long")
     return counted.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def choose_grams(counts: DataFrame, toxic: int, clean: int, most: int = 4000, least: int = 8) -> list[str]:
     """The ``most`` n-grams that tell toxic texts best, by log-likelihood ratio, of
-    those in at least ``least`` toxic texts and relatively more of them than of clean
-    ones.  Shorter n-grams win ties, so a stem stands for its words."""
+    those found at least ``least`` times in toxic texts and there relatively more
+    often than in clean ones.  Shorter n-grams win ties, so a stem stands for its words."""
     if not toxic or not clean:
         return []
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
@@ -281,7 +343,38 @@ def choose_grams(counts: DataFrame, toxic: int, clean: int, most: int = 4000, le
     return [r["gram"] for r in rows.select("gram").collect()]
 
 
-def fit_logistic(rows: list[tuple[int, list[int]]], n: int, l2: float = 0.05, steps: int = 800) -> tuple[np.ndarray, float]:
+def contexts(rows: DataFrame, chars: np.ndarray, index: dict[str, int]) -> DataFrame:
+    """(gram, n, texts): how many different pairs of neighbouring words the words with
+    each chosen n-gram have, and in how many texts they stand.  Copies of a text add
+    nothing to the first."""
+
+    def count(batches):
+        import pyarrow as pa
+
+        reader = Reader(chars, index)
+        for batch in batches:
+            seen: set[tuple[int, int, int]] = set()
+            for t in batch.column(0).to_pylist():
+                text = zlib.crc32((t or "").encode())
+                ws = ["", *(t or "").lower().split(), ""]
+                hit = {w: reader.read(w) for w in set(ws)}
+                for k in range(1, len(ws) - 1):
+                    if hit[ws[k]]:
+                        around = zlib.crc32(f"{ws[k - 1]} {ws[k + 1]}".encode())
+                        seen.update((g, around, text) for g in hit[ws[k]])
+            columns = [*zip(*seen)] or [(), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())],
+                names=["gram", "context", "in_text"],
+            )
+
+    found = rows.select("text").mapInArrow(count, "gram int, context long, in_text long")
+    return found.groupBy("gram").agg(
+        F.countDistinct("context").alias("n"), F.countDistinct("in_text").alias("texts")
+    )
+
+
+def fit_logistic(rows: list[tuple[int, list[int]]], n: int, l2: float = 0.1, steps: int = 800) -> tuple[np.ndarray, float]:
     """Weights (not below zero) and bias over 0/1 features by projected gradient
     steps with momentum; both labels weigh alike."""
     y = np.array([label for label, _ in rows], float)
@@ -306,8 +399,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 30_000, grams: int =
     """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     Characters are counted over every text, n-grams over every labelled row outside
-    the held-out part.  Weights are fitted on at most ``sample`` of those rows, in
-    the order of a hash of the text.  Texts that occur several times, and rows with
+    the held-out part.  Weights are fitted on about ``sample`` of those rows, taken
+    by a hash of the text.  Texts that occur under several doc_ids, and rows with
     a null label, count once and not at all.  Without rows of both labels the model
     scores every text alike.
     """
@@ -319,34 +412,50 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 30_000, grams: int =
         counts[r["gram"]] = r["n"]
     chars = log_model(counts)
     marked = labels.where(F.col("toxic").isNotNull() & ~held_out()).select("doc_id", F.col("toxic").alias("label"))
-    rows = (
-        docs.select("doc_id", "text")
-        .join(marked, "doc_id")
-        .groupBy(F.xxhash64(F.lit(seed), "text").alias("order"), F.md5(F.col("text").cast("binary")).alias("same"))
-        .agg(F.max("label").cast("int").alias("label"), F.first("text").alias("text"))
+    # one row per text, found without moving texts; then the texts themselves, once
+    keyed = docs.select("doc_id", "text", F.md5(text_of("text").cast("binary")).alias("same"))
+    chosen = keyed.drop("text").join(marked, "doc_id").groupBy("same").agg(
+        F.max("label").cast("int").alias("label"), F.min("doc_id").alias("doc_id")
     )
-    rows = stage(rows, "toxic-rows")
+    rows = keyed.join(broadcast_if_small(stage(chosen, "toxic-ids")), ["doc_id", "same"])
+    rows = stage(rows.select(F.xxhash64(F.lit(seed), "same").alias("order"), "label", "text"), "toxic-rows")
     n = rows.agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("all")).first()
     toxic = n["toxic"] or 0
     with arrow_rows(spark, 1000):
-        found = stage(gram_counts(rows, chars), "toxic-grams")
-    chosen = choose_grams(found, toxic, n["all"] - toxic, grams)
+        words = stage(word_counts(rows, chars), "toxic-words")
+    totals = words.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
+    found = stage(gram_counts(words), "toxic-grams")
+    chosen = choose_grams(found, totals["toxic"] or 0, totals["clean"] or 0, grams)
+    chosen = _spread(rows.where("label = 1"), chars, chosen)
     if not chosen:
         return Model(chars, {}, math.log((toxic + 0.5) / (n["all"] - toxic + 0.5)) if n["all"] else -3.0)
     index = {g: k for k, g in enumerate(chosen)}
+    part = F.pmod("order", F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample / n["all"]))
     with arrow_rows(spark, 1000):
-        fitted = hits(rows.orderBy("order", "same").limit(sample), chars, index).collect()  # at most `sample` rows
+        fitted = hits(rows.where(part), chars, index).collect()  # about `sample` rows, a few numbers each
     w, b = fit_logistic([(r["label"], r["hits"]) for r in fitted], len(chosen))
     return Model(chars, {g: float(w[k]) for g, k in index.items() if w[k] > 0}, b)
 
 
+def _spread(rows: DataFrame, chars: np.ndarray, chosen: list[str], least: int = 8) -> list[str]:
+    """The chosen n-grams that stand in at least ``least`` texts and in at least
+    half as many surroundings: not words of one text and its copies."""
+    if not chosen:
+        return []
+    index = {g: k for k, g in enumerate(chosen)}
+    with arrow_rows(rows.sparkSession, 1000):
+        found = {r["gram"]: r for r in contexts(rows, chars, index).collect()}  # one row per chosen n-gram
+    ok = {k for k, r in found.items() if r["texts"] >= least and 2 * r["n"] >= r["texts"]}
+    return [g for g, k in index.items() if k in ok]
+
+
 def hits(rows: DataFrame, chars: np.ndarray, index: dict[str, int]) -> DataFrame:
     """(label, hits): which of the chosen n-grams each text has."""
 
     def find(batches):
         import pyarrow as pa
 
-        reader = Reader(chars, lambda w: {index[g] for g in word_grams(w) if g in index}, 100_000)
+        reader = Reader(chars, index)
         for batch in batches:
             got = [sorted(reader.read(t or "")) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -373,7 +482,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         names = list(weights)
         index = {g: k for k, g in enumerate(names)}
         w = [weights[g] for g in names]
-        reader = Reader(chars, lambda word: {index[g] for g in word_grams(word) if g in index})
+        reader = Reader(chars, index)
         for batch in batches:
             out = []
             for t in batch.column(1):

@@ -67,10 +67,11 @@ def test_ablations_count_from_the_masks(spark):
 
 
 def test_odd_documents(spark):
-    docs = odd_docs(spark)
+    long = " ".join(f"word{i}" for i in range(30_000))
+    docs = odd_docs(spark, [(4, long, "en", "a"), (4, long, "en", "a"), (None, long, None, None), (5, None, "en", "a"), (6, "", "en", "a")])
     kept = rules.apply_policy(docs)
     assert kept.columns == docs.columns
-    # the long text passes, everything else has under 50 words
-    assert [(r.doc_id, r.failed, r.n_lines) for r in kept.collect()] == [(4, "f", "n")]
+    assert [(r.doc_id, r.failed, r.n_lines) for r in kept.collect()] == [(4, "f", "n"), (4, "f", "n"), (None, "f", "n")]
+    assert rules.apply_policy(odd_docs(spark)).count() == 0  # the long text there is full of symbols
     assert rules.apply_policy(no_docs(spark)).count() == 0
     assert rules.ledger(no_docs(spark)).count() == 0
