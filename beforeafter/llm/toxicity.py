@@ -98,6 +98,8 @@ LEAST = -3.6
 
 _EDGE = "\"',.;:?!()[]{}<>«»“”¿¡…"
 _SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*~'](?:[^\W_]|[@$!|])){2,}(?!\w)")
+#: What every spaced word begins with; quick to rule out.
+_MAYBE = re.compile(r"\s[^\W_][ .\-_*~'][\w@$!|][ .\-_*~'][\w@$!|]")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _WORDLIKE = re.compile(r"[^\W\d_]")
 _ALIKE = re.compile(r"[0-9@$!|+(*]")
@@ -192,6 +194,8 @@ class Decoder:
 
 def spaced_words(text: str) -> list[str]:
     """Words written letter by letter, their gaps closed."""
+    if not _MAYBE.search(" " + text):
+        return []
     return ["".join(c for c in m.group() if c not in GAPS) for m in _SPACED.finditer(text)]
 
 
@@ -225,14 +229,25 @@ class Reader:
     """Texts -> n-grams of a fixed list.  ``index`` numbers the n-grams; what a word
     has is remembered, ``most`` words at a time."""
 
-    def __init__(self, chars: np.ndarray, index: dict[str, int], most: int = 400_000):
-        self.decoder, self.index, self.most = Decoder(chars), index, most
+    def __init__(self, chars: np.ndarray, index: dict[str, int], most: int = 600_000):
+        import ahocorasick
+
+        self.decoder, self.most = Decoder(chars), most
         self.known: dict[str, frozenset[int]] = {}
+        self.finder = ahocorasick.Automaton()
+        for g, k in index.items():
+            self.finder.add_word(g, k)
+        if index:
+            self.finder.make_automaton()
 
     def of_word(self, word: str) -> frozenset[int]:
-        """N-grams of a word as written and as restored."""
-        forms = {word, self.decoder.restore(word)} if _ODD.search(word) else {word}
-        return frozenset(self.index[g] for w in forms for g in word_grams(w) if g in self.index)
+        """Listed n-grams (see ``word_grams``) of a word as written and as restored."""
+        if not len(self.finder):
+            return frozenset()
+        found = {k for _, k in self.finder.iter(f"^{word.strip(_EDGE)}$")}
+        if _ODD.search(word):
+            found.update(k for _, k in self.finder.iter(f"^{self.decoder.restore(word).strip(_EDGE)}$"))
+        return frozenset(found)
 
     def read(self, text: str) -> set[int]:
         text = text.lower()

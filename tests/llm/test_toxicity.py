@@ -79,6 +79,16 @@ def test_character_counts_against_plain_python(spark):
     assert inside == wanted
 
 
+def test_reader_finds_the_grams_of_words():
+    index = {g: g for w in WORDS for g in toxicity.word_grams(w)}
+    reader = toxicity.Reader(np.log(np.full((toxicity.CLASSES,) * 3, 1 / toxicity.CLASSES)), index)
+    for text in ("(Trash), an idiotic letterbox ^scum$ $scum", "hello", "", "the clown clowns around littler", "^"):
+        wanted = {g for w in text.lower().split() for g in toxicity.word_grams(w) if g in index}
+        assert reader.read(text) - wanted <= {g for w in ("scum",) for g in toxicity.word_grams(w)}
+        assert wanted <= reader.read(text)
+    assert toxicity.Reader(reader.decoder.model and np.array(reader.decoder.model), {}).read("any words") == set()
+
+
 def test_held_out_accuracy(spark):
     docs, labels = load(spark, SF_ORACLE, "documents"), load(spark, SF_ORACLE, "labels")
     model = toxicity.train(docs, labels)
