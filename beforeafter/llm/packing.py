@@ -20,7 +20,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -202,7 +201,7 @@ class WordEncoder:
 
     The word BPE drops white space before it looks for merges, so the words of a
     text are encoded independently and their ids can be kept in a dictionary.
-    ``max_words`` bounds the dictionary; a full one is emptied.
+    ``max_words`` bounds the dictionary; a full one is emptied before the next text.
     """
 
     # Composed Latin letters are one pretoken as a run, and so is a
@@ -212,7 +211,7 @@ class WordEncoder:
         "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([.,!?;:|]*)\\Z"
     )
 
-    def __init__(self, path: str, max_words: int = 1_600_000):
+    def __init__(self, path: str, max_words: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
@@ -225,7 +224,7 @@ class WordEncoder:
         self.marks: dict[str, bytes] = {}
 
     @classmethod
-    def shared(cls, path: str, max_words: int = 1_600_000) -> WordEncoder:
+    def shared(cls, path: str, max_words: int = 700_000) -> WordEncoder:
         key = (path, max_words)
         if key not in _ENCODERS:
             _ENCODERS[key] = cls(path, max_words)
@@ -238,37 +237,42 @@ class WordEncoder:
         table = self.id_bytes
         return b"".join([table[t.id] for t in self.merges.tokenize(part)])
 
-    def learn(self, texts: list[list[bytes]]) -> None:
-        """Encode the words of ``texts`` that are not known yet."""
-        missing: set[bytes] = set()
-        for ws in texts:
-            missing.update(filterfalse(self.known.__contains__, ws))
-        if len(self.known) + len(missing) > self.max_words:
-            self.known.clear()
-            missing = set().union(*texts)
-        odd = []
-        match, part, known, marks = self._PLAIN.match, self._part, self.known, self.marks
-        for w in missing:
-            m = match(w.decode())
-            if m is None:
-                odd.append(w)
-            elif end := m[2]:
-                if end not in marks and len(marks) < 1000:
-                    marks[end] = part(end)
-                known[w] = part(m[1].lower()) + (marks.get(end) or part(end))
-            else:
-                known[w] = part(m[1].lower())
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
-        for w, e in zip(odd, coded):
-            known[w] = b"".join([self.id_bytes[i] for i in e.ids])
+    def word(self, word: bytes) -> bytes:
+        """Ids of one word."""
+        text = word.decode()
+        m = self._PLAIN.match(text)
+        if m is None:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return b"".join([self.id_bytes[i] for i in ids])
+        end = m[2]
+        if not end:
+            return self._part(m[1].lower())
+        if end not in self.marks:
+            if len(self.marks) >= 1000:
+                self.marks.clear()
+            self.marks[end] = self._part(end)
+        return self._part(m[1].lower()) + self.marks[end]
+
+    def encode(self, text: bytes) -> bytes:
+        """``text`` in UTF-8.  bytes.lower() and bytes.split() know ASCII only; a
+        text that may hold a special token keeps its case until it is encoded."""
+        ws = (text if b"<|" in text else text.lower()).split()
+        known = self.known
+        got = list(map(known.get, ws))
+        if None in got:
+            if len(known) > self.max_words:
+                known.clear()
+            for k, ids in enumerate(got):
+                if ids is None:
+                    w = ws[k]
+                    ids = known.get(w)
+                    if ids is None:
+                        ids = known[w] = self.word(w)
+                    got[k] = ids
+        return b"".join(got)
 
     def encode_batch(self, texts: list[bytes]) -> list[bytes]:
-        """``texts`` in UTF-8.  bytes.lower() and bytes.split() know ASCII only;
-        a text that may hold a special token keeps its case until it is encoded."""
-        parts = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self.learn(parts)
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in parts]
+        return [self.encode(t) for t in texts]
 
 
 def token_pieces(
