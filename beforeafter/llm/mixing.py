@@ -10,9 +10,10 @@ hypergeometric draw of its slots (as if they were shuffled and cut), and a leaf'
 counts are the quotas of one shard.  Shards draw consecutive, hence disjoint,
 slots of each source and are shuffled locally.
 
-Which documents are drawn is a comparison of their key with one cut per source,
-so texts are neither sorted nor joined.  DataFrame operations only; the tree works
-on one row of counts per source.
+A document's places are the handed slots that hold its block, and in the slot at
+the edge a comparison of its key with one cut per source; how often it is drawn is
+the number of its places.  Counting them neither sorts nor joins texts.  DataFrame
+operations only; the tree works on one row of counts per source.
 """
 
 from __future__ import annotations
@@ -116,6 +117,7 @@ class Mixture:
             docs.select("doc_id", "source", key_of(seed).alias("key"), size_of().alias("size")), "mix-sized"
         )
         self.cuts = self._cuts()
+        self._handed: DataFrame | None = None
 
     def _cuts(self) -> DataFrame:
         block = F.conv(F.substring("key", 1, BLOCK_DIGITS), 16, 10).cast("int")
@@ -187,20 +189,36 @@ class Mixture:
             found.join(named, F.col("source").eqNullSafe(F.col("_of")), "left").drop("_of", "rest"), "mix-sources"
         )
 
-    def _apply(self, rows: DataFrame, key: Column) -> DataFrame:
-        """``rows`` (with a source column) with ``times``: how often each is drawn,
-        and the row of its source as a struct ``_cut``."""
-        cuts = self.cuts.select(F.struct(*self.cuts.columns).alias("_cut"))
+    def _place(self, rows: DataFrame, key: Column) -> DataFrame:
+        """``rows`` (with a source column) with ``places``: a struct (copy, shard)
+        for each slot that the tree hands to a shard and that draws the row, and the
+        row of its source as a struct ``_cut``.
+
+        A copy's slot is its block in that pass; the slot at the edge draws the keys
+        up to the cut and the extra document.  A slot beyond the last shard's is
+        nobody's."""
+        cuts = self.handed().select(F.struct(*self.handed().columns).alias("_cut"))
         c = F.col("_cut")
         again = F.coalesce((key <= c["cut"]) | (key == F.coalesce(c["extra"], F.lit(""))), F.lit(False))
+        block = F.conv(F.substring(key, 1, BLOCK_DIGITS), 16, 10).cast("int")
+
+        def slot(k: Column) -> Column:
+            return k * self.blocks + F.when(k == c["passes"], F.least(block, c["edge"])).otherwise(block)
+
+        def shard(k: Column) -> Column:
+            return F.size(F.filter(c["upto"], lambda end: end <= slot(k)))
+
+        passes = F.filter(F.sequence(F.lit(0), c["passes"]), lambda k: (k < c["passes"]) | again)
+        places = F.transform(passes, lambda k: F.struct(k.alias("copy"), shard(k).alias("shard")))
         return rows.join(broadcast_if_small(cuts), F.col("source").eqNullSafe(c["source"])).withColumn(
-            "times", c["passes"] + again.cast("int")
+            "places", F.filter(places, lambda p: p["shard"] < self.shards)
         )
 
     def plan(self) -> DataFrame:
-        """doc_id, size, source_size, target, times for every row of the input."""
-        rows = self._apply(self.sized, F.col("key"))
-        return rows.select("doc_id", "size", "_cut.source_size", "_cut.target", "times")
+        """doc_id, size, source_size, target, times for every row of the input;
+        times counts the slots of all shards that draw the row."""
+        rows = self._place(self.sized, F.col("key"))
+        return rows.select("doc_id", "size", "_cut.source_size", "_cut.target", F.size("places").alias("times"))
 
     def quotas(self) -> list[tuple[str | None, list[int]]]:
         """Block slots of each source per shard.  Collects one row of two integers
@@ -211,44 +229,48 @@ class Mixture:
         split = split_quotas([r["n"] for r in rows], self.shards, self.seed)
         return [(r["source"], q.tolist()) for r, q in zip(rows, split)]
 
+    def handed(self) -> DataFrame:
+        """``cuts`` with ``upto``: the slot at which each shard's run of consecutive
+        slots of the source ends."""
+        if self._handed is None:
+            text = json.dumps([{"name": s, "upto": np.cumsum(q).tolist()} for s, q in self.quotas()])
+            ends = self.docs.sparkSession.range(1).select(
+                F.inline(F.from_json(F.lit(text), "array<struct<name:string,upto:array<bigint>>>"))
+            )
+            rows = self.cuts.join(broadcast_if_small(ends), F.col("source").eqNullSafe(F.col("name"))).drop("name")
+            self._handed = stage(rows, "mix-handed")
+        return self._handed
+
     def rows(self, place: bool = True) -> DataFrame:
         """The mixture: the input's rows, each as often as drawn.  With ``place``
         two more columns, ``shard`` and ``shuffle_key``: the output shard, and the
-        order inside it (``write`` sorts by it)."""
+        order inside it (``shuffled`` sorts by it)."""
         docs, shard, order = self.docs, free_name(self.docs, "shard"), free_name(self.docs, "shuffle_key")
         k = free_name(docs, "_key")
         keyed = docs.withColumn(k, key_of(self.seed))
         own = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-        drawn = self._apply(keyed.select(own, F.col(k).alias("_key"), F.col("source")), F.col("_key")).where("times > 0")
-        copies = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
+        placed = self._place(keyed.select(own, F.col(k).alias("_key"), F.col("source")), F.col("_key"))
+        copies = placed.withColumn("_place", F.explode("places"))
         if not place:
             return copies.select("_row.*")
-        # consecutive slots of the permuted source; an extra document belongs to the last slot
-        block = F.conv(F.substring("_key", 1, BLOCK_DIGITS), 16, 10).cast("int")
-        slot = F.col("_copy") * self.blocks + F.when(
-            F.col("_copy") == F.col("_cut.passes"), F.least(block, F.col("_cut.edge"))
-        ).otherwise(block)
-        text = json.dumps([{"name": s, "upto": np.cumsum(q).tolist()} for s, q in self.quotas()])
-        ends = self.docs.sparkSession.range(1).select(
-            F.inline(F.from_json(F.lit(text), "array<struct<name:string,upto:array<bigint>>>"))
-        )
-        placed = copies.withColumn("_slot", slot).join(
-            broadcast_if_small(ends), F.col("source").eqNullSafe(F.col("name"))
-        )
-        return placed.select(
+        return copies.select(
             "_row.*",
-            F.size(F.filter("upto", lambda e: e <= F.col("_slot"))).alias(shard),
-            F.md5(F.concat(F.lit(f"{self.seed}/"), F.col("_key"), F.lit("/"), F.col("_copy"))).alias(order),
+            F.col("_place.shard").alias(shard),
+            F.md5(F.concat(F.lit(f"{self.seed}/"), F.col("_key"), F.lit("/"), F.col("_place.copy"))).alias(order),
         )
 
-    def write(self, path: str) -> None:
-        """Write the shards as Parquet folders ``shard=k``, each locally shuffled.
-        A shard's rows are spread over tasks by their shuffle key."""
+    def shuffled(self) -> DataFrame:
+        """``rows`` shard after shard, each locally shuffled.  A shard's rows are
+        spread over tasks by their shuffle key."""
         rows = self.rows()
         shard, order = rows.columns[-2:]
-        rows.repartitionByRange(shard, order).sortWithinPartitions(shard, order).drop(order).write.partitionBy(
-            shard
-        ).parquet(path)
+        return rows.repartitionByRange(shard, order).sortWithinPartitions(shard, order)
+
+    def write(self, path: str) -> None:
+        """Write the shards as Parquet folders ``shard=k``, each locally shuffled."""
+        rows = self.shuffled()
+        shard, order = rows.columns[-2:]
+        rows.drop(order).write.partitionBy(shard).parquet(path)
 
 
 def mix(docs: DataFrame, seed: int = 0, shards: int = 8) -> Mixture:

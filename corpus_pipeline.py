@@ -35,8 +35,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture draws them."""
-    return mixing.mix(docs).rows(place=False)
+    """Documents as often as the mixture draws them, shard after shard, each
+    locally shuffled."""
+    return mixing.mix(docs).shuffled().select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

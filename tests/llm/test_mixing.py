@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import numpy as np
 
-from beforeafter.llm import mixing
+import corpus_pipeline
+from beforeafter.llm import mixing, queries
 from tests.conftest import SF_ORACLE
 from tests.llm.helpers import load, no_docs, odd_docs
 
@@ -90,3 +91,25 @@ def test_odd_documents(spark):
     assert mixture.rows(place=False).columns == docs.columns
     empty = mixing.mix(no_docs(spark))
     assert empty.plan().count() == 0 and empty.rows().count() == 0
+
+
+def test_registered_paths_draw_what_the_tree_hands_out(spark, monkeypatch):
+    docs = load(spark, SF_ORACLE, "documents")
+    placed = mixing.mix(docs).rows().select("doc_id", "shard", "shuffle_key").collect()
+    wanted = [r.doc_id for r in sorted(placed, key=lambda r: (r.shard, r.shuffle_key))]
+    assert [r.doc_id for r in corpus_pipeline.source_mix(spark, docs, SF_ORACLE).collect()] == wanted
+    # the slots of a shard that the tree does not hand out are not drawn
+    whole = mixing.split_quotas
+
+    def without_last(quotas, shards, seed):
+        out = whole(quotas, shards, seed)
+        out[:, -1] = 0
+        return out
+
+    monkeypatch.setattr(mixing, "split_quotas", without_last)
+    left = {}
+    for r in mixing.mix(docs).rows().collect():
+        left[r.doc_id] = left.get(r.doc_id, 0) + 1
+    got = {r.doc_id: (r.size, r.taken) for r in queries.source_mixing(spark, SF_ORACLE).collect()}
+    assert 0 < sum(left.values()) < len(placed)
+    assert all(taken == size * left.get(i, 0) for i, (size, taken) in got.items())
