@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
@@ -109,7 +110,7 @@ def completions(
 
     def go(start: int, left: int, fill: tuple[int, ...]) -> None:
         nonlocal seen, perfect
-        for i in range(start, len(sizes)):
+        for i in range(max(start, bisect_left(sizes, -left, key=int.__neg__)), len(sizes)):
             s = sizes[i]
             for k in range(min(left // s, hist[s]), 0, -1):
                 seen += 1
@@ -125,14 +126,23 @@ def completions(
 
 
 def bin_completion(
-    hist: dict[int, int], capacity: int, max_steps: int = 400_000, width: int = 12, fill_steps: int = 1500
+    hist: dict[int, int],
+    capacity: int,
+    max_steps: int = 400_000,
+    width: int = 12,
+    fill_steps: int = 1500,
+    dives: int = 2,
+    finish_every: int = 64,
 ) -> list[Pattern]:
     """Patterns ``(sizes, times)`` that place every piece of ``hist``.
 
-    ``max_steps`` bounds the search (its cost does not depend on the number of
-    pieces), ``width`` and ``fill_steps`` the fillings looked at in one branch; when
-    they run out the best solution so far stands, so the result is always whole and
-    never worse than best-fit decreasing.
+    ``width`` and ``fill_steps`` bound the fillings looked at in one branch, a step is
+    one filling looked at.  A dive to a whole solution has about one node for each
+    length, so the search ends after ``max_steps`` or the steps of ``dives`` whole
+    dives, whichever is more; neither depends on the number of pieces.  What is left
+    is also finished by best fit after every ``finish_every`` nodes and at the end, and
+    taken if that is better.  The best solution so far stands, so the result is always
+    whole and never worse than best-fit decreasing.
     """
     hist = {s: n for s, n in hist.items() if n > 0}
     if not hist:
@@ -143,19 +153,33 @@ def bin_completion(
     best = best_fit_decreasing(hist, capacity)
     best_n = sum(n for _, n in best)
     total = sum(s * n for s, n in hist.items())
-    steps = 0
-    # depth-first, least waste first; a node is (histogram left, patterns, bins, waste)
+    max_steps = max(max_steps, dives * len(hist) * (fill_steps + 1))
+    steps = nodes = 0
+    # depth-first, least waste first; a node is (histogram before its pattern, patterns, bins, waste)
     stack: list[tuple[dict[int, int], tuple, int, int]] = [(hist, (), 0, 0)]
-    while stack and best_n > low and steps < max_steps:
-        left, chosen, bins, waste = stack.pop()
+    while stack and best_n > low:
+        before, chosen, bins, waste = stack.pop()
         spare = (best_n - 1) * capacity - total - waste
         if spare < 0:
             continue  # the waste so far already costs as many sequences
-        steps += len(left)
-        if not left:
-            if bins < best_n:
-                best, best_n = list(_unlink(chosen)), bins
-            continue
+        left = before
+        if chosen:
+            pattern, times = chosen[1]
+            left = dict(before)
+            for s in pattern:
+                left[s] -= times
+                if not left[s]:
+                    del left[s]
+        nodes += 1
+        if not left or steps >= max_steps or nodes % finish_every == 0:
+            tail = best_fit_decreasing(left, capacity)
+            if (n := bins + sum(t for _, t in tail)) < best_n:
+                best, best_n = [*_unlink(chosen), *tail], n
+                spare = (best_n - 1) * capacity - total - waste
+            if steps >= max_steps:
+                break
+            if not left or spare < 0:
+                continue
         sizes = sorted(left, reverse=True)
         top = sizes[0]
         rest = dict(left)
@@ -170,8 +194,7 @@ def bin_completion(
             gap = capacity - sum(pattern)
             if gap:
                 times = max(1, min(times, spare // gap))
-            after = {s: n for s in left if (n := left[s] - times * pattern.count(s))}
-            stack.append((after, (chosen, (pattern, times)), bins + times, waste + times * gap))
+            stack.append((left, (chosen, (pattern, times)), bins + times, waste + times * gap))
     return best
 
 

@@ -61,6 +61,21 @@ def test_search_is_no_worse_than_best_fit_and_bounded():
         assert packing.lower_bound(hist, 2048) <= found <= fit
 
 
+def test_search_beats_best_fit_on_many_lengths():
+    rng = random.Random(0)
+    items = [min(2048, max(1, int(rng.gauss(700, 150)))) for _ in range(20000)]
+    hist = histogram(items)
+    assert len(hist) > 850
+    patterns = packing.bin_completion(hist, 2048)
+    placed = {}
+    for fill, n in patterns:
+        assert sum(fill) <= 2048
+        for s in fill:
+            placed[s] = placed.get(s, 0) + n
+    assert placed == hist
+    assert sum(n for _, n in patterns) < sum(n for _, n in packing.best_fit_decreasing(hist, 2048))
+
+
 def test_dominance():
     assert packing.undominated([(5, 5), (10,), (4,)]) == [(10,)]
     assert set(packing.undominated([(6, 3), (5, 4)])) == {(6, 3), (5, 4)}
