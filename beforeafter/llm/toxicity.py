@@ -454,13 +454,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 30_000, grams: int =
 
 def _spread(rows: DataFrame, chars: np.ndarray, chosen: list[str], least: int = 8) -> list[str]:
     """The chosen n-grams that stand in at least ``least`` texts and in at least
-    half as many surroundings: not words of one text and its copies."""
+    ``least`` different surroundings: not words of one text and its copies.  Neither
+    minimum rises with the number of texts, so further texts and near copies never
+    take an n-gram away."""
     if not chosen:
         return []
     index = {g: k for k, g in enumerate(chosen)}
     with arrow_rows(rows.sparkSession, 1000):
         found = {r["gram"]: r for r in contexts(rows, chars, index).collect()}  # one row per chosen n-gram
-    ok = {k for k, r in found.items() if r["texts"] >= least and 2 * r["n"] >= r["texts"]}
+    ok = {k for k, r in found.items() if r["texts"] >= least and r["n"] >= least}
     return [g for g, k in index.items() if k in ok]
 
 

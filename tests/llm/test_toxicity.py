@@ -89,6 +89,17 @@ def test_reader_finds_the_grams_of_words():
     assert toxicity.Reader(reader.decoder.model and np.array(reader.decoder.model), {}).read("any words") == set()
 
 
+def test_near_copies_take_no_ngram_away(spark):
+    chars = toxicity.log_model(np.zeros((toxicity.CLASSES,) * 3))
+    own = [f"left{k} idiot right{k} more words" for k in range(16)]
+    copies = [f"what an idiot and a wombat they all said number{k} again" for k in range(240)]
+    rows = lambda texts: spark.createDataFrame([(t,) for t in texts], "text string")
+    chosen = ["^idiot$", "^wombat$"]
+    assert toxicity._spread(rows(own), chars, chosen) == ["^idiot$"]
+    assert toxicity._spread(rows(own + copies), chars, chosen) == ["^idiot$"]
+    assert toxicity._spread(rows(copies), chars, chosen) == []
+
+
 def test_held_out_accuracy(spark):
     docs, labels = load(spark, SF_ORACLE, "documents"), load(spark, SF_ORACLE, "labels")
     model = toxicity.train(docs, labels)
