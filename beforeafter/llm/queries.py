@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from beforeafter.llm import (
     chat,
+    filteraudit,
+    importance,
     kneserney,
     licenses,
     linededup,
@@ -21,10 +23,12 @@ from beforeafter.llm import (
     packing,
     rules,
     simhash,
+    streamdedup,
     topk,
     toxicity,
 )
 from beforeafter.llm.common import SPACE_CLASS, UPPER
+from beforeafter.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -274,3 +278,120 @@ WHERE rank <= 5
 @query("op10_exact_top_k", TOP_K_SQL)
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+EXACT_DEDUP_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY t)
+"""
+
+
+@query("op11_exact_dedup", EXACT_DEDUP_SQL)
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sf_dir}/documents.parquet"
+    store = streamdedup.Store(spark, scratch_path(spark, "dedup-store"), spark.read.parquet(path).schema)
+    streamdedup.ingest(store, path)
+    return streamdedup.verdicts(store).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+FILTER_AUDIT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), f AS (
+  SELECT doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+         100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM d
+), l AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), m AS (
+  SELECT part, {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails, a::INT + b::INT + c::INT + d::INT + e::INT AS n_fails,
+         coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM f LEFT JOIN l USING (doc_id)
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT p.x || q.x || r.x || s.x || u.x AS filter_order
+  FROM letters p, letters q, letters r, letters s, letters u
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, u.x])) = 5
+), places AS (
+  SELECT filter_order, unnest(range(1, 6)) AS step FROM orders
+), groups AS (
+  SELECT part, fails, n_fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM m GROUP BY ALL
+), walk AS (
+  SELECT part, filter_order, step, filter_order[step] AS letter, g.*,
+         list_contains([CASE x WHEN 'A' THEN fails.A WHEN 'B' THEN fails.B WHEN 'C' THEN fails.C WHEN 'D' THEN fails.D ELSE fails.E END
+                        for x in string_split(filter_order[1:step - 1], '') if x <> ''], true) AS gone,
+         CASE filter_order[step] WHEN 'A' THEN fails.A WHEN 'B' THEN fails.B WHEN 'C' THEN fails.C WHEN 'D' THEN fails.D ELSE fails.E END AS fail
+  FROM groups g, places
+), steps AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, any_value(letter) AS letter,
+         CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fail), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (WHERE NOT gone AND fail), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (WHERE gone AND fail), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (WHERE fail AND n_fails = 1), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(good) FILTER (WHERE NOT gone AND fail), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(toxic) FILTER (WHERE NOT gone AND fail), 0) AS BIGINT) AS toxic_lost
+  FROM walk GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM steps
+"""
+
+
+@query("op12_filter_audit", FILTER_AUDIT_SQL)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(filteraudit.failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+RESAMPLING_SQL = r"""
+WITH tbl AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id, coalesce(text, '') AS t FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), item_id, coalesce(text, '') FROM benchmark
+), ws AS (
+  SELECT side, r, id, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), f AS (
+  SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM ws
+), g AS (
+  SELECT g, hex(encode(g)) AS x FROM (SELECT DISTINCT g FROM f)
+), h AS (
+  SELECT g.g, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(x) // 2), lambda i:
+           (16 * (strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1)::BIGINT)),
+         lambda c, v: xor(c >> 8, tbl.crc[xor(c & 255, v) + 1])), 4294967295) % 10000 AS bucket
+  FROM g, tbl
+), n AS (
+  SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 'b') AS t FROM f JOIN h USING (g) GROUP BY bucket
+), gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (sum(s) OVER () + 10000) / ((CAST(s AS DOUBLE) + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+  FROM n
+), weight AS (
+  SELECT r, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight FROM f JOIN h USING (g) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY r
+), scored AS (
+  SELECT r, id AS doc_id, len(w) AS n_words, CAST(greatest(2 * len(w) - 1, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || sha256('7:' || coalesce(CAST(id AS VARCHAR), ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM ws LEFT JOIN weight USING (r) WHERE side = 'd'
+), drawn AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20
+)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank
+FROM scored s LEFT JOIN drawn USING (r)
+"""
+
+
+@query("op13_importance_resampling", RESAMPLING_SQL)
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, seed=7)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")

@@ -19,7 +19,7 @@ TABLES = ["documents", "benchmark", "embeddings", "labels", "conversations"]
 
 def test_every_operator_is_registered_once():
     found = entry.queries()
-    assert {int(m[1]) for n in found if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in found if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
     assert "pipeline" in found and set(queries.ORACLE) <= set(entry.oracle_sql())
 
 
