@@ -18,6 +18,7 @@ DataFrame operations only.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from itertools import permutations
 
@@ -136,11 +137,9 @@ def audit(counts: DataFrame, filters: str = FILTERS) -> DataFrame:
     """
     lattice = Lattice.of(len(filters))
     # every edge for every part: 2^(n-1) * n rows, whatever the number of documents
-    edges = F.array(
-        *[
-            F.struct(F.lit(s).alias("ran"), F.lit(f).alias("filter"), F.lit(1 << f).alias("bit"), F.lit(p).cast("long").alias("paths"))
-            for s, f, p in lattice.edges()
-        ]
+    edges = _table(
+        [{"ran": r, "filter": f, "bit": 1 << f, "paths": p} for r, f, p in lattice.edges()],
+        "array<struct<ran int, filter int, bit int, paths long>>",
     )
     on = counts.select("*", F.explode(edges).alias("e")).select("part", "mask", "n", "good", "toxic", "e.*")
     mask, ran, bit = F.col("mask"), F.col("ran"), F.col("bit")
@@ -163,20 +162,16 @@ def audit(counts: DataFrame, filters: str = FILTERS) -> DataFrame:
 
 def _orders(filters: str) -> Column:
     """The (order, step) pairs that use an edge (ran, filter)."""
-    used: dict[tuple[int, int], list[tuple[str, int]]] = {}
-    for order in permutations(range(len(filters))):
+    n = len(filters)
+    used: list[list[dict]] = [[] for _ in range(n << n)]
+    for order in permutations(range(n)):
         ran = 0
         for step, f in enumerate(order, 1):
-            used.setdefault((ran, f), []).append(("".join(filters[x] for x in order), step))
+            used[ran * n + f].append({"filter_order": "".join(filters[x] for x in order), "step": step})
             ran |= 1 << f
-    of = F.create_map(
-        *[
-            x
-            for (ran, f), uses in sorted(used.items())
-            for x in (
-                F.lit(ran << 8 | f),
-                F.array(*[F.struct(F.lit(o).alias("filter_order"), F.lit(k).alias("step")) for o, k in uses]),
-            )
-        ]
-    )
-    return of[F.col("ran") * 256 + F.col("filter")]
+    return F.get(_table(used, "array<array<struct<filter_order string, step int>>>"), F.col("ran") * n + F.col("filter"))
+
+
+def _table(values, kind: str) -> Column:
+    """A fixed table as one constant."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
