@@ -45,6 +45,8 @@ _STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # no space set aside per state partition before it is used
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -204,10 +206,10 @@ def verdicts(store: Store) -> DataFrame:
     spark = store.spark
     if not _numbers(spark, f"{store.path}/changed"):
         return _verdict(store.read([]), F.lit(None).cast("struct<doc_id:long,file:string,row:long>"), F.lit(0))
-    state = spark.read.format("statestore").load(store.checkpoint)
-    files = [r.path for r in state.where("key.path is not null").select("key.path").collect()]
-    rows = store.read(files)
-    groups = stage(retained(store).select("digest", "keep", "n"), "dedup-groups")
+    changed = spark.read.parquet(*[f"{store.path}/changed/{b}" for b in _numbers(spark, f"{store.path}/changed")])
+    rows = store.read([r.path for r in changed.where("path is not null").select("path").distinct().collect()])
+    with _conf(spark, _STATE_CONF):
+        groups = stage(retained(store).select("digest", "keep", "n"), "dedup-groups")
     clash = collided(store)
     sure = stage(rows.drop("text").join(clash, "digest", "left_anti"), "dedup-rows")
     total = groups.agg(F.sum("n")).first()[0] or 0
