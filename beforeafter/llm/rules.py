@@ -66,7 +66,7 @@ POLICIES = {p.version: p for p in (BASE, STRICT)}
 
 def _removed(text: Column, pattern: str) -> Column:
     """Code points that the pattern matches."""
-    return (F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))).cast("long")
+    return F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -84,6 +84,9 @@ def measure(docs: DataFrame) -> DataFrame:
     docs = docs.select(*[c for c in docs.columns if c.lower() not in names])
     w, g, d, s = (free_name(docs, n) for n in ("_words", "_windows", "_doubled", "_starts"))
     text = text_of("text")
+    # a condition on a measure stays above the arrays: below them, where the
+    # optimizer would move it, each step of a lambda computes them anew
+    here = lambda m: F.when(F.spark_partition_id() >= 0, m.cast("long"))
     # each array is a column of its own before a lambda indexes it
     split = docs.withColumn(w, words(text))
     hashed = lambda i: F.xxhash64(F.get(_c(w), i), F.get(_c(w), i + 1), F.get(_c(w), i + 2))
@@ -100,14 +103,14 @@ def measure(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD_PATTERN))
     return starts.select(
         *docs.columns,
-        F.size(w).cast("long").alias("n_words"),
-        F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
-        _removed(text, r"[#*$%&|<>]+").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        F.coalesce(F.aggregate(covered, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.size(lines).cast("long").alias("n_lines"),
-        _removed(text, r"\p{Lu}+").alias("n_upper"),
-        _removed(text, "!+").alias("n_exclaim"),
+        here(F.size(w)).alias("n_words"),
+        here(F.char_length(F.array_join(w, ""))).alias("word_chars"),
+        here(_removed(text, r"[#*$%&|<>]+")).alias("n_symbols"),
+        here(F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
+        here(F.coalesce(F.aggregate(covered, F.lit(0), lambda a, x: a + x), F.lit(0))).alias("n_repeat_words"),
+        here(F.size(lines)).alias("n_lines"),
+        here(_removed(text, r"\p{Lu}+")).alias("n_upper"),
+        here(_removed(text, "!+")).alias("n_exclaim"),
     )
 
 
@@ -132,11 +135,7 @@ def apply_policy(docs: DataFrame, policy: Policy = STRICT) -> DataFrame:
     taken = {m.lower() for m in MEASURES} | {"failed"}
     # columns named like the ledger's are carried along under other names
     away = {c: free_name(docs, "_own_" + c) for c in docs.columns if c.lower() in taken}
-    rows = ledger(docs.withColumnsRenamed(away))
-    # the partition number keeps the optimizer from moving this filter below the
-    # arrays, where each step of a lambda would compute them anew
-    here = free_name(rows, "_here")
-    kept = rows.withColumn(here, F.spark_partition_id()).where(passes(policy) & (F.col(here) >= 0))
+    kept = ledger(docs.withColumnsRenamed(away)).where(passes(policy))
     return kept.withColumnsRenamed({m: "_m_" + m for m in [*MEASURES, "failed"]}).withColumnsRenamed(
         {v: k for k, v in away.items()}
     ).select(*docs.columns)

@@ -107,6 +107,8 @@ def search_block(
     mass = lambda m: np.array([(m[g] * m[g]).sum(0) for g in groups]).reshape(len(groups), m.shape[1])
     q_mass, x_mass = mass(q), mass(x)
     x_total = x_mass.sum(0)
+    if not max(q_mass.sum(0).max(initial=0), x_total.max(initial=0)) < EXACT:  # masses are whole numbers too
+        return _search_large(q, q_ids, x, x_ids, k)
     at_q: list[np.ndarray] = []
     at_x: list[np.ndarray] = []
     scores: list[int] = []
@@ -122,7 +124,8 @@ def search_block(
             x_left = x_left - x_mass[g, alive]
             q_left -= q_mass[g, i]
             if len(alive) > k:
-                slack = np.sqrt(max(q_left, 0.0) * x_left)
+                # the root is rounded: a little wider than it says
+                slack = np.sqrt(q_left * x_left) * (1 + 1e-9) + 1
                 floor = np.partition(score - slack, len(alive) - k)[len(alive) - k]
                 stay = score + slack >= floor
                 if not stay.all():

@@ -27,6 +27,8 @@ class Plain:
         self.d2 = self.discount(self.c2.values())
         self.d1 = self.discount(self.follows.values())
         self.tokens, self.kinds = sum(self.c1.values()), len(self.c1)
+        pairs = len(self.c2)
+        self.left = sum(self.d1[min(c, 3) - 1] for c in self.follows.values()) / pairs if pairs else 0
 
     @staticmethod
     def discount(counts):
@@ -41,9 +43,8 @@ class Plain:
         pairs = len(self.c2)
         if not pairs:
             return uniform
-        left = sum(self.d1[min(c, 3) - 1] for c in self.follows.values()) / pairs
         c = self.follows[w]
-        return (max(c - self.d1[min(c, 3) - 1], 0) / pairs if c else 0) + left * uniform
+        return (max(c - self.d1[min(c, 3) - 1], 0) / pairs if c else 0) + self.left * uniform
 
     def p(self, a, b):
         if not self.total[a]:

@@ -46,7 +46,11 @@ def test_ledger_against_plain_python(spark):
 def test_policies_are_masks(spark):
     docs = load(spark, SF_ORACLE, "documents")
     kept = {r.doc_id for r in rules.apply_policy(docs).collect()}
+    # a condition on the ledger itself, not on a stored copy
+    assert kept == {r.doc_id for r in rules.ledger(docs).where(rules.passes(rules.STRICT)).select("doc_id").collect()}
+    long = {r.doc_id for r in rules.measure(docs).where("n_repeat_words > 9 and n_words > 80").select("doc_id").collect()}
     ledger = rules.ledger(docs).cache()
+    assert long and long == {r.doc_id for r in ledger.where("n_repeat_words > 9 and n_words > 80").collect()}
     assert kept == {r.doc_id for r in ledger.where(rules.passes(rules.STRICT)).collect()}
     assert kept < {r.doc_id for r in ledger.where(rules.passes(rules.BASE)).collect()}
     labels = {r.doc_id: r.quality for r in load(spark, SF_ORACLE, "labels").collect()}

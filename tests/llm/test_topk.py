@@ -84,3 +84,34 @@ def test_pruning_drops_candidates_and_keeps_ties():
         s = (x[:, i] @ x).astype(int)
         wanted = sorted((-int(s[j]), int(ids[j])) for j in range(800) if j != i)[:5]
         assert [(-a, int(ids[j])) for a, j, q in zip(scores, at_x, at_q) if q == i] == wanted
+
+
+def brute(q, q_ids, x, x_ids, k):
+    whole = lambda m: [[int(v) for v in m[:, j]] for j in range(m.shape[1])]
+    return [
+        sorted((-sum(a * b for a, b in zip(own, c)), int(i)) for c, i in zip(whole(x), x_ids) if i != q_ids[j])[:k]
+        for j, own in enumerate(whole(q))
+    ]
+
+
+def test_small_masses_beside_large_ones_count():
+    q = np.array([[3.0] + [0.0] * 7 + [1.0] * 8]).T
+    a = [2.0**40] + [0.0] * 7 + [1.0] * 8
+    b = [2.0**40 + 1] + [0.0] * 15
+    x, ids = np.array([a, b]).T, np.array([1, 2])
+    _, at, scores = topk.search_block(q, np.array([0]), x, ids, 1)
+    assert (list(at), scores) == ([0], [3298534883336])
+
+
+def test_every_size_of_component_against_brute_force():
+    rng = np.random.default_rng(6)
+    for power in range(2, 30, 3):  # scores fit a long
+        big = 2.0**power
+        x = np.floor(rng.standard_cauchy((24, 60)).clip(-1, 1) * big)
+        x[rng.random(x.shape) < 0.5] = rng.integers(-3, 4)
+        x[:8, 1::2], x[8:, ::3] = np.floor(big / 2), 1
+        x[:, 7] = x[:, 8]
+        ids = rng.permutation(60)
+        at_q, at_x, scores = topk.search_block(x[:, :12], ids[:12], x, ids, 3)
+        for i, wanted in enumerate(brute(x[:, :12], ids[:12], x, ids, 3)):
+            assert [(-s, int(ids[j])) for s, j, q in zip(scores, at_x, at_q) if q == i] == wanted
