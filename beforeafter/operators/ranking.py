@@ -1,11 +1,15 @@
 """Exact NTILE within large groups without sorting or gathering a group.
 
-The rows at the ends of the buckets are found by radix selection: the sort key and
-the tie break form one whole number, its digits are counted per group from the
-highest down, and each step keeps the digit in which the wanted row lies.  A step
-returns at most ``groups x wanted rows x DIGIT`` counts, whatever the size of the
-groups.  A row's bucket is then one more than the number of bucket ends below it:
-a comparison with a few numbers per group, so the rows themselves are never moved.
+The rows at the ends of the buckets are found in two passes.  The first keeps one
+mergeable quantile sketch per group and key, over the place (key, tie) of a row as a
+double; the sketch's rank error is bounded, so two of its ranks bracket a bucket
+end.  The second counts the rows below each bracket and brings together the rows
+inside only, a small fixed part of a group, among which the end is picked by exact
+rank and exact order.  A row's bucket is then one more than the number of bucket
+ends below it: a comparison with a few rows per group, so the rows themselves are
+never moved.
+
+All of it is one lazy plan; no job runs while it is built.
 """
 
 from __future__ import annotations
@@ -13,10 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beforeafter.session import materialize
-
-#: Base of the digits that are counted in one step.
-DIGIT = 16384
+#: Rank error of the sketch, as a part of a group: 1 / ACCURACY.
+ACCURACY = 10_000
+#: Half width of a bracket, as a part of a group: the first that is worth at least
+#: ``SLACK`` rows in a group is taken, the whole group if none is.
+WIDTHS = (3.0 / ACCURACY, 50.0 / ACCURACY)
+#: Rows that the rank of a bucket end and that of its part of the group may differ by, and one.
+SLACK = 4
 #: Groups (months of a calendar) whose bucket ends may be sent to every task.
 MAX_GROUPS = 50_000
 
@@ -31,30 +38,55 @@ def bounded(df: DataFrame, limit: int, what: str) -> DataFrame:
     return F.broadcast(checked.where(F.col("__rows") >= 0).drop("__rows"))
 
 
-def bucket_end(n: Column, buckets: int, j: int) -> Column:
-    """Row number (from 1) of the last row of bucket ``j`` among ``n`` rows; the
-    first ``n mod buckets`` buckets hold one row more, as SQL ``NTILE`` has it."""
-    return F.floor(n / buckets) * j + F.least(F.lit(j), n % buckets)
+def _span(rows: DataFrame, names: list[str]) -> DataFrame:
+    """One row: the least value of every key and of the ties, and how far these go."""
+    least = [f"double(coalesce(min(__k_{n}), 0)) AS __least_{n}" for n in names]
+    ties = [
+        "double(coalesce(min(__t), 0)) AS __tie_least",
+        "coalesce(double(max(__t)) - double(min(__t)), 0D) + 2 AS __ties",
+    ]
+    return rows.agg(*[F.expr(x) for x in least + ties])
+
+
+def _place(name: str) -> str:
+    """(key, tie) as a double, null ties last: in order but for rounding."""
+    return f"(double(__k_{name}) - __least_{name}) * __ties + coalesce(double(__t) - __tie_least, __ties - 1) AS __p_{name}"
+
+
+def _brackets(placed: DataFrame, names: list[str], buckets: int) -> DataFrame:
+    """Per group: its size and, per key, the least and greatest place that each
+    bucket end can have."""
+    at = [min(max(j / buckets + side * w, 0.0), 1.0) for j in range(1, buckets) for w in WIDTHS for side in (-1, 1)]
+    ranks = ", ".join(f"{x!r}D" for x in at)
+    sketches = placed.groupBy("__g").agg(
+        F.expr("count(1) AS __n"),
+        *[F.expr(f"percentile_approx(__p_{n}, array({ranks}), {ACCURACY}) AS __s_{n}") for n in names],
+    )
 
+    def edge(name: str, j: int, what: str) -> str:
+        sign, infinite = ("-", "-Infinity") if what == "lo" else ("+", "Infinity")
+        cases = ""
+        for i, w in enumerate(WIDTHS):
+            x = f"__s_{name}[{((j - 1) * len(WIDTHS) + i) * 2 + (what == 'hi')}]"
+            cases += f" WHEN __n * {w!r}D >= {SLACK} THEN {x} {sign} (abs({x}) * 1e-12D + 1)"  # wider than rounding
+        return f"CASE{cases} ELSE double('{infinite}') END AS __{what}_{name}_{j}"
 
-def _number(n: int, kind: str) -> Column:
-    """A whole number of any length as a literal."""
-    return F.lit(str(n)).cast(kind)
+    return sketches.selectExpr(
+        "__g AS __bg", "__n", *[edge(n, j, what) for n in names for j in range(1, buckets) for what in ("lo", "hi")]
+    )
 
 
-def _quotient(by: int, kind: str) -> Column:
-    """Whole-number quotient of ``__p - __nf``; a double in between would lose digits."""
-    if kind == "long":
-        return F.expr(f"(__p - __nf) div {by}L")
-    x = F.col("__p") - F.col("__nf")
-    return ((x - F.pmod(x, _number(by, kind))) / _number(by, kind)).cast("long")
+def _rank(buckets: int, j: int) -> str:
+    """Row number (from 1) of the last row of bucket ``j`` among ``__n`` rows; the
+    first ``__n mod buckets`` buckets hold one row more, as SQL ``NTILE`` has it."""
+    return f"((__n div {buckets}) * {j} + least({j}L, __n % {buckets}))"
 
 
-def _steps(largest: int) -> int:
-    steps = 1
-    while DIGIT**steps <= largest:
-        steps += 1
-    return steps
+def _later(name: str, j: int) -> str:
+    """1 if a row comes after the end of bucket ``j``, else 0; a null tie is last."""
+    key, tie = f"__ek_{name}_{j}", f"__et_{name}_{j}"
+    after = f"CASE WHEN __t IS NULL THEN {tie} IS NOT NULL ELSE coalesce(__t > {tie}, false) END"
+    return f"int(__k_{name} > {key} OR (__k_{name} = {key} AND {after}))"
 
 
 def ntiles(df: DataFrame, group: str, keys: dict[str, Column], tie: Column, buckets: int) -> DataFrame:
@@ -62,80 +94,41 @@ def ntiles(df: DataFrame, group: str, keys: dict[str, Column], tie: Column, buck
     ``buckets``, when its group is ordered by that key (a whole number, never null)
     and then by ``tie`` (a whole number, nulls last).
 
-    (key, tie) must make rows unique within a group; the product of their ranges
-    must fit 38 digits.  ``df`` is read once per step
-    and key digit: pass a stored table.
+    (key, tie) must make rows unique within a group.  ``df`` is read five times:
+    pass a stored table.
     """
-    wide = "decimal(38,0)"
-    low = [F.min(k).alias(f"lo_{n}") for n, k in keys.items()] + [F.max(k).alias(f"hi_{n}") for n, k in keys.items()]
-    # one row of ranges over all groups
-    r = df.agg(*low, F.min(tie).alias("lo_tie"), F.max(tie).alias("hi_tie")).first()
-    ties = (r["hi_tie"] or 0) - (r["lo_tie"] or 0) + 2
-    last = F.coalesce((tie - F.lit(r["lo_tie"] or 0)).cast(wide), _number(ties - 1, wide))
-    places, steps = {}, 1
-    for n, k in keys.items():
-        first = r[f"lo_{n}"] or 0
-        places[n] = ((k - F.lit(first)).cast(wide) * _number(ties, wide) + last).cast(wide)
-        steps = max(steps, _steps(((r[f"hi_{n}"] or 0) - first + 1) * ties))
-    if DIGIT**steps < 2**63:  # the same numbers, in a narrower type
-        places = {n: p.cast("long") for n, p in places.items()}
-    kind = "long" if DIGIT**steps < 2**63 else wide
-    rows = df.select(
-        F.col(group).alias("__g"),
-        F.explode(F.array(*[F.struct(F.lit(n).alias("__key"), p.alias("__p")) for n, p in places.items()])).alias("__s"),
-    ).select("__g", "__s.*")
-    sizes = df.groupBy(F.col(group).alias("__g")).agg(F.count(F.lit(1)).alias("__n"))
-    ends = sizes.select(
-        "__g",
-        F.explode(F.array(*[F.lit(n) for n in keys])).alias("__key"),
-        F.posexplode(F.array(*[bucket_end(F.col("__n"), buckets, j) for j in range(1, buckets)])).alias("__j", "__rank"),
-        F.lit(0).cast(kind).alias("__from"),
-    ).where("__rank > 0")
-    for step in reversed(range(steps)):
-        unit = _number(DIGIT**step, kind)
-        ends = materialize(ends, "ntile-ends")  # a few rows per group; the plan of a step stays flat
-        near = bounded(
-            ends.select(F.col("__g").alias("__ng"), F.col("__key").alias("__nk"), F.col("__from").alias("__nf")).distinct(),
-            MAX_GROUPS * len(keys) * buckets,
-            "groups to rank",
-        )
-        inside = (F.col("__p") >= F.col("__nf")) & (F.col("__p") - F.col("__nf") < _number(DIGIT ** (step + 1), kind))
-        here = rows.join(near, rows["__g"].eqNullSafe(near["__ng"]) & (rows["__key"] == near["__nk"]) & inside)
-        # the digit below the prefix found so far
-        counts = (
-            here.select("__ng", "__nk", "__nf", _quotient(DIGIT**step, kind).alias("__d"))
-            .groupBy(F.col("__ng").alias("__hg"), F.col("__nk").alias("__hk"), F.col("__nf").alias("__hf"), "__d")
-            .agg(F.count(F.lit(1)).alias("__c"))
-        )
-        upto = F.sum("__c").over(Window.partitionBy("__hg", "__hk", "__hf").orderBy("__d"))
-        counts = counts.withColumn("__upto", upto)
-        ends = (
-            ends.join(
-                counts,
-                ends["__g"].eqNullSafe(counts["__hg"])
-                & (ends["__key"] == counts["__hk"])
-                & (ends["__from"] == counts["__hf"])
-                & (ends["__rank"] <= counts["__upto"])
-                & (ends["__rank"] > counts["__upto"] - counts["__c"]),
-            )
-            .select(
-                "__g",
-                "__key",
-                "__j",
-                (F.col("__rank") - (F.col("__upto") - F.col("__c"))).alias("__rank"),
-                (F.col("__from") + F.col("__d").cast(kind) * unit).cast(kind).alias("__from"),
-            )
-        )
-    ends = materialize(ends, "ntile-ends")
-    table = ends.groupBy(F.col("__g").alias("__tg")).agg(
-        *[F.collect_list(F.when(F.col("__key") == n, F.col("__from"))).alias(f"__ends_{n}") for n in keys]
+    names = list(keys)
+    ends = [(n, j) for n in names for j in range(1, buckets)]
+    keyed = [tie.cast("long").alias("__t"), *[k.cast("long").alias(f"__k_{n}") for n, k in keys.items()]]
+    rows = df.select(F.col(group).alias("__g"), *keyed)
+    # one row joins every row
+    placed = rows.crossJoin(F.broadcast(_span(rows, names))).selectExpr(*rows.columns, *[_place(n) for n in names])
+    near = bounded(_brackets(placed, names, buckets), MAX_GROUPS, "groups to rank")
+    here = placed.join(near, placed["__g"].eqNullSafe(near["__bg"]))
+    below = here.groupBy("__g").agg(
+        F.expr("max(__n) AS __n"), *[F.expr(f"count_if(__p_{n} < __lo_{n}_{j}) AS __c_{n}_{j}") for n, j in ends]
+    )
+    want = ", ".join(f"struct('{n}' AS wk, {j} AS wj, {_rank(buckets, j)} - __c_{n}_{j} AS want)" for n, j in ends)
+    wanted = below.selectExpr("__g AS __wg", f"inline(array({want}))")
+    # a row is inside few brackets; the array holds nulls for the others
+    within = ", ".join(
+        f"IF(__p_{n} BETWEEN __lo_{n}_{j} AND __hi_{n}_{j}, struct('{n}' AS name, {j} AS j, __k_{n} AS k), NULL)" for n, j in ends
+    )
+    inside = here.selectExpr("__g", "__t", f"inline(array_compact(array({within})))")
+    order = Window.partitionBy("__g", "name", "j").orderBy("k", F.col("__t").asc_nulls_last())
+    ranked = inside.withColumn("at", F.row_number().over(order))
+    wanted = bounded(wanted, MAX_GROUPS * len(ends), "bucket ends")
+    picked = ranked.join(wanted, ranked["__g"].eqNullSafe(wanted["__wg"]) & F.expr("name = wk AND j = wj AND at = want"))
+    whole = f"IF(count(1) = {len(ends)}, true, raise_error('a bracket missed a bucket end')) AS __whole"
+    table = picked.groupBy(F.col("__g").alias("__tg")).agg(
+        F.expr(whole),
+        *[F.expr(f"max(IF(name = '{n}' AND j = {j}, k, NULL)) AS __ek_{n}_{j}") for n, j in ends],
+        *[F.expr(f"max(IF(name = '{n}' AND j = {j}, __t, NULL)) AS __et_{n}_{j}") for n, j in ends],
+    )
+    table = bounded(table.where("__whole"), MAX_GROUPS, "groups to rank")
+    marked = df.select(*df.columns, *keyed).join(table, df[group].eqNullSafe(table["__tg"]), "left")
+    found = "IF(__whole, 1, raise_error('a group without bucket ends'))"
+    return marked.select(
+        *df.columns,
+        *[F.expr(" + ".join([found, *[_later(n, j) for j in range(1, buckets)]])).cast("int").alias(n) for n in names],
     )
-    table = bounded(table, MAX_GROUPS, "groups to rank")
-    marked = df.join(table, df[group].eqNullSafe(table["__tg"]), "left")
-    return marked.select(*df.columns, *[_bucket(n, p) for n, p in places.items()])
-
-
-def _bucket(name: str, place: Column) -> Column:
-    """One more than the number of bucket ends below a place."""
-    below = F.size(F.filter(f"__ends_{name}", lambda end: end < place))
-    return (F.greatest(below, F.lit(0)) + 1).cast("int").alias(name)

@@ -41,8 +41,12 @@ def trailing(
 
     A month with no purchase in its window (or whose key does not parse)
     yields one row with a NULL customer and a row count of 1, as the left
-    join of the method does.  The result is stored: the purchases are read once.
+    join of the method does.  Which months have one is told by the purchase days
+    alone, so the aggregate behind its exchange serves every use of the result.
     """
+    days_known = (
+        transactions.select(F.col("transaction_date").alias("day")) if stream is None else stream.where(~F.col("is_repeat")).select("day")
+    )
     stream = stream if stream is not None else purchase_days(transactions)
     d = stream.where(~F.col("is_repeat")).select("customer_id", "day", "n_rows", "revenue")
     e = bounded(ends.where(F.col("month_end").isNotNull()), MAX_MONTHS, "months")
@@ -52,9 +56,9 @@ def trailing(
         F.sum("n_rows").alias("txns_90d"),
         F.sum("revenue").alias("rev_90d"),
     )
-    agg = materialize(agg, "rfm-trailing")  # one scan of the purchases; read by every score
-    present = agg.select(F.col("month_id").alias("__pm")).distinct()  # at most one row per month
-    empty = ends.join(bounded(present, MAX_MONTHS, "months"), ends["month_id"].eqNullSafe(present["__pm"]), "left_anti").select(
+    reached = _reach(days_known.where(F.col("day").isNotNull()).distinct(), days).select(F.col("__me").alias("__pe")).distinct()
+    present = bounded(reached, MAX_MONTHS, "months")  # at most one row per month of the calendar
+    empty = ends.join(present, ends["month_end"] == present["__pe"], "left_anti").select(
         F.lit(None).cast("long").alias("customer_id"),
         "month_id",
         "month_end",
@@ -112,9 +116,10 @@ def scores(values: DataFrame, cfg: LiftConfig = DEFAULT) -> DataFrame:
     (see :func:`ntiles`).
 
     ``recency_best_high=False`` (default) keeps the documented behaviour in
-    which the most recent buyers get ``r_score = 1``.  ``values`` is read several
-    times: it should come from a stored table, as :func:`trailing` returns it.
+    which the most recent buyers get ``r_score = 1``.  The values are stored first:
+    the ranking reads them five times.
     """
+    values = materialize(values, "rfm-values")
     return ntiles(values, "month_id", score_keys(cfg.recency_best_high), F.col("customer_id"), cfg.buckets)
 
 
