@@ -6,34 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A month key has six digits (yyyyMM) or eight (yyyyMMdd); any
+# other number is no key.
+SIX_DIGITS, EIGHT_DIGITS = (100_000, 999_999), (10_000_000, 99_999_999)
+
+
+def _year_month(month_id: Column) -> Column:
+    """The leading yyyyMM of a key of either length as a whole number."""
+    n = month_id.try_cast("long")
+    days = F.when(n.between(*EIGHT_DIGITS), 100).when(n.between(*SIX_DIGITS), 1)
+    return F.floor(n / days).cast("int")
+
+
 def month_key(month_id: Column) -> Column:
-    """``yyyyMM`` stays, ``yyyyMMdd`` becomes ``yyyyMM``, anything else NULL."""
-    s = month_id.cast("string")
-    return (
-        F.when(month_id.isNull(), F.lit(None).cast("int"))
-        .when(s.rlike("^[0-9]{6}$"), month_id.cast("int"))
-        .when(s.rlike("^[0-9]{8}$"), F.substring(s, 1, 6).cast("int"))
-        .otherwise(F.lit(None).cast("int"))
-    )
-
-
-def any_date_in_month(month_id: Column) -> Column:
-    """A date inside the month of a ``yyyyMM`` or ``yyyyMMdd`` key."""
-    s = month_id.cast("string")
-    return (
-        F.when(month_id.isNull(), F.lit(None).cast("date"))
-        .when(s.rlike("^[0-9]{6}$"), F.try_to_date(F.concat(s, F.lit("01")), "yyyyMMdd"))
-        .when(s.rlike("^[0-9]{8}$"), F.try_to_date(s, "yyyyMMdd"))
-        .otherwise(F.lit(None).cast("date"))
-    )
+    """The month of a key of either length, NULL for anything else."""
+    return _year_month(month_id)
 
 
 def month_end(month_id: Column) -> Column:
-    """Last day of the key's month, NULL when the key does not parse."""
-    d = any_date_in_month(month_id)
-    return F.when(d.isNull(), F.lit(None).cast("date")).otherwise(
-        F.last_day(F.to_date(F.date_trunc("MONTH", d)))
-    )
+    """Last day of the key's month; NULL for a key without a calendar day."""
+    ym = _year_month(month_id)
+    last = F.last_day(F.make_date(F.floor(ym / 100).cast("int"), F.when((ym % 100).between(1, 12), ym % 100), F.lit(1)))
+    n = month_id.try_cast("long")
+    return F.when(n.between(*SIX_DIGITS) | (n % 100).between(F.lit(1), F.dayofmonth(last)), last)
 
 
 def month_norm(month_id: Column) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beforeafter.functions.months import any_date_in_month, month_key
+from beforeafter.functions.months import month_end, month_key
 from beforeafter.functions.numeric import exact_sum, ravg, rsum
 from beforeafter.operators.quantiles import exact_quantiles
+from beforeafter.session import materialize
 from beforeafter.operators.ranking import bounded
 from beforeafter.operators.rfm import MAX_MONTHS
 from beforeafter.operators.windows import bucket_join
@@ -34,10 +35,12 @@ def rolling(by_month: DataFrame, n: int = 3, exact: bool = False) -> DataFrame:
 def heavy_periods(exposures: DataFrame, q: float = 0.9) -> DataFrame:
     """Heavy contact periods: calendar months whose contact count is at least
     the ``q`` quantile of monthly contact counts.  One row per month at most,
-    so the result is bounded by the calendar."""
+    so the result is bounded by the calendar.  The counts, a row per month, are
+    stored: the quantile reads them several times."""
     monthly = exposures.where(F.col("exposure_date").isNotNull()).groupBy(
         F.trunc("exposure_date", "MM").alias("period_start")
     ).agg(F.count(F.lit(1)).alias("contacts"))
+    monthly = materialize(monthly, "contacts-by-month")
     thr = exact_quantiles(monthly, "contacts", {"__thr": q})
     return (
         monthly.crossJoin(F.broadcast(thr))
@@ -111,11 +114,11 @@ def frozen_segments(fact: DataFrame, rfm: DataFrame) -> DataFrame:
     RFM rows are keyed by their month; with day keys (yyyyMMdd) only the row
     of the month's last day counts, so there is one segment per month.
     """
-    d = any_date_in_month(F.col("month_id"))
-    is_month_row = (F.length(F.col("month_id").cast("string")) == 6) | (d == F.last_day(d))
+    end = month_end(F.col("month_id"))
+    is_month_row = (F.col("month_id") == month_key(F.col("month_id"))) | (F.col("month_id") % 100 == F.dayofmonth(end))
     r = rfm.where(is_month_row & F.col("customer_id").isNotNull()).select(
         F.col("customer_id").alias("__rc"),
-        F.date_format(F.add_months(F.trunc(d, "MM"), 1), "yyyyMM").cast("int").alias("__next"),
+        F.date_format(F.date_add(end, 1), "yyyyMM").cast("int").alias("__next"),
         F.col("rfm_segment").alias("frozen_segment"),
     )
     return fact.join(

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from beforeafter.functions.months import month_key, month_norm
 from beforeafter.functions.numeric import rsum
+from beforeafter.operators.ranking import bounded
+from beforeafter.operators.rfm import MAX_MONTHS
 
 
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -157,7 +159,8 @@ def without_zero_months(fact: DataFrame, most: float) -> DataFrame:
     shares = zero_shares(fact)
     sparse = shares.where((F.col("zero_pre_share") > most) | (F.col("zero_post_share") > most))
     named = fact.withColumn("__m", month_norm(F.col("month_id")))
-    return named.join(sparse.select(F.col("month_id_norm").alias("__m")), "__m", "left_anti").drop("__m")
+    months = bounded(sparse.select(F.col("month_id_norm").alias("__m")), MAX_MONTHS, "months")
+    return named.join(months, "__m", "left_anti").drop("__m")
 
 
 def final_gate(total_grid: DataFrame, segments: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from beforeafter.config import DEFAULT, LiftConfig
 from beforeafter.functions.months import month_end as month_end_expr
 from beforeafter.operators.ranking import bounded, ntiles
-from beforeafter.operators.windows import purchase_days
 from beforeafter.session import materialize
 
 
@@ -44,11 +43,12 @@ def trailing(
     join of the method does.  Which months have one is told by the purchase days
     alone, so the aggregate behind its exchange serves every use of the result.
     """
-    days_known = (
-        transactions.select(F.col("transaction_date").alias("day")) if stream is None else stream.where(~F.col("is_repeat")).select("day")
-    )
-    stream = stream if stream is not None else purchase_days(transactions)
-    d = stream.where(~F.col("is_repeat")).select("customer_id", "day", "n_rows", "revenue")
+    if stream is None:  # rows and revenue need no look at repeated ids
+        bought = transactions.select("customer_id", F.col("transaction_date").alias("day"), "revenue").where(F.col("day").isNotNull())
+        d = bought.groupBy("customer_id", "day").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("revenue").alias("revenue"))
+    else:
+        bought = stream.where(~F.col("is_repeat"))
+        d = bought.select("customer_id", "day", "n_rows", "revenue")
     e = bounded(ends.where(F.col("month_end").isNotNull()), MAX_MONTHS, "months")
     j = _reach(d, days).join(e, F.col("__me") == e["month_end"], "inner")
     agg = j.groupBy("customer_id", "month_id", "month_end").agg(
@@ -56,7 +56,7 @@ def trailing(
         F.sum("n_rows").alias("txns_90d"),
         F.sum("revenue").alias("rev_90d"),
     )
-    reached = _reach(days_known.where(F.col("day").isNotNull()).distinct(), days).select(F.col("__me").alias("__pe")).distinct()
+    reached = _reach(bought.select("day").distinct(), days).select(F.col("__me").alias("__pe")).distinct()
     present = bounded(reached, MAX_MONTHS, "months")  # at most one row per month of the calendar
     empty = ends.join(present, ends["month_end"] == present["__pe"], "left_anti").select(
         F.lit(None).cast("long").alias("customer_id"),

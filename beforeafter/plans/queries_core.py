@@ -28,14 +28,15 @@ class Chain:
     fact: DataFrame
 
 
-def chain(spark: SparkSession, sf_dir: str, cfg: LiftConfig = DEFAULT, which: str = "a") -> Chain:
-    """Binding, purchase stream, anchors, windows and fact, as lazy plans."""
+def chain(spark: SparkSession, sf_dir: str, cfg: LiftConfig = DEFAULT, which: str = "a", flags: bool = True) -> Chain:
+    """Binding, purchase stream, anchors, windows and fact, as lazy plans; the
+    fact's customer flags are null unless ``flags``."""
 
     b = binding_a(spark, sf_dir) if which == "a" else binding_b(spark, sf_dir)
     days = windows.purchase_days(b.transactions)
     anc = windows.anchors(b.exposures)
     pp = windows.pre_post(anc, b.transactions, cfg, days=days)
-    return Chain(b, days, anc, pp, lift.fact(pp, b.customers, cfg))
+    return Chain(b, days, anc, pp, lift.fact(pp, b.customers if flags else b.unflagged, cfg))
 
 
 # ---------------------------------------------------------------- anchors (C)
@@ -151,7 +152,7 @@ DELTA_COLS = ["incremental_revenue", "incremental_transactions", "incremental_fr
 )
 def q_lift_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = chain(spark, sf_dir)
-    r = lift.rates(lift.base(c.pre_post, c.binding.customers))
+    r = lift.rates(lift.base(c.pre_post, c.binding.unflagged))
     return round_cols(r.select("customer_id", "month_id", *RATE_COLS), six(RATE_COLS))
 
 
@@ -164,7 +165,7 @@ def q_lift_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_lift_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = chain(spark, sf_dir)
-    d = lift.deltas(lift.rates(lift.base(c.pre_post, c.binding.customers)))
+    d = lift.deltas(lift.rates(lift.base(c.pre_post, c.binding.unflagged)))
     return round_cols(d.select("customer_id", "month_id", *DELTA_COLS), six(DELTA_COLS))
 
 
@@ -199,7 +200,7 @@ FROM fact GROUP BY month_key_yyyymm"""
 
 @register("summary_month", S.with_(S.chain_a()) + SUMMARY_MONTH_SQL)
 def q_summary_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.by_month(chain(spark, sf_dir).fact, exact=True)
+    return summary.by_month(chain(spark, sf_dir, flags=False).fact, exact=True)
 
 
 @register(

@@ -103,5 +103,5 @@ def q_summary_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fact and RFM dimension share one stored purchase stream."""
     b = binding_a(spark, sf_dir)
     days = materialize(windows.purchase_days(b.transactions), "purchase-days")
-    fact = lift.fact(windows.pre_post(windows.anchors(b.exposures), b.transactions, days=days), b.customers)
+    fact = lift.fact(windows.pre_post(windows.anchors(b.exposures), b.transactions, days=days), b.unflagged)
     return summary.by_rfm(fact, rfm.segments(b.transactions, b.dates, stream=days), exact=True)

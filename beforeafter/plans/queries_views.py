@@ -39,6 +39,12 @@ class Gold:
         pp = windows.pre_post(self.anchors, self.binding.transactions, days=self.days)
         return materialize(lift.fact(pp, self.binding.customers), "fact")
 
+    @cached_property
+    def lifts(self):
+        """The fact without flags."""
+        pp = windows.pre_post(self.anchors, self.binding.transactions, days=self.days)
+        return materialize(lift.fact(pp, self.binding.unflagged), "lifts")
+
     @cached_property
     def rfm(self):
         return materialize(rfm.segments(self.binding.transactions, self.binding.dates, stream=self.days), "rfm")
@@ -371,7 +377,7 @@ FROM fm GROUP BY month_id_norm"""
     ),
 )
 def q_coverage(spark, sf_dir):
-    return round_cols(diagnostics.coverage(G(spark, sf_dir).fact), {"median_inc_rev": 6})
+    return round_cols(diagnostics.coverage(G(spark, sf_dir).lifts), {"median_inc_rev": 6})
 
 
 @register(
@@ -388,7 +394,7 @@ GROUP BY month_id_norm, bin, lo, hi"""
     ),
 )
 def q_histogram(spark, sf_dir):
-    h = diagnostics.histogram(G(spark, sf_dir).fact, 60)
+    h = diagnostics.histogram(G(spark, sf_dir).lifts, 60)
     return round_cols(h, {"bin_start": 6, "bin_end": 6})
 
 
@@ -400,7 +406,7 @@ UNION ALL SELECT customer_id, month_id_norm, 'post_rev_per_day', ROUND(post_rev_
     ),
 )
 def q_rate_unpivot(spark, sf_dir):
-    return round_cols(diagnostics.rate_unpivot(G(spark, sf_dir).fact), {"rev_per_day": 6})
+    return round_cols(diagnostics.rate_unpivot(G(spark, sf_dir).lifts), {"rev_per_day": 6})
 
 
 BOX = {"min": 6, "q1": 6, "median": 6, "q3": 6, "max": 6}
@@ -417,7 +423,7 @@ GROUP BY month_id_norm, period"""
     ),
 )
 def q_rate_box(spark, sf_dir):
-    return round_cols(diagnostics.rate_box(G(spark, sf_dir).fact), BOX)
+    return round_cols(diagnostics.rate_box(G(spark, sf_dir).lifts), BOX)
 
 
 def _outlier_sql(order: str) -> str:
@@ -435,12 +441,12 @@ OUT_DIGITS = {"incremental_revenue": 6, "pre_revenue": 6, "post_revenue": 6}
 
 @register("outliers_top", _outlier_sql("DESC"))
 def q_outliers_top(spark, sf_dir):
-    return round_cols(diagnostics.outliers(G(spark, sf_dir).fact, 20, top=True), OUT_DIGITS)
+    return round_cols(diagnostics.outliers(G(spark, sf_dir).lifts, 20, top=True), OUT_DIGITS)
 
 
 @register("outliers_bottom", _outlier_sql("ASC"))
 def q_outliers_bottom(spark, sf_dir):
-    return round_cols(diagnostics.outliers(G(spark, sf_dir).fact, 20, top=False), OUT_DIGITS)
+    return round_cols(diagnostics.outliers(G(spark, sf_dir).lifts, 20, top=False), OUT_DIGITS)
 
 
 @register(

@@ -25,6 +25,13 @@ class Binding:
     # The customer keys alone, for joins that only test membership (no flags).
     customer_ids: DataFrame | None = None
 
+    @property
+    def unflagged(self) -> DataFrame:
+        """Customers with null flags: for facts whose flags nobody reads, so that
+        no quantile is computed for them."""
+        none = F.lit(None).cast("int")
+        return self.customer_ids.select("customer_id", none.alias("is_active"), none.alias("is_high_value"))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of ``sf_dir``."""

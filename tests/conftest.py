@@ -28,5 +28,10 @@ def spark(tmp_path_factory):
     yield s
 
 
+def pytest_collection_modifyitems(items):
+    """The tests of the training-data operators run after the others."""
+    items.sort(key=lambda item: "llm" in item.path.parts)
+
+
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"

@@ -22,6 +22,12 @@ def test_month_key_formats_s8(spark):
     assert [str(e) if e else None for e in ends] == ["2025-01-31", "2025-01-31", None, None]
 
 
+def test_month_keys_without_a_calendar_day(spark):
+    df = spark.createDataFrame([("202513",), ("20250230",), ("20250228",), ("20251301",), ("x",), ("2025011",)], "m string")
+    got = [(r.k, str(r.e) if r.e else None) for r in df.select(month_key(F.col("m")).alias("k"), month_end(F.col("m")).alias("e")).collect()]
+    assert got == [(202513, None), (202502, None), (202502, "2025-02-28"), (202513, None), (None, None), (None, None)]
+
+
 def test_month_sort_key(spark):
     df = spark.createDataFrame([("2025-03",), ("202502",), ("Unknown",)], "m string")
     assert [r.k for r in df.select(month_sort_key(F.col("m")).alias("k")).collect()] == ["202503", "202502", "Unknown"]

@@ -120,3 +120,22 @@ def test_stored_tables_are_read_instead_of_the_sources(spark):
         df = E.queries()[name](spark, SF_SMALL)
         assert not _scans(df, "l_orderkey") and not _scans(df, "o_orderkey"), name
     assert len(_scans(E.queries()["promo_vs_quiet"](spark, SF_SMALL), "l_orderkey")) <= 2
+
+
+def test_flags_that_nobody_reads_are_not_computed(spark):
+    """Only the ids of customers are scanned, once, and orders without their prices' quantiles."""
+    for name in ("summary_month", "zero_shares", "check_no_activity"):
+        scans = _scans(E.queries()[name](spark, SF_SMALL), "c_custkey")
+        assert len(scans) == 1 and "c_acctbal" not in scans[0], name
+
+
+def test_ranking_runs_no_job_while_its_plan_is_built(spark):
+    from pyspark.sql import functions as F
+
+    from beforeafter.operators import ranking
+
+    sc = spark.sparkContext
+    sc.setJobGroup("ranking-plan", "")
+    ranking.ntiles(spark.range(50).withColumn("g", F.lit(1)), "g", {"t": F.col("id") % 7}, F.col("id"), 5)
+    assert not sc.statusTracker().getJobIdsForGroup("ranking-plan")
+    sc.setLocalProperty("spark.jobGroup.id", None)
