@@ -62,8 +62,8 @@ def unescape(text: str) -> str:
 
 
 def events_of(conversations: DataFrame) -> DataFrame:
-    """Event log of a table with one row per turn: every row a whole message of
-    its own (``message`` null)."""
+    """Event log of a table with one row per turn: every row a ``message`` event
+    without an id (``fold_events`` gives it one of its own)."""
     return conversations.select(
         "conv_id",
         F.col("turn").alias("seq"),
@@ -74,56 +74,60 @@ def events_of(conversations: DataFrame) -> DataFrame:
     )
 
 
+def own_id(seq: Column, role: Column, text: Column) -> Column:
+    """Id of a message event that names no message: a digest of its seq, role and
+    text, so that a rerun task gives the same id again."""
+    role = F.coalesce(F.concat(F.char_length(role).cast("string"), F.lit(":"), role), F.lit("-"))
+    return F.sha2(F.concat(F.coalesce(seq.cast("string"), F.lit("-")), F.lit("/"), role, F.lit("/"), text), 256)
+
+
 def fold_events(events: DataFrame) -> DataFrame:
     """Final messages: conv_id, at (seq of the first event), role, text.
 
-    ``events`` has conv_id, seq, kind, message, role, text.  Of one message's events
-    with the same seq, deltas come last; otherwise kind and text decide.  Unknown
-    kinds are ignored.  A
-    message event without a message id is a message of its own, other events
-    without one are ignored.  The role is that of the first event that has one.
-    Null texts are empty.  Events are grouped by message, never by conversation.
+    ``events`` has conv_id, seq, kind, message, role, text; further columns are
+    ignored.  Of one message's events with the same seq, deltas come last; otherwise
+    kind and text decide.  Unknown kinds are ignored.  A message event without a
+    message id is a message of its own; its repeats fold together and stand as often
+    as they came.  Other events without an id are ignored.  The role is that of the
+    first event that has one.  Null texts are empty, a null seq comes first, a null
+    conv_id is a conversation.  No events, no messages.
+
+    Versions and texts are built per message, never per conversation: a task holds
+    the pieces of one message's last version, which are its text.  The last step
+    drops what was taken back by a running maximum along each conversation, whose
+    rows are sorted and spilled, not held.
     """
+    named = F.col("message").isNotNull()
     events = events.select(
         "conv_id", "seq", "kind", "message", "role", F.coalesce("text", F.lit("")).alias("text")
-    ).where(F.col("kind").isin(*RESETS, "delta"))
-    single = events.where(F.col("message").isNull() & (F.col("kind") == "message")).select(
-        "conv_id", F.col("seq").alias("at"), "role", "text"
+    ).where(F.col("kind").isin(*RESETS, "delta") & (named | (F.col("kind") == "message")))
+    events = events.withColumn("named", named).withColumn(
+        "message", F.coalesce("message", own_id(F.col("seq"), F.col("role"), F.col("text")))
     )
-    named = events.where(F.col("message").isNotNull())
+    key = ["conv_id", "named", "message"]
     late = F.col("kind") == "delta"  # at one seq, deltas follow what starts the message
-    by_order = Window.partitionBy("conv_id", "message").orderBy("seq", late, "kind", "text")
-    reset = F.col("kind").isin(*RESETS)
-    versions = named.withColumn("version", F.sum(reset.cast("int")).over(by_order))
-    versions = versions.withColumn("last", F.max("version").over(Window.partitionBy("conv_id", "message")))
+    by_order = Window.partitionBy(*key).orderBy("seq", late, "kind", "text").rowsBetween(Window.unboundedPreceding, 0)
+    versions = events.withColumn("version", F.sum(F.col("kind").isin(*RESETS).cast("int")).over(by_order))
+    versions = versions.withColumn("last", F.max("version").over(Window.partitionBy(*key)))
     said = F.struct("seq", late.alias("late"), "kind", "text")
-    latest = F.col("version") == F.col("last")
-    built = versions.groupBy("conv_id", "message").agg(
+    shown = (F.col("version") == F.col("last")) & (F.col("kind") != "regenerate")
+    built = versions.groupBy(*key).agg(
         F.min("seq").alias("at"),
+        F.max(F.when(F.col("kind").isin("edit", "regenerate"), F.col("seq"))).alias("until"),
         F.min(F.when(F.col("role").isNotNull(), F.struct("seq", "kind", "role"))).alias("first"),
-        F.sort_array(F.collect_list(F.when(latest & (F.col("kind") != "regenerate"), said))).alias("parts"),
+        F.sort_array(F.collect_list(F.when(shown, said))).alias("parts"),
+        F.when(F.col("named"), F.lit(1)).otherwise(F.count(F.lit(1))).alias("times"),
     )
     built = built.select(
-        "conv_id", "at", F.col("first.role").alias("role"), F.array_join(F.col("parts.text"), "").alias("text")
+        "conv_id", "at", "until", F.col("first.role").alias("role"), F.array_join("parts.text", "").alias("text"), "times"
     )
-    back = versions.join(
-        versions.groupBy("conv_id", "message").agg(F.min("seq").alias("at")).select(
-            F.col("conv_id").alias("_c"), F.col("message").alias("_m"), "at"
-        ),
-        F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("message") == F.col("_m")),
-    ).where(F.col("kind").isin("edit", "regenerate")).select("conv_id", "at", F.col("seq").alias("until"))
-    turns = single.unionByName(built)
-    if back.isEmpty():
-        return turns
     # a message begun at p is gone if some event at q took back a message begun before p, p < q
-    marks = turns.select("conv_id", "at", "role", "text", F.lit(None).cast(events.schema["seq"].dataType).alias("until"))
-    marks = marks.unionByName(back.select("conv_id", "at", F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"), "until"))
     earlier = Window.partitionBy("conv_id").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
-    return (
-        marks.withColumn("undone", F.max("until").over(earlier))
-        .where(F.col("text").isNotNull() & ~F.coalesce(F.col("undone") > F.col("at"), F.lit(False)))
-        .select("conv_id", "at", "role", "text")
+    kept = built.withColumn("undone", F.max("until").over(earlier)).where(
+        ~F.coalesce(F.col("undone") > F.col("at"), F.lit(False))
     )
+    repeats = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")
+    return kept.select("conv_id", "at", "role", "text", repeats).drop("copy")
 
 
 def render(turns: DataFrame) -> DataFrame:
@@ -168,6 +172,8 @@ def digests(pieces: DataFrame) -> DataFrame:
 
     Conversations are sorted inside their partition and read as a stream: hashes
     grow turn by turn, so a conversation of any length costs the memory of a batch.
+    A digest over all turns in order needs one task to see them all, so the longest
+    conversation bounds the time.
     """
     ship_package(pieces.sparkSession)
     schema = T.StructType(

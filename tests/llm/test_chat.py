@@ -50,7 +50,9 @@ def test_conversations_survive_the_round_trip(spark):
     df = load(spark, SF_ORACLE, "conversations")
     hostile = spark.createDataFrame(
         [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"), (None, 2, None, None),
-         (-8, None, "a]b", "\\"), (-8, 1, "assistant", None), (-8, 1, "assistant", "\\l<\\")],
+         (-8, None, "a]b", "\\"), (-8, 1, "assistant", None), (-8, 1, "assistant", "\\l<\\"),
+         (-9, 1, "user", "twice"), (-9, 1, "user", "twice"), (-9, 1, None, "twice"), (-9, 1, "", "twice"),
+         (-9, None, "user", "twice"), (-9, 3, "user", "twice"), (-9, 3, "user", "twice"), (-9, 3, "user", "twice")],
         "conv_id long, turn long, role string, text string",
     )
     df = df.unionByName(hostile)
@@ -105,6 +107,38 @@ def test_equal_seq_puts_deltas_last(spark):
     assert fold(spark, log) == [(1, "user", "abc")]
 
 
+def test_messages_without_an_id_fold_one_by_one(spark):
+    log = [
+        (1, 0, "message", None, "user", "a"),
+        (1, 1, "message", "m", "user", "b"),
+        (1, 2, "message", None, "user", "gone"),
+        (1, 2, "message", None, "user", "gone"),
+        (1, 3, "edit", "m", None, "c"),  # takes back the two before it
+        (1, 4, "message", None, "user", "same"),
+        (1, 4, "message", None, "user", "same"),
+        (1, 4, "edit", None, "user", "no message"),
+    ]
+    wanted = [(1, "user", "a"), (1, "user", "c"), (1, "user", "same"), (1, "user", "same")]
+    assert fold(spark, log) == wanted
+    # an id that equals the digest of another message's event is still its own message
+    digest = hashlib.sha256(b"4/4:user/same").hexdigest()
+    assert fold(spark, [*log, (1, 5, "message", digest, "user", "named")]) == [*wanted, (1, "user", "named")]
+
+
+def test_the_registered_query_folds(spark, monkeypatch):
+    """Every turn of op4 comes out of the fold: without it the query has no rows."""
+    from beforeafter.llm.queries import QUERIES
+
+    folded = chat.fold_events
+    monkeypatch.setattr(chat, "fold_events", lambda events: folded(events.where("false")))
+    assert QUERIES["op4_chat_formatting"](spark, SF_ORACLE).count() == 0
+
+
+def test_a_message_event_that_came_twice_is_said_once(spark):
+    log = [(1, 0, "message", "m", "user", "a"), (1, 0, "message", "m", "user", "a"), (1, 1, "delta", "m", None, "b")]
+    assert fold(spark, log) == [(1, "user", "ab")]
+
+
 def test_loss_span_is_the_assistants_text(spark):
     events = chat.events_of(
         spark.createDataFrame(
