@@ -92,18 +92,17 @@ def fold_events(events: DataFrame) -> DataFrame:
     first event that has one.  Null texts are empty, a null seq comes first, a null
     conv_id is a conversation.  No events, no messages.
 
-    Versions and texts are built per message, never per conversation: a task holds
-    the pieces of one message's last version, which are its text.  The last step
-    drops what was taken back by a running maximum along each conversation, whose
-    rows are sorted and spilled, not held.
+    Events move once, to their conversation, and every step after keeps that place:
+    versions and texts are built per message (a task holds the pieces of one
+    message's last version, which are its text), and a running maximum along each
+    conversation drops what was taken back; rows are sorted and spilled, not held.
     """
     named = F.col("message").isNotNull()
     events = events.select(
         "conv_id", "seq", "kind", "message", "role", F.coalesce("text", F.lit("")).alias("text")
     ).where(F.col("kind").isin(*RESETS, "delta") & (named | (F.col("kind") == "message")))
-    events = events.withColumn("named", named).withColumn(
-        "message", F.coalesce("message", own_id(F.col("seq"), F.col("role"), F.col("text")))
-    )
+    events = events.repartition("conv_id").withColumn("named", named)
+    events = events.withColumn("message", F.coalesce("message", own_id(F.col("seq"), F.col("role"), F.col("text"))))
     key = ["conv_id", "named", "message"]
     late = F.col("kind") == "delta"  # at one seq, deltas follow what starts the message
     by_order = Window.partitionBy(*key).orderBy("seq", late, "kind", "text").rowsBetween(Window.unboundedPreceding, 0)
