@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from beforeafter.config import SENSITIVITY_POST_DAYS, SENSITIVITY_PRE_DAYS
 from beforeafter.functions.numeric import rsum
-from beforeafter.operators import bias, checks, measures, sensitivity, summary
+from beforeafter.operators import bias, checks, grains, measures, sensitivity, summary
 from beforeafter.plans import sql as S
 from beforeafter.plans.present import round_cols
 from beforeafter.plans.queries_core import chain
@@ -106,9 +106,10 @@ FULL OUTER JOIN ({_roll_sql('agg_rfm', 'customers', 'rfm')}) r USING (month_id)
 FULL OUTER JOIN ({_roll_sql('agg_flags', 'customers', 'flags')}) f USING (month_id)""",
 )
 def q_check_reconcile(spark, sf_dir):
-    """Month totals equal the sums over segments and over flags."""
-    g = G(spark, sf_dir)
-    return checks.reconcile(g.by_month, g.by_rfm, g.by_flags, exact=True)
+    """Month totals equal the sums over segments and over flags, all from one
+    pass over the fact."""
+    r = G(spark, sf_dir).rolled
+    return checks.reconcile(grains.by_month(r), grains.by_rfm(r), grains.by_flags(r), exact=True)
 
 
 @register(

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from beforeafter.functions.months import month_sort_key
-from beforeafter.operators import diagnostics, lift, rfm, summary, windows
+from beforeafter.operators import diagnostics, grains, lift, rfm, summary, windows
 from beforeafter.plans import sql as S
 from beforeafter.plans import views as V
 from beforeafter.plans.present import round_cols
@@ -49,6 +49,11 @@ class Gold:
     def rfm(self):
         return materialize(rfm.segments(self.binding.transactions, self.binding.dates, stream=self.days), "rfm")
 
+    @cached_property
+    def rolled(self):
+        """Every grain of the fact, from one pass over fact and RFM dimension."""
+        return materialize(grains.rollup(self.fact, self.rfm, exact=True), "rollup")
+
     @property
     def by_month(self):
         return summary.by_month(self.fact, exact=True)
@@ -468,9 +473,9 @@ def q_stage_audit(spark, sf_dir):
             "anchors": g.anchors,
             "fact": g.fact,
             "rfm": g.rfm,
-            "agg_month": g.by_month,
-            "agg_rfm": g.by_rfm,
-            "agg_flags": g.by_flags,
+            "agg_month": grains.by_month(g.rolled),
+            "agg_rfm": grains.by_rfm(g.rolled),
+            "agg_flags": grains.by_flags(g.rolled),
         }
     )
 
