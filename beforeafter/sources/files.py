@@ -58,7 +58,7 @@ def load_table(
     place = _managed_location(spark, name)
     if not spark.catalog.tableExists(name) and place and path_exists(spark, place):
         raise RuntimeError(f"{place} exists but the catalog has no table {name}; remove the folder or use another name")
-    w = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    w = df.write.format(fmt).mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
@@ -178,6 +178,20 @@ def export_gold(
     return out
 
 
+def replace_partitions(df: DataFrame, path: str, column: str, values: list[int]) -> None:
+    """Replace the folders ``column=value`` of ``values`` in a partitioned Parquet table
+    by the rows of ``df``, which has no other values.  Other folders are not touched;
+    a value without rows loses its folder.  ``df`` is read twice, so store it first."""
+    spark = df.sparkSession
+    df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        column
+    ).parquet(path)
+    present = {r[0] for r in df.select(column).distinct().collect()}  # at most one row per value
+    for value in set(values) - present:
+        fs, folder = _fs(spark, f"{path.rstrip('/')}/{column}={value}")
+        fs.delete(folder, True)
+
+
 def register_views(tables: dict[str, DataFrame], display: bool = True) -> list[str]:
     """Temp views under the technical or the business display name."""
     names = []

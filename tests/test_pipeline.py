@@ -3,6 +3,7 @@ method's published summaries satisfy."""
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from beforeafter.plans import pipeline
@@ -55,3 +56,42 @@ def test_build_gold_invariants(spark, tmp_path):
     assert grid.where(~F.col("t") | ~F.col("r")).count() == 0
     # At most four flag groups per month.
     assert flags.groupBy("month_id").count().where(F.col("count") > 4).count() == 0
+
+
+def _tables(spark, folder):
+    csv = {pipeline.MONTH: schemas.AGG_MONTH, pipeline.BY_RFM: schemas.AGG_RFM, pipeline.BY_FLAGS: schemas.AGG_ACTIVE_VALUE}
+    out = {}
+    for name in (pipeline.FACT, pipeline.RFM, *csv):
+        df = (
+            files.read_csv_strict(spark, f"{folder}/{name}.csv", csv[name])
+            if name in csv
+            else spark.read.parquet(f"{folder}/{name}")
+        )
+        out[name] = sorted(map(repr, df.select(*sorted(df.columns)).collect()))
+    return out
+
+
+def _files(spark, folder, months):
+    rows = pipeline.manifest(spark, folder).where(~F.col("month_id").isin(months)).collect()
+    return sorted((r.table_name, r.month_id, r.file_path, r.written_at, r.row_count) for r in rows)
+
+
+def test_rebuilt_months_equal_a_full_build(spark, tmp_path):
+    b = binding_a(spark, SF_SMALL)
+    months = sorted(r[0] for r in b.exposures.select("month_id").distinct().collect())
+    early, late, gone = months[len(months) // 2], months[-1], months[3]
+    full = b.exposures.where(F.col("month_id") != gone)  # the last state: one month has no contacts any more
+    known = b.exposures.where(~F.col("month_id").isin(early, late))
+    args = (b.customers, b.dates, b.transactions)
+    whole, place = str(tmp_path / "whole"), str(tmp_path / "gold")
+    pipeline.build_gold(*args, full, whole)
+    pipeline.build_gold(*args, known, place)
+    changed = [early, late, gone]
+    before = _files(spark, place, changed)
+    pipeline.rebuild_months(*args, full, place, changed)
+    assert _files(spark, place, changed) == before
+    assert _tables(spark, place) == _tables(spark, whole)
+    pipeline.rebuild_months(*args, full, place, [])
+    assert _files(spark, place, changed) == before
+    with pytest.raises(ValueError):
+        pipeline.rebuild_months(*args, full, place, [7])
