@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beforeafter.llm.common import arrow_rows, broadcast_if_small, ship_package, shuffle_parts, stage
-from beforeafter.llm.components import connected_components
+from beforeafter.llm.components import connected_components, join_hubs
 
 #: Largest distance that the key scheme below guarantees to find.
 MAX_BITS = 4
@@ -306,15 +306,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, seed: int = 42, max_bits:
     """
     with arrow_rows(docs.sparkSession, 1000):
         own = stage(fingerprints(docs, shingle, seed), "simhash-docs")
-    nodes = stage(own.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
+    nodes = stage(own.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
     with arrow_rows(docs.sparkSession, 4096):
-        links = stage(fingerprint_links(nodes, max_bits), "simhash-links")
+        links = stage(fingerprint_links(nodes.drop("n"), max_bits), "simhash-links")
     # null-safe only in name: fp is never null
     found = connected_components(links).select(F.col("node").alias("fp"), "root")
-    rooted = nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    groups = rooted.join(least, "root").select("fp", "component_id")
-    return own.join(groups, "fp").select("doc_id", "fp", "component_id")
+    rooted = stage(nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-rooted")
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    groups = join_hubs(rooted.withColumnRenamed("n", "copies"), least, "root", rooted.count())
+    groups = groups.select("fp", "component_id", F.col("copies").alias("n"))
+    return join_hubs(own, groups, "fp", own.count()).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp: str = "fp"):

@@ -6,7 +6,8 @@ import numpy as np
 from xxhash import xxh64_intdigest
 
 from beforeafter.llm import simhash
-from beforeafter.llm.components import connected_components
+from beforeafter.llm import components
+from beforeafter.llm.components import connected_components, join_hubs
 from tests.conftest import SF_ORACLE
 from tests.llm.helpers import load, no_docs, odd_docs
 
@@ -113,3 +114,17 @@ def test_components_of_chains_stars_and_nothing(spark):
     got = {r.node: r.root for r in connected_components(df).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{k: 100 for k in range(100, 140)}}
     assert connected_components(df.where("false")).count() == 0
+
+
+def test_hubs_are_joined_where_they_are(spark, monkeypatch):
+    """Frequent and rare keys give the rows of a plain join; only rare keys are shuffled."""
+    monkeypatch.setattr(components, "HUBS", 3)
+    rows = spark.createDataFrame([(k % 4 if k < 90 else k, k) for k in range(100)], "u long, v long")
+    table = rows.groupBy("u").count().selectExpr("u", "u * 10 AS m", "count AS n")
+    got = join_hubs(rows, table, "u", 100)
+    assert sorted(got.collect()) == sorted(rows.join(table.drop("n"), "u").collect())
+    assert table.where(f"n > {100 // 3}").count() <= 3
+    assert join_hubs(rows.where("false"), table.where("false"), "u", 0).count() == 0
+    edges = [(i, i + 1) for i in range(20)] + [(100, k) for k in range(101, 160)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(21)}, **{k: 100 for k in range(100, 160)}}
