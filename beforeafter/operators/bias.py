@@ -49,18 +49,48 @@ def heavy_periods(exposures: DataFrame, q: float = 0.9) -> DataFrame:
     )
 
 
+def disjoint(periods: DataFrame) -> DataFrame:
+    """``period_start, period_end`` of the days that ``periods`` cover, merged: no two
+    overlap or touch.  Periods without a start or an end, or that end before they
+    start, cover nothing.  For at most ``MAX_MONTHS`` periods (the order is one task's)."""
+    start, end = F.col("period_start"), F.col("period_end")
+    sorted_ = Window.orderBy("period_start", "period_end")
+    before = sorted_.rowsBetween(Window.unboundedPreceding, -1)
+    marked = periods.where(start <= end).select(start, end, F.max("period_end").over(before).alias("__reach"))
+    new = F.coalesce(start > F.date_add("__reach", 1), F.lit(True)).cast("int")
+    numbered = marked.withColumn("__n", F.sum(new).over(sorted_.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    merged = numbered.groupBy("__n").agg(F.min("period_start").alias("period_start"), F.max("period_end").alias("period_end"))
+    return merged.drop("__n")
+
+
+#: Halvings that find a place among ``MAX_MONTHS`` periods.
+_HALVINGS = MAX_MONTHS.bit_length()
+
+
 def _touches(fact: DataFrame, periods: DataFrame, pre_days: int, post_days: int) -> DataFrame:
     """``fact`` with ``__touch``: whether the row's PRE or POST window touches a
-    period.  The periods, at most ``MAX_MONTHS``, travel as one row with a list."""
-    listed = bounded(periods, MAX_MONTHS, "periods").agg(
-        F.collect_list(F.struct("period_start", "period_end")).alias("__periods")
-    )
-    a = F.col("anchor_exposure_date")
-    touch = F.exists(
-        "__periods",
-        lambda p: (F.date_sub(a, pre_days) <= p["period_end"]) & (F.date_add(a, post_days - 1) >= p["period_start"]),
+    period.  The merged periods, at most ``MAX_MONTHS``, travel as one row with a
+    sorted list; of those that start by the window's end only the last can reach
+    into the window, and halving the list finds it."""
+    listed = disjoint(bounded(periods, MAX_MONTHS, "periods")).agg(
+        F.array_sort(F.collect_list(F.struct("period_start", "period_end"))).alias("__periods")
     )
-    return fact.crossJoin(F.broadcast(listed)).withColumn("__touch", F.coalesce(touch, F.lit(False))).drop("__periods")
+    begin, end = F.date_sub("anchor_exposure_date", pre_days), F.date_add("anchor_exposure_date", post_days - 1)
+
+    def halve(at: Column, _: Column) -> Column:
+        # the first `low` periods start by the window's end, those from `high` on after it
+        mid, unsure = F.shiftright(at["low"] + at["high"], 1), at["low"] < at["high"]
+        starts = F.get("__periods", mid.cast("int"))["period_start"]
+        return F.struct(
+            F.when(unsure & (starts <= end), mid + 1).otherwise(at["low"]).alias("low"),
+            F.when(unsure & (starts > end), mid).otherwise(at["high"]).alias("high"),
+        )
+
+    whole = F.struct(F.lit(0).cast("long").alias("low"), F.size("__periods").cast("long").alias("high"))
+    place = F.aggregate(F.sequence(F.lit(1), F.lit(_HALVINGS)), whole, halve, lambda at: at["low"])
+    placed = fact.crossJoin(F.broadcast(listed)).withColumn("__place", place)
+    last = F.get("__periods", (F.col("__place") - 1).cast("int"))["period_end"]
+    return placed.withColumn("__touch", F.coalesce(last >= begin, F.lit(False))).drop("__periods", "__place")
 
 
 def exclude_periods(fact: DataFrame, periods: DataFrame, pre_days: int = 28, post_days: int = 7) -> DataFrame:

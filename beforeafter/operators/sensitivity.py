@@ -1,8 +1,9 @@
 """Window sensitivity (J7) and sign stability.
 
-All PRE and POST lengths of the grid come from one bucketed join over the
-widest window: three PRE sums and three POST sums per anchor, then every
-(PRE, POST) pair is a projection, stacked to long form.
+All PRE and POST lengths of the grid come from one running sum per customer:
+its windows share the day before the anchor, so seven lookups per anchor give
+three PRE and three POST sums, whatever the lengths; then every (PRE, POST) pair
+is a projection, stacked to long form.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from beforeafter.config import SENSITIVITY_POST_DAYS, SENSITIVITY_PRE_DAYS
 from beforeafter.functions.numeric import rsum
-from beforeafter.operators.windows import ANCHOR_KEYS, window_aggregates
+from beforeafter.operators.running import window_totals
+from beforeafter.operators.windows import ANCHOR_KEYS
 
 
 def per_anchor(
@@ -25,8 +27,8 @@ def per_anchor(
     """Long form: one row per anchor of a known customer and (pre, post) pair
     with the incremental revenue and transactions of that pair."""
     wins = {f"pre{p}": (-p, -1) for p in pres} | {f"post{q}": (0, q - 1) for q in posts}
-    agg = window_aggregates(anchor_df, days, wins)
-    known = agg.join(customers.select("customer_id"), "customer_id", "left_semi")
+    known = anchor_df.join(customers.select("customer_id"), "customer_id", "left_semi")
+    agg = window_totals(known, days, wins)
     pairs = []
     for p in pres:
         for q in posts:
@@ -40,7 +42,7 @@ def per_anchor(
                     txn.alias("incremental_transactions"),
                 )
             )
-    long = known.select(*ANCHOR_KEYS, F.explode(F.array(*pairs)).alias("__p"))
+    long = agg.select(*ANCHOR_KEYS, F.explode(F.array(*pairs)).alias("__p"))
     return long.select(*ANCHOR_KEYS, "__p.*")
 
 

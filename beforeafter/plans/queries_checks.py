@@ -204,7 +204,7 @@ def _long(spark, sf_dir):
   {xsum('incremental_transactions')} AS incremental_transactions FROM sg_long GROUP BY pre_days, post_days""",
 )
 def q_sensitivity_grid(spark, sf_dir):
-    """PRE 14/28/56 x POST 3/7/14 from one join over the widest window."""
+    """PRE 14/28/56 x POST 3/7/14 from running totals, one lookup per window edge."""
     _, long = _long(spark, sf_dir)
     return sensitivity.grid(long, exact=True)
 
