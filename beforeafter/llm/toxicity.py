@@ -92,18 +92,22 @@ LOOKALIKES = {
 #: Marks that may stand between the letters of a spaced word.
 GAPS = " .-_*~'"
 #: Channel log probabilities.
-SAME, ALIKE, ONCE, TWICE = 0.0, math.log(0.3), math.log(0.6), math.log(0.4)
+SAME, ALIKE, ONCE, TWICE, DOUBLED = 0.0, math.log(0.3), math.log(0.6), math.log(0.4), math.log(0.1)
 #: Log probability per letter that a reading must reach to be believed.
 LEAST = -3.6
+#: Positions of a lattice that are decoded together, runs counted as one position;
+#: a longer word is read in pieces of this size that overlap by half.
+SLOTS = 48
 
 _EDGE = "\"',.;:?!()[]{}<>«»“”¿¡…"
-_SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*~'](?:[^\W_]|[@$!|])){2,}(?!\w)")
+_LETTER = r"(?:[^\W_]|[@$!|])"
+_SPACED = re.compile(rf"(?<!\S){_LETTER}(?:[ .\-_*~']+{_LETTER}){{2,}}(?!\w)")
 #: What every spaced word begins with; quick to rule out.
-_MAYBE = re.compile(r"\s[^\W_][ .\-_*~'][\w@$!|][ .\-_*~'][\w@$!|]")
-_RUN = re.compile(r"([^\W\d_])\1\1")
+_MAYBE = re.compile(rf"\s{_LETTER}[ .\-_*~']+{_LETTER}[ .\-_*~']+{_LETTER}")
+_RUN = re.compile(r"([^\W\d_])\1")
 _WORDLIKE = re.compile(r"[^\W\d_]")
 _ALIKE = re.compile(r"[0-9@$!|+(*]")
-_ODD = re.compile(r"[0-9@$!|+(*]|([^\W\d_])\1\1")
+_ODD = re.compile(r"[0-9@$!|+(*]|([^\W\d_])\1")
 
 
 def slots_of(word: str) -> list[list[tuple[str, float]]] | None:
@@ -124,6 +128,9 @@ def slots_of(word: str) -> list[list[tuple[str, float]]] | None:
         elif run > 2:  # a stretched letter: once or twice
             more = True
             slots.append([(c, ONCE), (c + c, TWICE)])
+        elif run == 2 and _WORDLIKE.match(c):  # a doubled letter: mostly as written
+            more = True
+            slots.append([(c + c, SAME), (c, DOUBLED)])
         else:
             slots += [[(c, SAME)]] * run
         k += run
@@ -137,7 +144,7 @@ class Decoder:
         self.model = model.tolist()
         table = class_table()
         self.table = {c: int(table[min(ord(c), 65535)]) for c in LETTERS}
-        self.memory: dict[str, str] = {}
+        self.memory: dict[str, list[str]] = {}
 
     def read(self, slots: list[list[tuple[str, float]]]) -> tuple[str, float]:
         """The most probable reading and its log probability per letter, the end of
@@ -171,29 +178,41 @@ class Decoder:
         memory = self.memory
         for w in [w for w in ws if _ODD.search(w)]:
             if w not in memory:
-                memory[w] = self.restore(w)
-            ws.add(memory[w])
+                memory[w] = self.readings(w)
+            ws.update(memory[w])
         return ws
 
     def restore(self, word: str) -> str:
-        """``word`` (lower case) as it was meant; itself if it is plain or no
-        reading is probable enough."""
+        """``word`` (lower case) as it was meant, the first piece of a long one; itself
+        if it is plain or no reading is probable enough."""
+        return next(iter(self.readings(word)), word)
+
+    def readings(self, word: str) -> list[str]:
+        """What ``word`` (lower case) was meant as: nothing if it is plain or no reading
+        is probable enough, one reading, or for a word of more than ``SLOTS`` positions
+        those of its pieces that are probable enough.  Every word is read to its end,
+        in time that grows with its length."""
         core = word.strip(_EDGE.replace("!", "").replace("(", ""))
-        if len(core) > 40 or not _WORDLIKE.search(core) or not (_ALIKE.search(core) or _RUN.search(core)):
-            return word
-        best, score = word, LEAST
+        if not _WORDLIKE.search(core) or not (_ALIKE.search(core) or _RUN.search(core)):
+            return []
+        found: dict[int, tuple[str, float]] = {}
         # marks at the end are punctuation or letters: try both
         for form in dict.fromkeys((core, core.strip(_EDGE))):
             slots = slots_of(form)
-            if slots and len(slots) > 2:
-                text, p = self.read(slots)
-                if p > score:
-                    best, score = text, p
-        return best
+            if not slots or len(slots) < 3:
+                continue
+            for at in range(0, max(len(slots) - SLOTS // 2, 1), SLOTS // 2):
+                piece = slots[at : at + SLOTS]
+                if len(slots) <= SLOTS or any(len(options) > 1 for options in piece):
+                    text, p = self.read(piece)
+                    if p > found.get(at, ("", LEAST))[1]:
+                        found[at] = text, p
+        return list(dict.fromkeys(text for text, _ in found.values()))
 
 
 def spaced_words(text: str) -> list[str]:
-    """Words written letter by letter, their gaps closed."""
+    """Words written letter by letter, with any number of marks between, their gaps
+    closed; the first letter may be a look-alike."""
     if not _MAYBE.search(" " + text):
         return []
     return ["".join(c for c in m.group() if c not in GAPS) for m in _SPACED.finditer(text)]
@@ -246,7 +265,8 @@ class Reader:
             return frozenset()
         found = {k for _, k in self.finder.iter(f"^{word.strip(_EDGE)}$")}
         if _ODD.search(word):
-            found.update(k for _, k in self.finder.iter(f"^{self.decoder.restore(word).strip(_EDGE)}$"))
+            for meant in self.decoder.readings(word):
+                found.update(k for _, k in self.finder.iter(f"^{meant.strip(_EDGE)}$"))
         return frozenset(found)
 
     def read(self, text: str) -> set[int]:
@@ -339,21 +359,26 @@ def gram_counts(words: DataFrame, held: int = 300_000) -> DataFrame:
     return counted.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def choose_grams(counts: DataFrame, toxic: int, clean: int, most: int = 4000, least: int = 8) -> list[str]:
-    """The ``most`` n-grams that tell toxic texts best, by log-likelihood ratio, of
-    those found at least ``least`` times in toxic texts and there relatively more
-    often than in clean ones.  Shorter n-grams win ties, so a stem stands for its words."""
+def choose_grams(counts: DataFrame, toxic: int, clean: int, chance: float = 0.01, least: int = 8) -> list[str]:
+    """Every n-gram that marks toxic texts beyond chance: found at least ``least`` times
+    in them, relatively four times as often as in clean ones, and with a log-likelihood
+    gain that no n-gram of a corpus without such n-grams reaches but with probability
+    ``chance`` (the tail of one test is about exp(-gain), and as many are made as there
+    are n-grams).  The rule is the same at every size and keeps all that pass, the
+    best first; shorter n-grams win ties, so a stem stands for its words.  Words
+    often enough in toxic texts bound the list, not the number of texts."""
     if not toxic or not clean:
         return []
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     rate = (a + b) / (toxic + clean)
     part = lambda n, of: F.when(n > 0, n * F.log(n / (of * rate))).otherwise(0.0)
     gain = part(a, toxic) + part(b, clean)
+    beyond = math.log(max(counts.count(), 1) / chance)
     rows = (
         counts.where((a >= least) & (a / toxic > 4 * (b + 1) / clean))
         .withColumn("gain", gain)
+        .where(F.col("gain") >= beyond)
         .orderBy(F.col("gain").desc(), F.length("gram"), "gram")
-        .limit(most)
     )
     return [r["gram"] for r in rows.select("gram").collect()]
 
@@ -410,7 +435,7 @@ def fit_logistic(rows: list[tuple[int, list[int]]], n: int, l2: float = 0.1, ste
     return w, float(b)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 30_000, grams: int = 4000, seed: int = 0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 30_000, seed: int = 0) -> Model:
     """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     Characters are counted over every text, n-grams over every labelled row outside
@@ -440,7 +465,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 30_000, grams: int =
         words = stage(word_counts(rows, chars), "toxic-words")
     totals = words.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
     found = stage(gram_counts(words), "toxic-grams")
-    chosen = choose_grams(found, totals["toxic"] or 0, totals["clean"] or 0, grams)
+    chosen = choose_grams(found, totals["toxic"] or 0, totals["clean"] or 0)
     chosen = _spread(rows.where("label = 1"), chars, chosen)
     if not chosen:
         return Model(chars, {}, math.log((toxic + 0.5) / (n["all"] - toxic + 0.5)) if n["all"] else -3.0)

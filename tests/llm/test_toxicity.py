@@ -32,7 +32,9 @@ def test_model_is_a_distribution():
 @pytest.mark.parametrize(
     "written,meant",
     [("1d10t", "idiot"), ("stuuuupid", "stupid"), ("tr@sh", "trash"), ("$cum", "scum"), ("l0s3r!", "loser"),
-     ("m0r0n,", "moron"), ("p4thet1c", "pathetic"), ("cl0wwwwn", "clown"), ("hellllo", "hello"), ("st*pid", "stupid")],
+     ("m0r0n,", "moron"), ("p4thet1c", "pathetic"), ("cl0wwwwn", "clown"), ("hellllo", "hello"), ("st*pid", "stupid"),
+     ("st" + 50 * "u" + "pid", "stupid"), ("1111dddd" + 30 * "i" + "000000ttttttt", "idiot"), ("stuupid", "stupid"),
+     ("moorron", "moron")],
 )
 def test_obfuscated_words_are_restored(decoder, written, meant):
     assert decoder.restore(written) == meant
@@ -63,6 +65,30 @@ def log_p(decoder, text):
 def test_spaced_words_are_closed():
     assert toxicity.spaced_words("you i d i o t and s.c.u.m or a b x") == ["idiot", "scum", "abx"]
     assert toxicity.spaced_words("a quick one") == []
+    assert toxicity.spaced_words("a $ t u p i d one") == ["a$tupid"]
+    assert toxicity.spaced_words("so $ t  u -- p . i~~d") == ["$tupid"]
+    assert toxicity.spaced_words("s" + "   t" * 500) == ["s" + 500 * "t"]
+
+
+def test_long_words_are_read_in_overlapping_pieces(decoder):
+    long = 40 * "hello" + "1d10t" + 40 * "letter" + "tr@sh" + 30 * "moron"
+    found = decoder.readings(long)
+    assert any("idiot" in r for r in found) and any("trash" in r for r in found)
+    assert all(len(r) <= 2 * toxicity.SLOTS for r in found)
+    # a spaced line whose letters close up to more than any limit on characters
+    line = toxicity.spaced_words(" ".join("you$tup1dl0s3r" + 60 * "hello"))
+    assert any("stupid" in r for w in line for r in decoder.readings(w))
+    assert decoder.readings("zq9" * 400) == [] and decoder.restore("zq9" * 400) == "zq9" * 400
+
+
+def test_every_significant_ngram_is_chosen(spark):
+    """More n-grams than any fixed number, and none by chance."""
+    marks = [(f"mark{k}", 40, 0) for k in range(6000)]
+    plain = [(f"word{k}", 8, 60) for k in range(3000)] + [("rare", 7, 0), ("even", 9, 9)]
+    counts = spark.createDataFrame(marks + plain, "gram string, toxic long, clean long")
+    chosen = toxicity.choose_grams(counts, 300_000, 400_000)
+    assert sorted(chosen) == sorted(g for g, _, _ in marks)
+    assert toxicity.choose_grams(counts.where("false"), 10, 10) == []
 
 
 def test_character_counts_against_plain_python(spark):
