@@ -19,7 +19,7 @@ Fingerprints that share such a key are verified bit by bit.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,14 +141,12 @@ def simhash_text(text: bytes, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, beside: str = "doc_id") -> DataFrame:
     """(doc_id, fp): one row per row of ``docs``, fp the fingerprint as a signed
-    long.  Null and empty texts have fingerprint zero; only doc_id and text are
-    read."""
+    long.  Null and empty texts have fingerprint zero; only doc_id (or the column
+    named by ``beside``) and text are read."""
     ship_package(docs.sparkSession)
-    schema = T.StructType(
-        [T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("fp", T.LongType())]
-    )
+    schema = T.StructType([T.StructField(beside, docs.schema[beside].dataType), T.StructField("fp", T.LongType())])
 
     def run(batches):
         import pyarrow as pa
@@ -157,10 +155,10 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame
             texts = batch.column(1).cast(pa.binary())
             fps = [simhash_text(t.as_py() or b"", shingle, seed) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=[beside, "fp"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select(beside, "text").mapInArrow(run, schema)
 
 
 # --------------------------------------------------------------------------
@@ -304,6 +302,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, seed: int = 42, max_bits:
     part; its component_id is null if nothing it reaches has a doc_id.  No rows
     in, no rows out.
     """
+    own, groups = _grouped(docs, shingle, seed, max_bits)
+    return join_hubs(own, groups.drop("root"), "fp", own.count()).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, shingle: int, seed: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, stored, and (fp, component_id, root, n) of every
+    fingerprint: root tells components apart, n counts the fingerprint's rows."""
     with arrow_rows(docs.sparkSession, 1000):
         own = stage(fingerprints(docs, shingle, seed), "simhash-docs")
     nodes = stage(own.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
@@ -314,8 +319,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, seed: int = 42, max_bits:
     rooted = stage(nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-rooted")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
     groups = join_hubs(rooted.withColumnRenamed("n", "copies"), least, "root", rooted.count())
-    groups = groups.select("fp", "component_id", F.col("copies").alias("n"))
-    return join_hubs(own, groups, "fp", own.count()).select("doc_id", "fp", "component_id")
+    return own, groups.select("fp", "component_id", "root", F.col("copies").alias("n"))
 
 
 def hex_fingerprint(fp: str = "fp"):
@@ -324,9 +328,28 @@ def hex_fingerprint(fp: str = "fp"):
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, seed: int = 42, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate component,
-    with its columns.  Rows that share that doc_id stay together; rows without a
-    doc_id stay, as no key tells them apart."""
-    groups = near_duplicates(docs, shingle, seed, max_bits)
-    losers = stage(groups.where("doc_id != component_id").select("doc_id").distinct(), "simhash-losers")
-    return docs.join(broadcast_if_small(losers), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each near-duplicate component, with its columns: that of the smallest
+    doc_id, a row without doc_id where no other is in the component.
+
+    A doc_id that stands on one row decides by itself, so texts meet only a list of
+    doc_ids.  Rows whose doc_id repeats or is null are told apart by their text: their
+    fingerprint is read once more and brings the component, in which one row of the
+    smallest doc_id stays (of these the one with the smallest fingerprint and hash of
+    the text; equal rows are one as good as the other)."""
+    spark = docs.sparkSession
+    own, groups = _grouped(docs, shingle, seed, max_bits)
+    groups = stage(groups, "simhash-groups")
+    placed = join_hubs(own, groups.drop("root"), "fp", own.count()).where("doc_id IS NOT NULL")
+    per = placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("least"))
+    out = stage(per.where("n > 1 OR doc_id != least").select("doc_id", (F.col("n") > 1).alias("again")), "simhash-losers")
+    alone = docs.join(broadcast_if_small(out.select("doc_id")), "doc_id", "left_anti").where("doc_id IS NOT NULL")
+    repeated = docs.join(broadcast_if_small(out.where("again").select("doc_id")), "doc_id", "left_semi")
+    unclear = repeated.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    with arrow_rows(spark, 1000):
+        unclear = unclear.select("text", F.struct(*docs.columns).alias("row"))
+        unclear = stage(fingerprints(unclear, shingle, seed, "row"), "simhash-unclear")
+    met = join_hubs(unclear, groups, "fp", own.count()).where("row.doc_id <=> component_id")
+    # the first row per root is taken before the shuffle too, so a hot doc_id is not gathered
+    first = Window.partitionBy("root").orderBy("fp", F.xxhash64("row.text"))
+    chosen = met.withColumn("__rank", F.row_number().over(first)).where("__rank = 1").select("row.*")
+    return alone.select(*docs.columns).unionByName(chosen)

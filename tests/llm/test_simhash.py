@@ -58,6 +58,19 @@ def test_odd_documents(spark):
     assert simhash.keep_first(no_docs(spark)).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Also where doc_ids repeat on different texts, or are missing."""
+    texts = {k: f"text number {k} " + " ".join(f"w{k}x{j}" for j in range(40)) for k in "abcdef"}
+    own = [(1, "a"), (2, "a"), (2, "b"), (2, "b"), (2, "c"), (3, "c"), (0, "c"), (None, "d"), (None, "d"), (5, "e"),
+           (None, "e"), (5, "e"), (7, "f"), (7, "f")]
+    docs = odd_docs(spark, [(i, texts[t], "en", "a") for i, t in own])
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    wanted = [(1, "a"), (2, "b"), (0, "c"), (None, "d"), (5, "e"), (7, "f")]
+    assert found == sorted(((i, texts[t]) for i, t in wanted), key=str)
+
+
 def test_code_is_perfect():
     words = np.arange(1 << 12, dtype=np.uint32) * 2048 + 77
     keys, n = simhash.golay_keys(words)
