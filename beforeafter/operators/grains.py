@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from beforeafter.functions.numeric import exact_sum
 from beforeafter.operators.measures import MEASURES
+from beforeafter.session import spread
 
 #: Grain -> the columns that group it.
 GRAINS: dict[str, list[str]] = {
@@ -44,7 +45,8 @@ def rollup(fact: DataFrame, rfm: DataFrame, exact: bool = False) -> DataFrame:
     j = fact.join(seg, (fact["customer_id"] == seg["__rc"]) & (fact["month_id"] == seg["__rm"]), "left")
     rows = j.select(
         "customer_id", F.col("month_key_yyyymm").alias("month_id"), "rfm_segment", "is_active", "is_high_value", *cols
-    ).repartition("customer_id")
+    )
+    rows = spread(rows, fact.count(), "customer_id")
     group = [
         F.struct(
             F.lit(grain).alias("grain"),

@@ -84,3 +84,17 @@ def materialize(df: DataFrame, tag: str = "stage", by: list[str] | None = None)
     writer = df.write.partitionBy(*by) if by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows that a task gets of a shuffle made by ``spread``.
+ROWS_PER_TASK = 100_000
+
+
+def spread(df: DataFrame, rows: int, *cols: str) -> DataFrame:
+    """``df`` shuffled by ``cols`` into tasks of about ``ROWS_PER_TASK`` of its ``rows``
+    rows, for steps that hold a task's rows in memory: more rows make more tasks, not
+    larger ones, whatever the number of shuffle partitions and the merging of small
+    ones.  Rows that fit one task are left to Spark's choice."""
+    if rows <= ROWS_PER_TASK:
+        return df.repartition(*cols)
+    return df.repartition(max(-(-rows // ROWS_PER_TASK), df.sparkSession.sparkContext.defaultParallelism), *cols)

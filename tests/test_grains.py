@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from beforeafter import session
 from beforeafter.operators import grains, measures, summary
 from beforeafter.session import materialize
 from tests.conftest import SF_SMALL
@@ -82,6 +83,24 @@ def test_one_scan_and_no_distinct_aggregate(spark, tables):
     assert sum("Exchange hashpartitioning(grain" in ln for ln in plan.splitlines()) == 1
 
 
+def test_tasks_follow_the_rows_of_the_fact(spark, tables, monkeypatch):
+    fact, rfm = tables
+    one = rows(grains.rollup(fact, rfm, True))
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 1)
+    many = fact.unionByName(fact.withColumn("customer_id", F.col("customer_id") + 10)).unionByName(
+        fact.withColumn("customer_id", F.col("customer_id") + 20)
+    )
+    plan = grains.rollup(many, rfm, True)._jdf.queryExecution().executedPlan().toString()
+    tasks = max(many.count(), spark.sparkContext.defaultParallelism)
+    assert f", {tasks}), REPARTITION_BY_NUM" in plan
+    assert rows(grains.rollup(fact, rfm, True)) == one
+
+
+def test_small_frames_keep_the_usual_partitions(spark, tables):
+    plan = session.spread(tables[0], 8, "customer_id")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+
+
 def test_reconciliation_reads_the_fact_once(spark):
     """The three summaries that are compared come from one stored frame of groups."""
     plan = E.queries()["check_reconcile"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
