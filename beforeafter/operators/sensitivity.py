@@ -17,18 +17,29 @@ from beforeafter.operators.running import window_totals
 from beforeafter.operators.windows import ANCHOR_KEYS
 
 
-def per_anchor(
+def totals(
     anchor_df: DataFrame,
     days: DataFrame,
     customers: DataFrame,
     pres: tuple[int, ...] = SENSITIVITY_PRE_DAYS,
     posts: tuple[int, ...] = SENSITIVITY_POST_DAYS,
 ) -> DataFrame:
-    """Long form: one row per anchor of a known customer and (pre, post) pair
-    with the incremental revenue and transactions of that pair."""
+    """One row per anchor of a known customer with the totals of every PRE and POST
+    window.  Anchors and days are counted to size the tasks: pass stored tables."""
     wins = {f"pre{p}": (-p, -1) for p in pres} | {f"post{q}": (0, q - 1) for q in posts}
     known = anchor_df.join(customers.select("customer_id"), "customer_id", "left_semi")
-    agg = window_totals(known, days, wins)
+    return window_totals(known, days, wins, rows=anchor_df.count() + days.count())
+
+
+def stacked(
+    found: DataFrame,
+    pres: tuple[int, ...] = SENSITIVITY_PRE_DAYS,
+    posts: tuple[int, ...] = SENSITIVITY_POST_DAYS,
+    keys: list[str] | None = None,
+) -> DataFrame:
+    """Long form of ``totals``: its ``keys`` once per (pre, post) pair with the
+    incremental revenue and transactions of that pair."""
+    keys = keys or ANCHOR_KEYS
     pairs = []
     for p in pres:
         for q in posts:
@@ -42,8 +53,20 @@ def per_anchor(
                     txn.alias("incremental_transactions"),
                 )
             )
-    long = agg.select(*ANCHOR_KEYS, F.explode(F.array(*pairs)).alias("__p"))
-    return long.select(*ANCHOR_KEYS, "__p.*")
+    long = found.select(*keys, F.explode(F.array(*pairs)).alias("__p"))
+    return long.select(*keys, "__p.*")
+
+
+def per_anchor(
+    anchor_df: DataFrame,
+    days: DataFrame,
+    customers: DataFrame,
+    pres: tuple[int, ...] = SENSITIVITY_PRE_DAYS,
+    posts: tuple[int, ...] = SENSITIVITY_POST_DAYS,
+) -> DataFrame:
+    """Long form: one row per anchor of a known customer and (pre, post) pair
+    with the incremental revenue and transactions of that pair."""
+    return stacked(totals(anchor_df, days, customers, pres, posts), pres, posts)
 
 
 def grid(long: DataFrame, by: list[str] | None = None, exact: bool = False) -> DataFrame:

@@ -192,11 +192,6 @@ sg_long AS ({" UNION ALL ".join(longs)}),
 GRID_SQL = _grid_sql()
 
 
-def _long(spark, sf_dir):
-    c = chain(spark, sf_dir)
-    return c, sensitivity.per_anchor(c.anchors, c.days, c.binding.customer_ids)
-
-
 @register(
     "sensitivity_grid",
     S.with_(S.gold_a(), GRID_SQL)
@@ -205,8 +200,8 @@ def _long(spark, sf_dir):
 )
 def q_sensitivity_grid(spark, sf_dir):
     """PRE 14/28/56 x POST 3/7/14 from running totals, one lookup per window edge."""
-    _, long = _long(spark, sf_dir)
-    return sensitivity.grid(long, exact=True)
+    g = G(spark, sf_dir)
+    return sensitivity.grid(sensitivity.per_anchor(g.anchors, g.days, g.binding.customer_ids), exact=True)
 
 
 SEG_GRID_SQL = f"""seg_grid AS (SELECT COALESCE(r.rfm_segment, 'Unknown') AS rfm_segment, g.pre_days, g.post_days,

@@ -21,7 +21,7 @@ from beforeafter.sources.bindings import binding_a
 
 class Gold:
     """Gold tables of binding A, written on first use and read from there: the
-    purchase stream and the fact once, the RFM dimension once."""
+    purchase stream, the anchors and the fact once, the RFM dimension once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.binding = binding_a(spark, sf_dir)
@@ -32,7 +32,7 @@ class Gold:
 
     @cached_property
     def anchors(self):
-        return windows.anchors(self.binding.exposures)
+        return materialize(windows.anchors(self.binding.exposures), "anchors")
 
     @cached_property
     def fact(self):

@@ -8,7 +8,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from beforeafter.operators import bias, running, windows
+from beforeafter import session
+from beforeafter.operators import bias, running, sensitivity, windows
 
 D0 = dt.date(2025, 3, 10)
 WINDOWS = {"a": (-28, -1), "b": (0, 6), "c": (-14, -1), "d": (0, 0), "e": (-3, 9), "f": (2, 400)}
@@ -79,6 +80,24 @@ def test_no_pairing_and_one_shuffle_of_each_side(spark, tmp_path):
     assert text.count("Exchange") == 1 and text.count("FileScan") == 1
 
 
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """Anchors and days make more tasks, not larger ones, and the same totals; what is
+    moved is one row per anchor and day, not one per lookup."""
+    rng = random.Random(5)
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 4)
+    days = stream(spark, [(i, i % 40, day(rng.randrange(90)), float(i)) for i in range(120)])
+    anc = anchors(spark, [(c, m, day(rng.randrange(90))) for c in range(45) for m in (202503, 202504)])
+    ids = spark.createDataFrame([(c,) for c in range(43)], "customer_id long")
+    got = sensitivity.totals(anc, days, ids)
+    known = anc.join(ids, "customer_id", "left_semi")
+    wins = {f"pre{p}": (-p, -1) for p in (14, 28, 56)} | {f"post{q}": (0, q - 1) for q in (3, 7, 14)}
+    assert rows_of(got) == rows_of(windows.window_aggregates(known, days, wins).select(*got.columns))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    tasks = -(-(anc.count() + days.count()) // 4)
+    # a plan is printed from its result down: the rows multiply after the shuffle
+    assert text.index("Generate explode(") < text.index(f", {tasks}), REPARTITION_BY_NUM")
+
+
 def test_periods_found_by_position(spark):
     rng = random.Random(3)
     spans = [(s, s + rng.randrange(0, 9)) for s in rng.sample(range(0, 700), 40)] + [(5, 3), (50, 50), (50, 50)]
