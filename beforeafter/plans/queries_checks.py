@@ -212,9 +212,12 @@ SEG_GRID_SQL = f"""seg_grid AS (SELECT COALESCE(r.rfm_segment, 'Unknown') AS rfm
 
 
 def _seg_grid(spark, sf_dir):
+    """The stored window totals, one row per anchor, and the grid per segment: the
+    segment is looked up before an anchor becomes its nine pairs."""
     g = G(spark, sf_dir)
-    long = materialize(sensitivity.per_anchor(g.anchors, g.days, g.binding.customer_ids), "sensitivity")
-    return long, sensitivity.grid(measures.with_segment(long, g.rfm), by=["rfm_segment"], exact=True)
+    found = materialize(sensitivity.totals(g.anchors, g.days, g.binding.customer_ids), "sensitivity")
+    long = sensitivity.stacked(measures.with_segment(found, g.rfm), keys=["rfm_segment"])
+    return found, sensitivity.grid(long, by=["rfm_segment"], exact=True)
 
 
 @register("sensitivity_by_segment", S.with_(S.gold_a(), GRID_SQL, SEG_GRID_SQL) + "SELECT * FROM seg_grid")
@@ -242,9 +245,9 @@ def q_sensitivity_by_segment(spark, sf_dir):
 )
 def q_sensitivity_sign_flips(spark, sf_dir):
     """Does the direction of lift hold over the grid, per segment and overall?"""
-    long, seg_grid = _seg_grid(spark, sf_dir)
+    found, seg_grid = _seg_grid(spark, sf_dir)
     per_seg = sensitivity.stability(seg_grid, by=["rfm_segment"])
-    overall = sensitivity.stability(sensitivity.grid(long, exact=True)).select(
+    overall = sensitivity.stability(sensitivity.grid(sensitivity.stacked(found), exact=True)).select(
         F.lit("ALL").alias("rfm_segment"), "n_positive", "n_negative", "n_zero", "stable"
     )
     return per_seg.unionByName(overall)

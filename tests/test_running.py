@@ -8,8 +8,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from beforeafter import session
 from beforeafter.operators import bias, running, sensitivity, windows
+from tests.conftest import SF_SMALL
 
 D0 = dt.date(2025, 3, 10)
 WINDOWS = {"a": (-28, -1), "b": (0, 6), "c": (-14, -1), "d": (0, 0), "e": (-3, 9), "f": (2, 400)}
@@ -98,6 +100,13 @@ def test_tasks_follow_the_rows(spark, monkeypatch):
     assert text.index("Generate explode(") < text.index(f", {tasks}), REPARTITION_BY_NUM")
 
 
+def test_segments_are_looked_up_before_the_pairs(spark):
+    """The stored frame of the sensitivity per segment has one row per anchor; the nine
+    pairs of an anchor are made after the segment is joined."""
+    plan = E.queries()["sensitivity_by_segment"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "pre56_revenue" in plan and plan.index("Generate explode") < plan.index("Join")
+
+
 def test_periods_found_by_position(spark):
     rng = random.Random(3)
     spans = [(s, s + rng.randrange(0, 9)) for s in rng.sample(range(0, 700), 40)] + [(5, 3), (50, 50), (50, 50)]
