@@ -272,7 +272,8 @@ def q_final_gate(spark, sf_dir):
     g = G(spark, sf_dir)
     long = sensitivity.per_anchor(g.anchors, g.days, g.binding.customer_ids)
     segments = (
-        g.by_rfm.withColumn("rfm_segment", F.coalesce("rfm_segment", F.lit("Unknown")))
+        summary.by_rfm(g.lifts, g.rfm, exact=True)  # no flags are read
+        .withColumn("rfm_segment", F.coalesce("rfm_segment", F.lit("Unknown")))
         .groupBy("rfm_segment")
         .agg(rsum("incremental_revenue", exact=True).alias("incremental_revenue"))
     )

@@ -107,6 +107,11 @@ def test_segments_are_looked_up_before_the_pairs(spark):
     assert "pre56_revenue" in plan and plan.index("Generate explode") < plan.index("Join")
 
 
+def test_gate_reads_a_stored_fact_without_flags(spark):
+    plan = E.queries()["final_gate"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "/lifts-" in plan and "/anchors-" in plan and "c_acctbal" not in plan
+
+
 def test_periods_found_by_position(spark):
     rng = random.Random(3)
     spans = [(s, s + rng.randrange(0, 9)) for s in rng.sample(range(0, 700), 40)] + [(5, 3), (50, 50), (50, 50)]
